@@ -15,5 +15,9 @@ def sample_key(identity):
 
 
 def duplicate_key(source, text_clean):
-    """32-byte digest of what makes two posts duplicates: short to shuffle and compare."""
-    return F.unhex(F.sha2(F.concat_ws(SEPARATOR, source, text_clean), 256))
+    """32-byte digest of what makes two posts duplicates: short to shuffle and compare.
+
+    Never null, and declared so: joins on it then add no null filter, which would make the two plans of a
+    self-join differ and keep Spark from reusing one shuffle for both.
+    """
+    return F.coalesce(F.unhex(F.sha2(F.concat_ws(SEPARATOR, source, text_clean), 256)), F.lit(b""))

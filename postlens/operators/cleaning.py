@@ -6,6 +6,9 @@ from postlens.functions.text import is_blank, is_long_enough, plain, visible
 
 KEY = "dup_key"
 
+# What scoring and the result tables need of a cleaned post.
+ANALYSED = ["post_id", "source", "created_ts", "community", "orig_sentiment", "orig_score", "text_v", "text_clean"]
+
 
 def clean(posts):
     """Add ``text_v`` and ``text_clean``; drop removed, blank and too short posts."""
@@ -13,18 +16,22 @@ def clean(posts):
     return seen.withColumn("text_clean", plain(F.col("text_v"))).where(is_long_enough(F.col("text_clean")))
 
 
-def deduplicate(cleaned):
+def deduplicate(cleaned, columns=None):
     """One post per (source, text_clean): the earliest, then the smallest ``post_id``.
 
     A minimum over the whole row, so copies are merged before the shuffle and a text that makes up a
     third of all posts arrives as one row per task. The result is partitioned by ``dup_key``, which
     identifies a post from here on; scoring by that key needs no further shuffle.
+
+    ``columns`` names what to keep (default: all). The optimiser cannot prune the minimum, and the raw text is
+    by far the widest column, so an analysis that works on ``text_v`` should not shuffle ``text``.
     """
+    columns = columns or cleaned.columns
     first = ["created_ts", "post_id"]
-    rest = [c for c in cleaned.columns if c not in first]
+    rest = [c for c in columns if c not in first]
     return (cleaned.groupBy(duplicate_key("source", "text_clean").alias(KEY))
             .agg(F.min(F.struct(*first, *rest)).alias("post"))
-            .select(KEY, *[F.col(f"post.{c}").alias(c) for c in cleaned.columns]))
+            .select(KEY, *[F.col(f"post.{c}").alias(c) for c in columns]))
 
 
 def removed_share(posts):

@@ -2,7 +2,7 @@
 import time
 
 from postlens.operators.aggregates import analysis_columns, result_tables
-from postlens.operators.cleaning import clean, deduplicate
+from postlens.operators.cleaning import ANALYSED, clean, deduplicate
 from postlens.operators.sentiment import score
 from postlens.operators.trends import detect_trends
 from postlens.operators.validation import validation_metrics
@@ -13,7 +13,7 @@ from postlens.sources.store import count_stored, replace_tables
 def scored_posts(posts, lexicon, rules=True):
     """Posts to the analysis columns. The sample comes first: a smaller fraction has fewer duplicates."""
     known = settle(lexicon, "lexicon")
-    return analysis_columns(score(deduplicate(clean(posts)), known, rules=rules))
+    return analysis_columns(score(deduplicate(clean(posts), ANALYSED), known, rules=rules))
 
 
 def derived_tables(tables, **trend_options):

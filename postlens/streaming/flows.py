@@ -10,7 +10,7 @@ from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Observation, functions as F
 
-from postlens.operators.cleaning import KEY, clean, deduplicate
+from postlens.operators.cleaning import ANALYSED, KEY, clean, deduplicate
 from postlens.operators.sentiment import score
 from postlens.scratch import settle
 from postlens.sources.store import append_metrics
@@ -75,7 +75,7 @@ def score_stream(posts, lexicon, path, checkpoint, rules=True):
     known = settle(lexicon, "lexicon")
 
     def on_batch(batch, batch_id):
-        write_batch(score(deduplicate(clean(batch)), known, rules=rules), path, batch_id)
+        write_batch(score(deduplicate(clean(batch), ANALYSED), known, rules=rules), path, batch_id)
 
     return drain(posts, on_batch, checkpoint)
 

@@ -8,7 +8,7 @@ are missing, empty or marked as deleted, so that every cleaning rule has work to
 from pyspark.sql import functions as F
 
 from postlens.operators.aggregates import analysis_columns
-from postlens.operators.cleaning import clean, deduplicate
+from postlens.operators.cleaning import ANALYSED, clean, deduplicate
 from postlens.operators.normalize import normalize, unite
 from postlens.operators.sentiment import RuleWords, score
 from postlens.scratch import settle
@@ -80,7 +80,7 @@ def lexicon(spark, sf_dir):
 
 
 def cleaned(spark, sf_dir):
-    return deduplicate(clean(posts(spark, sf_dir)))
+    return deduplicate(clean(posts(spark, sf_dir)), ANALYSED)
 
 
 def scored(spark, sf_dir, rules=True):
