@@ -18,8 +18,7 @@ def is_blank(text_v):
 def plain(text_v):
     """Lower-case letters and single blanks; the form that duplicates and keywords are found on."""
     without_mentions = F.lower(F.regexp_replace(text_v, MENTION_PATTERN, " "))
-    letters = F.regexp_replace(without_mentions, r"[^a-z\s]", " ")
-    return F.trim(F.regexp_replace(letters, r"\s+", " "))
+    return F.trim(F.regexp_replace(without_mentions, "[^a-z]+", " "))
 
 
 def is_long_enough(text_clean):

@@ -27,7 +27,10 @@ def rolling_daily(daily, size=7, mode="rows"):
         frame = Window.partitionBy("source").orderBy(F.unix_date("day")).rangeBetween(-(size - 1), 0)
     else:
         raise ValueError("mode is 'rows' or 'days'")
-    return daily.select("day", "source", "avg_compound", F.avg("avg_compound").over(frame).alias("smoothed"))
+    # Daily means have four digits: whole ten-thousandths keep the sliding sum exact.
+    points = F.sum(F.round(F.col("avg_compound") * 10000).cast("long")).over(frame)
+    return daily.select("day", "source", "avg_compound",
+                        (points / F.count("avg_compound").over(frame) / 10000).alias("smoothed"))
 
 
 def keyword_series(keywords, tokens, sources=None):

@@ -25,7 +25,8 @@ BEFORE_BUT, AFTER_BUT = 0.5, 1.5
 EXCLAMATION, MAX_EXCLAMATIONS = 0.292, 4
 QUESTION, MANY_QUESTIONS = 0.18, 0.96
 
-WORD_EDGES = r"^\p{Punct}+|\p{Punct}+$"
+BLANKS = " \t\n\x0b\f\r"
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 @dataclass(frozen=True)
@@ -73,60 +74,75 @@ def _plain_totals(posts, key, text, lexicon):
     return words.join(lexicon, "token").groupBy(key).agg(F.sum("valence").alias("total"))
 
 
-def _words(posts, key, text, contrast):
-    """One row per word: key, position, word, and the two facts that concern the whole text."""
-    tokens = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    # Edge punctuation goes, unless so little is left that the token may be an emoticon.
-    bare = F.transform(tokens, lambda w: F.when(F.length(F.regexp_replace(w, WORD_EDGES, "")) <= 2, w)
-                       .otherwise(F.regexp_replace(w, WORD_EDGES, "")))
-    per_post = posts.select(key, bare.alias("words"))
-    shouted = F.filter("words", _is_capitals)
-    per_post = per_post.select(
-        key, "words",
-        F.size(shouted).between(1, F.size("words") - 1).alias("mixed_case"),
-        F.array_position(F.transform("words", F.lower), contrast).alias("contrast_at"))
-    return per_post.select(key, "mixed_case", "contrast_at", F.posexplode("words").alias("pos", "word"))
-
-
 def _is_capitals(word):
     return (word == F.upper(word)) & (word != F.lower(word))
 
 
-def _rule_totals(posts, key, text, lexicon, rule_words):
-    words = _words(posts, key, text, rule_words.contrast).withColumn("token", F.lower("word"))
-    valued = words.join(lexicon, "token", "left")
-    token = F.col("token")
-    loud = F.col("mixed_case") & _is_capitals(F.col("word"))
-    signed = (F.when(token.isin(list(rule_words.intensifiers)), F.lit(INTENSITY))
-              .when(token.isin(list(rule_words.dampeners)), F.lit(-INTENSITY)).otherwise(F.lit(0.0)))
-    facts = valued.select(
-        key, "pos", "contrast_at", loud.alias("loud"), signed.alias("boost"),
-        F.when(signed == 0.0, F.col("valence")).alias("valence"),
-        # A word that has a valence itself neither intensifies nor negates its successors.
-        F.when(F.col("valence").isNull(), signed).alias("boost_next"),
-        F.when(F.col("valence").isNull(),
-               F.regexp_replace(token, "'", "").isin(list(rule_words.negators)) | token.contains("n't"))
-        .alias("negates"))
+def _bare(word):
+    """A word without edge punctuation, unless so little is left that it may be an emoticon."""
+    marks, inner = list(PUNCTUATION), F.btrim(word, F.lit(PUNCTUATION))
+    # The test of the two end characters is much cheaper than the trim, and most words have no mark there.
+    edged = F.substring(word, 1, 1).isin(marks) | F.substring(word, -1, 1).isin(marks)
+    return F.when(edged & (F.length(inner) > 2), inner).otherwise(word)
+
 
+def _words(posts, key, text, contrast):
+    """One row per word: position, word, all words of the text, and the facts that concern the whole text."""
+    words = F.split(F.btrim(text, F.lit(BLANKS)), r"\s+")
+    per_post = posts.select(key, text.alias("text"), words.alias("words")).select(
+        key, "words", F.size(F.filter("words", _is_capitals)).alias("shouted"),
+        # Most texts have no contrast word at all; only the others look at every word for its place.
+        F.when(F.lower("text").contains(contrast),
+               F.array_position(F.transform("words", lambda w: F.lower(_bare(w))), contrast))
+        .otherwise(F.lit(0)).alias("contrast_at"))
+    # The outer form: the inner one would compute the array a second time just to filter empty texts.
+    return per_post.select("*", F.posexplode_outer("words").alias("pos", "word"))
+
+
+def _rule_totals(posts, key, text, lexicon, rule_words):
+    """Sum of adjusted valences. Only words of the lexicon are kept, and only they are ordered."""
+    words = _words(posts, key, text, rule_words.contrast).withColumn("token", F.lower(_bare(F.col("word"))))
+    # All words travel by reference up to this join; of the few hits, only the three words before stay.
+    mixed_case = (F.col("shouted") > 0) & (F.col("shouted") < F.size("words"))
+    hits = words.join(lexicon, "token").select(
+        key, "contrast_at", "pos", "token", "valence", mixed_case.alias("mixed_case"),
+        _is_capitals(F.col("word")).alias("capitals"),
+        *[_bare(F.get("words", F.col("pos") - k)).alias(f"word_{k}") for k in DAMPING])
+
+    def boost(token):
+        return (F.when(token.isin(list(rule_words.intensifiers)), F.lit(INTENSITY))
+                .when(token.isin(list(rule_words.dampeners)), F.lit(-INTENSITY)).otherwise(F.lit(0.0)))
+
+    def push(word, damping):
+        shout = F.when(F.col("mixed_case") & _is_capitals(word), F.lit(CAPITALS)).otherwise(F.lit(0.0))
+        return F.when(boost(F.lower(word)) != 0, (boost(F.lower(word)) + shout) * damping).otherwise(F.lit(0.0))
+
+    def flip(word):
+        negates = (F.replace(F.lower(word), F.lit("'"), F.lit("")).isin(list(rule_words.negators))
+                   | F.lower(word).contains("n't"))
+        return F.when(negates, F.lit(NEGATION)).otherwise(F.lit(1.0))
+
+    facts = hits.select(
+        key, "contrast_at", "pos", "valence", (boost(F.col("token")) == 0).alias("counts"),
+        (F.col("mixed_case") & F.col("capitals")).alias("loud"),
+        *[push(F.col(f"word_{k}"), damping).alias(f"push_{k}") for k, damping in DAMPING.items()],
+        *[flip(F.col(f"word_{k}")).alias(f"flip_{k}") for k in DAMPING])
     before = Window.partitionBy(key).orderBy("pos")
-    around = facts
+    near = facts.select("*", *[F.lag("pos", k).over(before).alias(f"hit_{k}") for k in DAMPING])
+    valued = near.where("counts")
+
+    sign = F.when(F.col("valence") < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
+    shout = F.when(F.col("loud"), sign * CAPITALS).otherwise(F.lit(0.0))
+    valued = valued.withColumn("valence", F.col("valence") + shout)
     for k in DAMPING:
-        around = around.withColumns({
-            f"boost_{k}": F.coalesce(F.lag("boost_next", k).over(before), F.lit(0.0)),
-            f"loud_{k}": F.coalesce(F.lag("loud", k).over(before), F.lit(False)),
-            f"negates_{k}": F.coalesce(F.lag("negates", k).over(before), F.lit(False))})
-    value = around.where(F.col("valence").isNotNull())
-    sign = lambda: F.when(F.col("valence") < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    value = value.withColumn("valence", F.col("valence") + F.when(F.col("loud"), sign() * CAPITALS).otherwise(F.lit(0.0)))
-    for k, damping in DAMPING.items():
-        boost = F.col(f"boost_{k}") * sign()
-        shout = F.when(F.col(f"loud_{k}") & (F.col(f"boost_{k}") != 0), sign() * CAPITALS).otherwise(F.lit(0.0))
-        value = value.withColumn("valence", (F.col("valence") + (boost + shout) * damping)
-                                 * F.when(F.col(f"negates_{k}"), F.lit(NEGATION)).otherwise(F.lit(1.0)))
+        # A word that has a valence itself neither intensifies nor negates its successors.
+        known = F.coalesce(*[F.when(F.col(f"hit_{j}") == F.col("pos") - k, True) for j in range(1, k + 1)], F.lit(False))
+        valued = valued.withColumn("valence", F.when(known, F.col("valence")).otherwise(
+            (F.col("valence") + sign * F.col(f"push_{k}")) * F.col(f"flip_{k}")))
     at = F.col("pos") + 1
     weight = (F.when(F.col("contrast_at") == 0, F.lit(1.0)).when(at < F.col("contrast_at"), F.lit(BEFORE_BUT))
               .when(at > F.col("contrast_at"), F.lit(AFTER_BUT)).otherwise(F.lit(1.0)))
-    return value.groupBy(key).agg(F.sum(F.col("valence") * weight).alias("total"))
+    return valued.groupBy(key).agg(F.sum(F.col("valence") * weight).alias("total"))
 
 
 def _emphasis(text):

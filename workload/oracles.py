@@ -336,9 +336,9 @@ FROM judged WHERE template"""),
     "trend_default_terms": q(LINE_TRENDS, "SELECT token FROM trend ORDER BY burst_z DESC, source, token LIMIT 3"),
     "post_trends": q(trends(POST_TERMS, 12, 3, 3, 8, 40), "SELECT * FROM trend"),
     "rolling_daily": q(DAILY, """SELECT day, source, avg_compound, round(avg(avg_compound) OVER (
-  PARTITION BY source ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 6) AS smoothed FROM daily"""),
+  PARTITION BY source ORDER BY day ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), 10) AS smoothed FROM daily"""),
     "rolling_days": q(DAILY, """SELECT day, source, avg_compound, round(avg(avg_compound) OVER (
-  PARTITION BY source ORDER BY day RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW), 6) AS smoothed
+  PARTITION BY source ORDER BY day RANGE BETWEEN INTERVAL 29 DAYS PRECEDING AND CURRENT ROW), 10) AS smoothed
 FROM daily"""),
     "keyword_series": q(LINES, """SELECT month, token, sum(n)::BIGINT AS n FROM k
 WHERE token IN ('s1', 's2', 's3') AND source IN ('A', 'N') GROUP BY month, token"""),

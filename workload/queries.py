@@ -304,12 +304,12 @@ def trend_default_terms(spark, d):
 
 @query
 def rolling_daily(spark, d):
-    return I.rolling_daily(A.daily_sentiment(scored_columns(spark, d)), 7).withColumn("smoothed", F.round("smoothed", 6))
+    return I.rolling_daily(A.daily_sentiment(scored_columns(spark, d)), 7).withColumn("smoothed", F.round("smoothed", 10))
 
 
 @query
 def rolling_days(spark, d):
-    return I.rolling_daily(A.daily_sentiment(scored_columns(spark, d)), 30, "days").withColumn("smoothed", F.round("smoothed", 6))
+    return I.rolling_daily(A.daily_sentiment(scored_columns(spark, d)), 30, "days").withColumn("smoothed", F.round("smoothed", 10))
 
 
 @query
