@@ -12,12 +12,12 @@ COMMUNITY_COLUMNS = ["subreddit", "subreddit_name_prefixed"]
 URL_PATTERN = r"https?://\S+|www\.\S+"
 MENTION_PATTERN = r"@\w+"
 HASHTAG_PATTERN = r"#(\w+)"
-TOKEN_PATTERN = "^[a-z]{4,}$"
 COMMUNITY_PREFIX = "^r/"
 WEEKDAY_PREFIX = r"^[A-Za-z]{3}\s+"
 FEED_TIME_FORMAT = "MMM dd HH:mm:ss Z yyyy"
 TEXT_LIMIT = 1000
 MIN_CLEAN_LENGTH = 3
+MIN_KEYWORD_LENGTH = 4
 MIN_HASHTAG_LENGTH = 3
 BLANK_TEXTS = ["[deleted]", "[removed]", ""]
 

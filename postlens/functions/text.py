@@ -1,13 +1,14 @@
 """Text expressions: what a reader sees, what is compared, what is counted."""
 from pyspark.sql import functions as F
 
-from postlens.constants import (BLANK_TEXTS, HASHTAG_PATTERN, MENTION_PATTERN, MIN_CLEAN_LENGTH, STOPWORDS,
-                                TEXT_LIMIT, TOKEN_PATTERN, URL_PATTERN)
+from postlens.constants import (BLANK_TEXTS, HASHTAG_PATTERN, MENTION_PATTERN, MIN_CLEAN_LENGTH, MIN_KEYWORD_LENGTH,
+                                STOPWORDS, TEXT_LIMIT, URL_PATTERN)
 
 
 def visible(text):
     """URLs removed from the whole text, then the first 1,000 characters; case and punctuation stay."""
-    return F.substring(F.regexp_replace(text, URL_PATTERN, ""), 1, TEXT_LIMIT)
+    may_hold_url = text.contains("://") | text.contains("www.")     # a plain search, much cheaper than the pattern
+    return F.substring(F.when(may_hold_url, F.regexp_replace(text, URL_PATTERN, "")).otherwise(text), 1, TEXT_LIMIT)
 
 
 def is_blank(text_v):
@@ -17,8 +18,8 @@ def is_blank(text_v):
 
 def plain(text_v):
     """Lower-case letters and single blanks; the form that duplicates and keywords are found on."""
-    without_mentions = F.lower(F.regexp_replace(text_v, MENTION_PATTERN, " "))
-    return F.trim(F.regexp_replace(without_mentions, "[^a-z]+", " "))
+    without_mentions = F.when(text_v.contains("@"), F.regexp_replace(text_v, MENTION_PATTERN, " ")).otherwise(text_v)
+    return F.trim(F.regexp_replace(F.lower(without_mentions), "[^a-z]+", " "))
 
 
 def is_long_enough(text_clean):
@@ -30,8 +31,8 @@ def distinct_tokens(text_clean):
 
 
 def is_keyword(token, stopwords=STOPWORDS):
-    """Four or more letters and not a stop word; the set test is cheaper, so the pattern comes last."""
-    return (F.length(token) >= 4) & ~token.isin(list(stopwords)) & token.rlike(TOKEN_PATTERN)
+    """Four or more letters and not a stop word. Tokens of a plain text are letters only, so their length decides."""
+    return (F.length(token) >= MIN_KEYWORD_LENGTH) & ~token.isin(list(stopwords))
 
 
 def distinct_hashtags(text_v):

@@ -11,9 +11,15 @@ ANALYSED = ["post_id", "source", "created_ts", "community", "orig_sentiment", "o
 
 
 def clean(posts):
-    """Add ``text_v`` and ``text_clean``; drop removed, blank and too short posts."""
-    seen = posts.withColumn("text_v", visible(F.col("text"))).where(~is_blank(F.col("text_v")))
-    return seen.withColumn("text_clean", plain(F.col("text_v"))).where(is_long_enough(F.col("text_clean")))
+    """Add ``text_v`` and ``text_clean``; drop removed, blank and too short posts.
+
+    Both texts and both tests are one generator. As a filter over computed columns the optimiser would push
+    the test below them and run every regular expression again for it.
+    """
+    seen = F.filter(F.transform(F.array("text"), visible), lambda text_v: ~is_blank(text_v))
+    both = F.transform(seen, lambda text_v: F.struct(text_v.alias("text_v"), plain(text_v).alias("text_clean")))
+    kept = F.filter(both, lambda pair: is_long_enough(pair["text_clean"]))
+    return posts.select("*", F.inline_outer(kept)).where(F.col("text_clean").isNotNull())
 
 
 def deduplicate(cleaned, columns=None):

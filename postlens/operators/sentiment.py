@@ -9,6 +9,7 @@ Two levels: ``rules=False`` sums valences; ``rules=True`` (default) applies the
 capitals, intensifiers, negation, contrast and punctuation (Hutto & Gilbert, "VADER", ICWSM 2014).
 """
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Window, functions as F
 
@@ -87,10 +88,10 @@ def _bare(word):
 
 
 def _words(posts, key, text, contrast):
-    """One row per word: position, word, all words of the text, and the facts that concern the whole text."""
+    """One row per word: position, word, all words of the text and the place of the contrast word (0: none)."""
     words = F.split(F.btrim(text, F.lit(BLANKS)), r"\s+")
     per_post = posts.select(key, text.alias("text"), words.alias("words")).select(
-        key, "words", F.size(F.filter("words", _is_capitals)).alias("shouted"),
+        key, "words",
         # Most texts have no contrast word at all; only the others look at every word for its place.
         F.when(F.lower("text").contains(contrast),
                F.array_position(F.transform("words", lambda w: F.lower(_bare(w))), contrast))
@@ -101,13 +102,13 @@ def _words(posts, key, text, contrast):
 
 def _rule_totals(posts, key, text, lexicon, rule_words):
     """Sum of adjusted valences. Only words of the lexicon are kept, and only they are ordered."""
-    words = _words(posts, key, text, rule_words.contrast).withColumn("token", F.lower(_bare(F.col("word"))))
+    # Never null, so that the join adds no null filter that would compute the token twice.
+    token = F.coalesce(F.lower(_bare(F.col("word"))), F.lit(""))
+    words = _words(posts, key, text, rule_words.contrast).withColumn("token", token)
     # All words travel by reference up to this join; of the few hits, only the three words before stay.
-    mixed_case = (F.col("shouted") > 0) & (F.col("shouted") < F.size("words"))
     hits = words.join(lexicon, "token").select(
-        key, "contrast_at", "pos", "token", "valence", mixed_case.alias("mixed_case"),
-        _is_capitals(F.col("word")).alias("capitals"),
-        *[_bare(F.get("words", F.col("pos") - k)).alias(f"word_{k}") for k in DAMPING])
+        key, "contrast_at", "pos", "token", "valence", "words", _is_capitals(F.col("word")).alias("capitals"),
+        *[F.coalesce(_bare(F.get("words", F.col("pos") - k)), F.lit("")).alias(f"word_{k}") for k in DAMPING])
 
     def boost(token):
         return (F.when(token.isin(list(rule_words.intensifiers)), F.lit(INTENSITY))
@@ -122,6 +123,11 @@ def _rule_totals(posts, key, text, lexicon, rule_words):
                    | F.lower(word).contains("n't"))
         return F.when(negates, F.lit(NEGATION)).otherwise(F.lit(1.0))
 
+    # Capitals count only in a text that is not all capitals: some of its words are, not none and not all.
+    # That is looked up only for hits with capitals at or just before them.
+    some_shouted = F.size(F.filter("words", _is_capitals)) % F.size("words") != 0
+    near_capitals = reduce(lambda a, b: a | b, [_is_capitals(F.col(f"word_{k}")) for k in DAMPING], F.col("capitals"))
+    hits = hits.withColumn("mixed_case", near_capitals & some_shouted)
     facts = hits.select(
         key, "contrast_at", "pos", "valence", (boost(F.col("token")) == 0).alias("counts"),
         (F.col("mixed_case") & F.col("capitals")).alias("loud"),
