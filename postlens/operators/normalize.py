@@ -8,6 +8,9 @@ from postlens.functions.times import event_time, month_of
 from postlens.schema import POSTS_SCHEMA, find_column
 
 
+PARSED_TIME = "_event_time"
+
+
 def usable(df):
     """Posts with text and time."""
     return df.where((F.length("text") > 0) & F.col("created_ts").isNotNull())
@@ -42,7 +45,10 @@ def normalize(df, source, labels=False, community=False):
     post_id, label = column(ID_COLUMNS), column(LABEL_COLUMNS, labels)
     score, place = column(SCORE_COLUMNS, labels), column(COMMUNITY_COLUMNS, community)
     feed, text = F.lit(source), text.cast("string")
-    created = event_time(df, time_name)
+    # As generated column the parsed time is tested where it is; as a computed one it would be parsed again for
+    # the filter, which the optimiser moves below it. Filters on the text still reach the scan.
+    df = df.select("*", F.explode_outer(F.array(event_time(df, time_name))).alias(PARSED_TIME))
+    created = F.col(PARSED_TIME)
     local_id = content_id(feed, text, created) if post_id is None else post_id.cast("string")
     return usable(df.select(
         F.concat(F.lit(f"{source}-"), local_id).alias("post_id"),

@@ -1,4 +1,5 @@
 """Post store and result tables: any Spark format and its options, Parquet by default."""
+from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
@@ -19,7 +20,8 @@ def write_posts(posts, path=None, mode="append", format="parquet", **options):
         posts.write.format(format).mode(mode).options(**options).save()
         return
     (posts.sortWithinPartitions("source", "sample_key")
-     .write.format(format).mode(mode).options(**options).partitionBy("source").save(path))
+     .write.format(format).mode(mode).option("partitionOverwriteMode", "static").options(**options)
+     .partitionBy("source").save(path))
 
 
 def read_posts(spark, fraction=1.0, path=None, format="parquet", **options):
@@ -74,7 +76,7 @@ def read_with_fallback(spark, schema, primary=None, fallback=None):
             df = read(spark)
             if may_be_empty or not df.isEmpty():
                 return df, origin
-        except PySparkException:
+        except (PySparkException, Py4JError):
             continue
     return spark.createDataFrame([], schema), "missing"
 

@@ -8,7 +8,7 @@ import time
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import Observation, functions as F
+from pyspark.sql import Observation, functions as F, types as T
 
 from postlens.operators.cleaning import ANALYSED, KEY, clean, deduplicate
 from postlens.operators.sentiment import score
@@ -17,6 +17,7 @@ from postlens.sources.store import append_metrics
 from postlens.streaming.gate import gated, posts_of
 
 BATCH = "batch_id"
+KEY_SCHEMA = T.StructType([T.StructField(KEY, T.BinaryType()), T.StructField(BATCH, T.LongType())])
 
 
 def drain(stream, on_batch, checkpoint, output_mode="append"):
@@ -83,15 +84,17 @@ def score_stream(posts, lexicon, path, checkpoint, rules=True):
 def dedupe_stream(posts, path, checkpoint):
     """Exact de-duplication over the whole history of a stream.
 
-    Copies inside a batch are merged before the shuffle; what remains is anti-joined with the keys stored
-    by earlier batches, so a text that floods the stream costs one row per task, and nothing expires.
-    Posts go to ``path/posts``, their 32-byte keys to ``path/keys``.
+    Copies inside a batch are merged before the shuffle, so a text that floods the stream costs one row per
+    task, and nothing expires. The settled batch is then looked up among the keys of earlier batches: as long
+    as the keys of the batch are small enough to broadcast, the history is scanned but not shuffled.
+    Posts go to ``path/posts``, their 32-byte keys to ``path/keys``. A stream that may forget old texts is
+    cheaper with ``drop_repeats``.
     """
     def on_batch(batch, batch_id):
-        fresh = deduplicate(clean(batch))
-        known = read_batches(batch.sparkSession, f"{path}/keys", _key_schema()).where(F.col(BATCH) < batch_id)
-        fresh = fresh.join(known.select(KEY), KEY, "left_anti")
-        write_batch(fresh, f"{path}/posts", batch_id)
+        fresh = settle(deduplicate(clean(batch)), "batch")
+        history = read_batches(batch.sparkSession, f"{path}/keys", KEY_SCHEMA).where(F.col(BATCH) < batch_id)
+        seen = history.join(fresh.select(KEY), KEY, "left_semi").select(KEY)
+        write_batch(fresh.join(seen, KEY, "left_anti"), f"{path}/posts", batch_id)
         # Keys last, from the stored posts: a batch that failed half way has no keys and is done again whole.
         stored = batch.sparkSession.read.schema(fresh.schema).parquet(f"{path}/posts/{BATCH}={batch_id}")
         write_batch(stored.select(KEY), f"{path}/keys", batch_id)
@@ -99,11 +102,6 @@ def dedupe_stream(posts, path, checkpoint):
     return drain(posts, on_batch, checkpoint)
 
 
-def _key_schema():
-    from pyspark.sql import types as T
-    return T.StructType([T.StructField(KEY, T.BinaryType()), T.StructField(BATCH, T.LongType())])
-
-
 def drop_repeats(posts, delay):
     """Streaming duplicate removal with bounded state: copies later than ``delay`` after the first come through."""
     return (clean(posts).withWatermark("created_ts", delay)

@@ -370,7 +370,7 @@ UNION ALL SELECT 'totals', count(*) FROM tot"""),
     "csv_results": """SELECT token, count(*) AS n, round(sum(value), 2) AS total FROM (
   SELECT CASE event_type WHEN 'click' THEN 'null' WHEN 'view' THEN 'nan' WHEN 'error' THEN NULL ELSE event_type END AS token,
          value FROM events) GROUP BY token""",
-    "fallback_read": "SELECT 'file' AS origin, count(*) AS rows FROM nation UNION ALL SELECT 'missing', 0",
+    "fallback_read": "SELECT 'file' AS origin, count(*) AS rows FROM orders UNION ALL SELECT 'missing', 0",
     "label_profile": q(ALPHA, "SELECT label AS value, count(*) AS count FROM alpha GROUP BY label"),
     "null_shares": q(ALPHA, """SELECT 'sentiment_label' AS "column", round(avg((label IS NULL)::INT), 6) AS null_share FROM alpha
 UNION ALL SELECT 'sentiment_score', round(avg((o_totalprice IS NULL)::INT), 6) FROM alpha

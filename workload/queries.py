@@ -420,7 +420,7 @@ def csv_results(spark, d):
 @query
 def fallback_read(spark, d):
     """No store, so the file copy is read; with neither, an empty table."""
-    path = f"{d}/nation.parquet"
+    path = f"{d}/orders.parquet"
     schema = spark.read.parquet(path).schema
     missing = lambda s: s.read.schema(schema).parquet(f"{new_folder(s, 'none')}")
     copy, origin = S.read_with_fallback(spark, schema, missing, lambda s: s.read.schema(schema).parquet(path))
