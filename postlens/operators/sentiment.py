@@ -115,8 +115,9 @@ def _rule_totals(posts, key, text, lexicon, rule_words):
                 .when(token.isin(list(rule_words.dampeners)), F.lit(-INTENSITY)).otherwise(F.lit(0.0)))
 
     def push(word, damping):
+        strength = boost(F.lower(word))
         shout = F.when(F.col("mixed_case") & _is_capitals(word), F.lit(CAPITALS)).otherwise(F.lit(0.0))
-        return F.when(boost(F.lower(word)) != 0, (boost(F.lower(word)) + shout) * damping).otherwise(F.lit(0.0))
+        return F.when(strength != 0, (strength + shout) * damping).otherwise(F.lit(0.0))
 
     def flip(word):
         negates = (F.replace(F.lower(word), F.lit("'"), F.lit("")).isin(list(rule_words.negators))

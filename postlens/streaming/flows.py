@@ -10,6 +10,7 @@ from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Observation, functions as F, types as T
 
+from postlens.functions.keys import duplicate_key
 from postlens.operators.cleaning import ANALYSED, KEY, clean, deduplicate
 from postlens.operators.sentiment import score
 from postlens.scratch import settle
@@ -104,8 +105,8 @@ def dedupe_stream(posts, path, checkpoint):
 
 def drop_repeats(posts, delay):
     """Streaming duplicate removal with bounded state: copies later than ``delay`` after the first come through."""
-    return (clean(posts).withWatermark("created_ts", delay)
-            .dropDuplicatesWithinWatermark(["source", "text_clean"]))
+    keyed = clean(posts).withColumn(KEY, duplicate_key("source", "text_clean"))    # state holds digests, not texts
+    return keyed.withWatermark("created_ts", delay).dropDuplicatesWithinWatermark([KEY])
 
 
 def window_counts(posts, keys, width="1 day", delay="1 day", time_column="created_ts"):

@@ -133,8 +133,8 @@ def priority_budget_documents(spark, d):
 
 @query
 def clean_dedupe(spark, d):
-    return cleaned(spark, d).select("post_id", F.length("text_v").alias("visible_chars"),
-                                    F.length("text_clean").alias("clean_chars"),
+    return cleaned(spark, d).select("post_id", F.length("text_v").cast("long").alias("visible_chars"),
+                                    F.length("text_clean").cast("long").alias("clean_chars"),
                                     F.md5("text_clean").alias("clean_md5"))
 
 
