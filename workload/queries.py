@@ -3,18 +3,17 @@ from pyspark.sql import functions as F, types as T
 
 from postlens.functions.times import from_epoch, from_text
 from postlens.operators import aggregates as A, insights as I, profile as P, trends as TR, validation as V
-from postlens.operators.cleaning import clean, removed_share
-from postlens.operators.normalize import language_only, normalize, storable, with_default
+from postlens.operators.cleaning import removed_share
+from postlens.operators.normalize import language_only, normalize, storable, with_calendar, with_default
 from postlens.operators.sampling import byte_budget, first_rows, fraction_of, key_slice, priority_budget
-from postlens.operators.sentiment import score
 from postlens.constants import LOAD_SLICES, RUN_FRACTIONS
-from postlens.plans.analytics import derived_tables, run_analytics
+from postlens.plans.analytics import run_analytics
 from postlens.plans.ingest import bulk_load, replay
 from postlens.scratch import new_folder, settle
 from postlens.sources import messages as M, store as S
 from postlens.schema import POSTS_SCHEMA
 from postlens.streaming import flows, gate
-from workload.views import (RULE_WORDS, cleaned, event_messages, feed_alpha, feed_beta, lexicon, line_terms,
+from workload.views import (cleaned, event_messages, feed_alpha, feed_beta, lexicon, line_terms,
                             line_totals, post_stream, posts, raw_documents, scored, scored_columns, table,
                             table_stream)
 
@@ -182,7 +181,6 @@ def community_sentiment(spark, d):
 
 def clean_calendar(spark, d):
     """Cleaned posts with the calendar: what the term tables need, without scores."""
-    from postlens.operators.normalize import with_calendar
     return with_calendar(cleaned(spark, d))
 
 
