@@ -2,7 +2,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from postlens.llm import bpe, mixing, quality_rules, sharding
+from postlens.llm import bpe, chat, forest, hyperminhash, licenses, line_dedup, mixing, oracles, quality_bayes, quality_rules, sharding
 from postlens.session import configure
 
 
@@ -36,5 +36,47 @@ def op10_quality_rules(spark, sf_dir):
         F.array_join("quality.broken", ",").alias("broken"))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_hilbert_shards, op6_mix, op10_quality_rules)}
-ORACLES: dict[str, str] = {}
+def op3_license_scan(spark, sf_dir):
+    """Base phrases and detected licenses of every document."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op4_forest_dedup(spark, sf_dir):
+    """Links and components of all embeddings at a cosine of 0.95."""
+    return forest.near_duplicates(table(spark, sf_dir, "embeddings"), 0.95)
+
+
+def op5_quality_bayes(spark, sf_dir):
+    """Posterior quality of every document."""
+    return quality_bayes.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op7_line_dedup(spark, sf_dir):
+    """Lines before, lines removed and a digest of what is left of every document."""
+    done = line_dedup.removed_lines(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return done.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
+def op8_hyperminhash(spark, sf_dir):
+    """Components of documents whose shingle sets reach a Jaccard index of 0.85."""
+    return hyperminhash.near_duplicates(table(spark, sf_dir, "documents"), 85)
+
+
+def op9_chat(spark, sf_dir):
+    """Every conversation, and one made of control strings, formatted and read back."""
+    odd = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(
+        F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    rows = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("long").alias("turn"), "role", "text")
+    written = chat.conversations(rows.unionByName(odd))
+    read = written.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
+                          chat.read_loss(F.col("formatted"), F.col("loss")).alias("answers"))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
+                       F.length("answers").cast("long").alias("loss_chars"), F.sha2("answers", 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_bpe, op2_hilbert_shards, op3_license_scan, op4_forest_dedup, op5_quality_bayes, op6_mix, op7_line_dedup,
+    op8_hyperminhash, op9_chat, op10_quality_rules)}
+ORACLES = dict(oracles.ORACLES)
