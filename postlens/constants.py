@@ -15,7 +15,7 @@ HASHTAG_PATTERN = r"#(\w+)"
 COMMUNITY_PREFIX = "^r/"
 WEEKDAY_PREFIX = r"^[A-Za-z]{3}\s+"
 FEED_TIME_FORMAT = "MMM dd HH:mm:ss Z yyyy"
-TEXT_LIMIT = 1000
+PUBLISHED_TEXT_LIMIT = 1000     # the published pipeline reads no more of a text; ours only when asked to
 MIN_CLEAN_LENGTH = 3
 MIN_KEYWORD_LENGTH = 4
 MIN_HASHTAG_LENGTH = 3

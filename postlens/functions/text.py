@@ -2,13 +2,14 @@
 from pyspark.sql import functions as F
 
 from postlens.constants import (BLANK_TEXTS, HASHTAG_PATTERN, MENTION_PATTERN, MIN_CLEAN_LENGTH, MIN_KEYWORD_LENGTH,
-                                STOPWORDS, TEXT_LIMIT, URL_PATTERN)
+                                STOPWORDS, URL_PATTERN)
 
 
-def visible(text):
-    """URLs removed from the whole text, then the first 1,000 characters; case and punctuation stay."""
+def visible(text, limit=None):
+    """URLs removed from the whole text; case and punctuation stay. ``limit`` keeps only so many characters after that."""
     may_hold_url = text.contains("://") | text.contains("www.")     # a plain search, much cheaper than the pattern
-    return F.substring(F.when(may_hold_url, F.regexp_replace(text, URL_PATTERN, "")).otherwise(text), 1, TEXT_LIMIT)
+    whole = F.when(may_hold_url, F.regexp_replace(text, URL_PATTERN, "")).otherwise(text)
+    return whole if limit is None else F.substring(whole, 1, limit)
 
 
 def is_blank(text_v):

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from postlens.constants import CLASSES, MIN_HASHTAG_COUNT, MIN_HASHTAG_LENGTH, MIN_KEYWORD_COUNT, STOPWORDS
 from postlens.functions.labels import label_class
 from postlens.functions.text import distinct_hashtags, distinct_tokens, is_keyword
+from postlens.scratch import settle
 
 SCORED_COLUMNS = ["source", "sentiment", "day", "month", "compound", "community", "text_v", "text_clean",
                   "orig_sentiment", "orig_score"]
@@ -56,9 +57,9 @@ def compound_hist(scored):
             .orderBy("source", "bin"))
 
 
-def community_sentiment(scored):
-    return (scored.where(F.col("community").isNotNull()).groupBy("community").agg(_rows(), _mean_compound())
-            .orderBy(F.desc("n"), "community"))
+def community_sentiment(scored, ordered=True):
+    table = scored.where(F.col("community").isNotNull()).groupBy("community").agg(_rows(), _mean_compound())
+    return table.orderBy(F.desc("n"), "community") if ordered else table
 
 
 def _monthly_terms(scored, terms, name, keep, min_count):
@@ -149,16 +150,44 @@ def label_check(confusion):
           .alias(f"predicted_{c}_pct") for c in CLASSES])
 
 
+def daily_classes(scored):
+    """Posts and summed ten-thousandths of score per source, day, class and score bin: four tables are roll-ups of it."""
+    number = F.floor(F.round((F.col("compound") + 1) * 10, 9))
+    points = F.sum(F.round(F.col("compound") * 10000).cast("long"))
+    return scored.groupBy("source", "day", "month", "sentiment", number.alias("number")).agg(_rows(), points.alias("points"))
+
+
+def rolled_up(classes):
+    """The tables that follow from ``daily_classes``."""
+    def n_of(value):
+        return F.coalesce(F.sum(F.when(F.col("sentiment") == value, F.col("n"))), F.lit(0))
+
+    n = F.sum("n")
+    return {
+        "sentiment_by_source": classes.groupBy("source", "sentiment").agg(n.alias("count")),
+        "daily_sentiment": classes.groupBy("day", "source").agg(
+            n.alias("n"), (F.round(F.sum("points") / n) / 10000).alias("avg_compound"),
+            n_of("positive").alias("n_pos"), n_of("negative").alias("n_neg")),
+        "monthly_totals": classes.groupBy("month", "source").agg(n.alias("n")),
+        "compound_hist": classes.groupBy("source", "number").agg(n.alias("count")).select(
+            "source", F.round(F.col("number") / 10 - 1, 1).alias("bin"), "count"),
+    }
+
+
 def result_tables(scored, min_keyword_count=MIN_KEYWORD_COUNT, min_hashtag_count=MIN_HASHTAG_COUNT):
-    """All result tables by name."""
+    """All result tables by name, unordered. ``scored`` is read six times; give a settled table."""
     return {
-        "sentiment_by_source": sentiment_by_source(scored),
-        "daily_sentiment": daily_sentiment(scored),
-        "monthly_totals": monthly_totals(scored),
-        "compound_hist": compound_hist(scored),
-        "community_sentiment": community_sentiment(scored),
+        **rolled_up(settle(daily_classes(scored), "daily_classes")),
+        "community_sentiment": community_sentiment(scored, ordered=False),
         "keyword_monthly": keyword_monthly(scored, min_keyword_count),
         "hashtag_monthly": hashtag_monthly(scored, min_hashtag_count),
         "validation_confusion": validation_confusion(scored),
         "validation_corr": validation_corr(scored),
     }
+
+
+def in_order(name, table):
+    """A result table in the order it is published in."""
+    return {"daily_sentiment": lambda t: t.orderBy("source", "day"), "compound_hist": lambda t: t.orderBy("source", "bin"),
+            "community_sentiment": lambda t: t.orderBy(F.desc("n"), "community"),
+            "trend_terms": lambda t: t.orderBy(F.desc("burst_z"), "source", "token")}.get(name, lambda t: t)(table)

@@ -1,10 +1,11 @@
 """Profiles of raw feeds and checks over stored and aggregated data."""
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from postlens.constants import COMMUNITY_COLUMNS, LABEL_COLUMNS, SCORE_COLUMNS
 from postlens.functions.sizes import row_bytes
-from postlens.operators.sampling import ranges_with_totals
+from postlens.operators.sampling import rows_at
 from postlens.schema import find_column
+from postlens.scratch import settle
 
 
 def resolved_columns(df):
@@ -34,39 +35,30 @@ def describe_number(df, column):
     """
     values = df.select(F.col(column).cast("double").alias("value")).where(F.col(column).isNotNull())
     counts = values.groupBy("value").agg(F.count("*").alias("n"))
-    table, totals = ranges_with_totals(counts, ["value"], "n")
-    basics = table.agg(F.sum("n").alias("count"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
-                       F.min("value").alias("min"), F.max("value").alias("max")).first()
+    counts = settle(counts, "values")
+    basics = counts.agg(F.sum("n").alias("count"), (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
+                        F.min("value").alias("min"), F.max("value").alias("max")).first()
     size, mean = basics["count"] or 0, basics["mean"]
     if size == 0:
         return df.sparkSession.createDataFrame([("count", 0.0)], "statistic string, value double")
-    squares = table.agg(F.sum(F.pow(F.col("value") - F.lit(mean), 2) * F.col("n"))).first()[0]
+    squares = counts.agg(F.sum(F.pow(F.col("value") - F.lit(mean), 2) * F.col("n"))).first()[0]
     rows = [("count", float(size)), ("mean", mean),
             ("std", (squares / (size - 1)) ** 0.5 if size > 1 else None), ("min", basics["min"])]
-    ranges = totals.orderBy("range").collect()       # one row per shuffle partition
-    for name, q in (("25%", 0.25), ("50%", 0.5), ("75%", 0.75)):
-        position = q * (size - 1)
-        low = _order_statistic(table, ranges, int(position))
-        part = position - int(position)
-        high = _order_statistic(table, ranges, int(position) + 1) if part else low
-        rows.append((name, low + (high - low) * part))
+    places = {name: q * (size - 1) for name, q in (("25%", 0.25), ("50%", 0.5), ("75%", 0.75))}
+    wanted = {int(p) + 1 for p in places.values()} | {min(int(p) + 2, size) for p in places.values()}
+    at = rows_at(counts, ["value"], "n", sorted(wanted))
+    for name, p in places.items():
+        low, high = at[int(p) + 1]["value"], at[min(int(p) + 2, size)]["value"]
+        rows.append((name, low + (high - low) * (p - int(p))))
     rows.append(("max", basics["max"]))
     return df.sparkSession.createDataFrame(rows, "statistic string, value double")
 
 
-def _order_statistic(table, ranges, index):
-    """The value at 0-based ``index`` in sorted order: looked up in the one range that holds it."""
-    home = next(r for r in ranges if r["before"] <= index < r["before"] + r["total"])
-    running = Window.orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
-    inside = table.where(F.col("range") == home["range"]).withColumn("reached", F.sum("n").over(running))
-    return inside.where(F.col("reached") > index - home["before"]).agg(F.min("value")).first()[0]
-
-
-def input_inventory(df):
-    """Files and bytes a file-based DataFrame reads."""
-    files = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("bytes")).distinct()
-    return files.agg(F.count("*").alias("files"), F.sum("bytes").alias("bytes"),
-                     (F.sum("bytes") / F.lit(1e9)).alias("gigabytes"))
+def input_inventory(spark, path):
+    """Files and bytes under a path, from the listing alone: no file is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    return files.agg(F.count("*").alias("files"), F.sum("length").alias("bytes"),
+                     (F.sum("length") / F.lit(1e9)).alias("gigabytes"))
 
 
 def feed_summary(df, group):
@@ -84,20 +76,27 @@ def fraction_counts(posts, fractions):
     return counts.select(F.inline(F.array(*rows)))
 
 
-def reconcile(tables):
-    """Totals of the result tables that must agree."""
-    return (tables["sentiment_by_source"].agg(F.sum("count").alias("total")).select(
-                F.lit("sentiment_by_source").alias("table"), "total")
-            .unionByName(tables["daily_sentiment"].agg(F.sum("n").alias("total")).select(
-                F.lit("daily_sentiment").alias("table"), "total"))
-            .unionByName(tables["monthly_totals"].agg(F.sum("n").alias("total")).select(
-                F.lit("monthly_totals").alias("table"), "total"))
-            .unionByName(tables["compound_hist"].agg(F.sum("count").alias("total")).select(
-                F.lit("compound_hist").alias("table"), "total")))
+def reconcile(tables, clean):
+    """Posts per source in every result table that counts posts, next to the cleaned posts; ``holds`` if they agree."""
+    counted = {"sentiment_by_source": "count", "daily_sentiment": "n", "monthly_totals": "n", "compound_hist": "count"}
+    rows = [tables[name].groupBy("source").agg(F.sum(n).alias("total")).select(F.lit(name).alias("table"), "source", "total")
+            for name, n in counted.items()]
+    every = rows[0]
+    for other in rows[1:]:
+        every = every.unionByName(other)
+    per_source = clean.groupBy("source").agg(F.count("*").alias("rows_clean"))
+    pairs = per_source.select("source", "rows_clean", F.explode(F.array(*[F.lit(n) for n in counted])).alias("table"))
+    return pairs.join(every, ["table", "source"], "full").select(
+        "table", "source", "rows_clean", "total", F.coalesce(F.col("rows_clean") == F.col("total"), F.lit(False)).alias("holds"))
 
 
 def totals_check(posts, expected):
-    """Whether posts with a source add up to the expected total."""
-    return posts.agg(F.count("*").alias("total"), F.count("source").alias("sum_of_sources")).select(
-        F.lit(expected).cast("long").alias("expected"), "total", "sum_of_sources",
-        ((F.col("total") == expected) & (F.col("sum_of_sources") == expected)).alias("holds"))
+    """Stored posts per source next to the expected ones (source, posts), and all of them together (source null)."""
+    def totals(df, name, value):
+        return df.rollup("source").agg(value.alias(name), F.grouping("source").alias("all"))
+    stored = totals(posts.where(F.col("source").isNotNull()), "stored", F.count("*"))
+    wanted = totals(expected, "expected", F.sum("posts"))
+    same = F.col("s.source").eqNullSafe(F.col("w.source")) & (F.col("s.all") == F.col("w.all"))
+    return stored.alias("s").join(wanted.alias("w"), same, "full").select(
+        F.coalesce("s.source", "w.source").alias("source"), F.col("w.expected").alias("expected"), F.col("s.stored").alias("stored"),
+        F.coalesce(F.col("w.expected") == F.col("s.stored"), F.lit(False)).alias("holds"))

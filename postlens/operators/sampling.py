@@ -10,6 +10,8 @@ from pyspark.sql import Window, functions as F
 from postlens.functions.sizes import row_bytes
 from postlens.scratch import settle
 
+ROWS_IN_ORDER = 1_000_000     # rows a single task may put in order
+
 
 def fraction_of(posts, fraction):
     """Repeatable sample: posts with ``sample_key`` below ``fraction``; posts without a key are out."""
@@ -24,41 +26,75 @@ def key_slice(posts, low, high):
 def ranges_with_totals(slim, order, weight):
     """Settle ``slim`` in ranges of ``order`` and give each range the weight before it.
 
-    Returns the settled table with a ``range`` column, and one row per range:
-    ``range, total, before``.
+    Returns the settled table with a ``range`` column, and one row per range: ``range, rows, total, before``.
     """
     ranged = (slim.repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
     table = settle(ranged, "ranges")
-    totals = table.groupBy("range").agg(F.sum(weight).alias("total"))
+    totals = table.groupBy("range").agg(F.count("*").alias("rows"), F.sum(weight).alias("total"))
     running = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)   # one row per range
     return table, totals.withColumn("before", F.coalesce(F.sum("total").over(running), F.lit(0)))
 
 
+def rows_at(slim, order, weight, targets):
+    """For each target the row at which the running weight reaches it (left out if it never does).
+
+    A range that holds a target but more than ``ROWS_IN_ORDER`` rows is divided into ranges again, so no task
+    orders more than that, whatever the number of rows. All targets are looked up in one pass.
+    """
+    table, totals = ranges_with_totals(slim, order, weight)
+    homes = {}
+    for r in totals.collect():     # one row per shuffle partition
+        inside = [t for t in targets if r["before"] < t <= r["before"] + r["total"]]
+        if inside:
+            homes[r["range"]] = (r, inside)
+    found, ready = {}, []
+    for r, inside in homes.values():
+        if r["rows"] <= ROWS_IN_ORDER:
+            ready += [(r, t) for t in inside]
+            continue
+        part = table.where(F.col("range") == r["range"]).drop("range")
+        ends = part.agg(F.min(F.struct(*order)).alias("low"), F.max(F.struct(*order)).alias("high")).first()
+        if ends["low"] == ends["high"]:
+            raise ValueError(f"rows are not in a total order by {order}: add a unique column")
+        deeper = rows_at(part, order, weight, [t - r["before"] for t in inside])
+        found |= {t + r["before"]: row for t, row in deeper.items()}
+    if ready:
+        running = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        inside = table.where(F.col("range").isin([r["range"] for r, _ in ready])).withColumn("reached", F.sum(weight).over(running))
+        wanted = F.lit(False)
+        for r, t in ready:
+            rest = t - r["before"]
+            wanted = wanted | ((F.col("range") == r["range"]) & (F.col("reached") >= rest) & (F.col("reached") - F.col(weight) < rest))
+        hits = inside.where(wanted).collect()     # at most one per target
+        for r, t in ready:
+            found[t] = next(h for h in hits if h["range"] == r["range"] and h["reached"] - h[weight] < t - r["before"] <= h["reached"])
+    return found
+
+
 def _cut(slim, order, weight, target):
     """Order values of the row at which the running weight reaches ``target``; None if it never does."""
-    table, totals = ranges_with_totals(slim, order, weight)
-    hit = totals.where((F.col("before") < target) & (F.col("before") + F.col("total") >= target)).first()
-    if hit is None:
+    cut = rows_at(slim, order, weight, [target]).get(target)
+    if cut is None:
         return None
-    inside = table.where(F.col("range") == hit["range"])
-    running = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)     # one range only
-    cut = (inside.withColumn("reached", F.sum(weight).over(running) + hit["before"])
-           .where(F.col("reached") >= target).orderBy(*order).first())
     same = F.lit(True)
     for name in order:
         same = same & F.col(name).eqNullSafe(F.lit(cut[name]))
-    if inside.where(same).limit(2).count() > 1:
+    if slim.where(same).limit(2).count() > 1:
         raise ValueError(f"rows are not in a total order by {order}: add a unique column")
     return [cut[name] for name in order]
 
 
 def _up_to(order, values):
-    """Lexicographic ``order <= values``. The first column alone bounds the scan."""
+    """Lexicographic ``order <= values``, nulls first. The first column alone bounds the scan."""
     condition = F.lit(True)
     for name, value in reversed(list(zip(order, values))):
         column = F.col(name)
-        condition = (column < value) | ((column == value) & condition)
-    return (F.col(order[0]) <= values[0]) & condition
+        if value is None:
+            condition = column.isNull() & condition
+        else:
+            condition = column.isNull() | (column < value) | ((column == value) & condition)
+    first = F.col(order[0])
+    return (first.isNull() if values[0] is None else first.isNull() | (first <= values[0])) & condition
 
 
 def _keep_while_below(df, order, weight, target):
@@ -68,7 +104,7 @@ def _keep_while_below(df, order, weight, target):
 
 
 def first_rows(df, n, order):
-    """The first ``n`` rows by the unique, non-null ``order`` columns, for any ``n``."""
+    """The first ``n`` rows by the unique ``order`` columns, nulls first, for any ``n``."""
     if n <= 0:
         return df.where(F.lit(False))
     return _keep_while_below(df, list(order), F.lit(1).cast("long"), n)
@@ -77,7 +113,7 @@ def first_rows(df, n, order):
 def byte_budget(df, target, order):
     """Rows in order until their estimated bytes reach ``target``; the row that crosses it is kept.
 
-    ``order`` must be unique and non-null.
+    ``order`` must be unique; nulls come first.
     """
     if target <= 0:
         return df.where(F.lit(False))

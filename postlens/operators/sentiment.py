@@ -9,7 +9,6 @@ Two levels: ``rules=False`` sums valences; ``rules=True`` (default) applies the
 capitals, intensifiers, negation, contrast and punctuation (Hutto & Gilbert, "VADER", ICWSM 2014).
 """
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Window, functions as F
 
@@ -26,6 +25,8 @@ BEFORE_BUT, AFTER_BUT = 0.5, 1.5
 EXCLAMATION, MAX_EXCLAMATIONS = 0.292, 4
 QUESTION, MANY_QUESTIONS = 0.18, 0.96
 
+# A word without small letters that is more than digits and punctuation: only then is it worth comparing cases.
+MAY_SHOUT = r"(?<!\S)[^\s\p{Ll}]*[^\s\p{Ll}\p{Nd}\p{No}\p{P}][^\s\p{Ll}]*(?!\S)"
 BLANKS = " \t\n\x0b\f\r"
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -88,16 +89,25 @@ def _bare(word):
 
 
 def _words(posts, key, text, contrast):
-    """One row per word: position, word, all words of the text and the place of the contrast word (0: none)."""
-    words = F.split(F.btrim(text, F.lit(BLANKS)), r"\s+")
-    per_post = posts.select(key, text.alias("text"), words.alias("words")).select(
-        key, "words",
+    """One slim row per word: position, the word, the three words before it, the place of the contrast word (0: none)
+    and whether the text mixes words in capitals with others.
+
+    The words of a text are an array only inside the generator; a row that is shuffled holds four words, whatever
+    the length of its text.
+    """
+    def rows(words):
+        mixed = F.when(text.rlike(MAY_SHOUT), F.size(F.filter(words, _is_capitals)) % F.size(words) != 0).otherwise(F.lit(False))
         # Most texts have no contrast word at all; only the others look at every word for its place.
-        F.when(F.lower("text").contains(contrast),
-               F.array_position(F.transform("words", lambda w: F.lower(_bare(w))), contrast))
-        .otherwise(F.lit(0)).alias("contrast_at"))
+        contrast_at = F.when(F.lower(text).contains(contrast), F.array_position(
+            F.transform(words, lambda w: F.lower(_bare(w))), contrast)).otherwise(F.lit(0).cast("long"))
+        facts = F.array(F.struct(mixed.alias("mixed"), contrast_at.alias("contrast_at")))
+        return F.flatten(F.transform(facts, lambda f: F.transform(words, lambda w, i: F.struct(
+            i.alias("pos"), w.alias("word"), f["mixed"].alias("mixed"), f["contrast_at"].alias("contrast_at"),
+            *[F.get(words, i - k).alias(f"word_{k}") for k in DAMPING]))))
+
+    words = F.array(F.split(F.btrim(text, F.lit(BLANKS)), r"\s+"))
     # The outer form: the inner one would compute the array a second time just to filter empty texts.
-    return per_post.select("*", F.posexplode_outer("words").alias("pos", "word"))
+    return posts.select(key, F.inline_outer(F.flatten(F.transform(words, rows))))
 
 
 def _rule_totals(posts, key, text, lexicon, rule_words):
@@ -105,10 +115,9 @@ def _rule_totals(posts, key, text, lexicon, rule_words):
     # Never null, so that the join adds no null filter that would compute the token twice.
     token = F.coalesce(F.lower(_bare(F.col("word"))), F.lit(""))
     words = _words(posts, key, text, rule_words.contrast).withColumn("token", token)
-    # All words travel by reference up to this join; of the few hits, only the three words before stay.
     hits = words.join(lexicon, "token").select(
-        key, "contrast_at", "pos", "token", "valence", "words", _is_capitals(F.col("word")).alias("capitals"),
-        *[F.coalesce(_bare(F.get("words", F.col("pos") - k)), F.lit("")).alias(f"word_{k}") for k in DAMPING])
+        key, "contrast_at", "pos", "token", "valence", F.col("mixed").alias("mixed_case"), _is_capitals(F.col("word")).alias("capitals"),
+        *[F.coalesce(_bare(F.col(f"word_{k}")), F.lit("")).alias(f"word_{k}") for k in DAMPING])
 
     def boost(token):
         return (F.when(token.isin(list(rule_words.intensifiers)), F.lit(INTENSITY))
@@ -125,10 +134,6 @@ def _rule_totals(posts, key, text, lexicon, rule_words):
         return F.when(negates, F.lit(NEGATION)).otherwise(F.lit(1.0))
 
     # Capitals count only in a text that is not all capitals: some of its words are, not none and not all.
-    # That is looked up only for hits with capitals at or just before them.
-    some_shouted = F.size(F.filter("words", _is_capitals)) % F.size("words") != 0
-    near_capitals = reduce(lambda a, b: a | b, [_is_capitals(F.col(f"word_{k}")) for k in DAMPING], F.col("capitals"))
-    hits = hits.withColumn("mixed_case", near_capitals & some_shouted)
     facts = hits.select(
         key, "contrast_at", "pos", "valence", (boost(F.col("token")) == 0).alias("counts"),
         (F.col("mixed_case") & F.col("capitals")).alias("loud"),

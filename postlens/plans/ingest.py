@@ -1,42 +1,51 @@
 """Bulk load in cumulative slices, and replay of posts as messages."""
 import time
 
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 from postlens.constants import LOAD_SLICES
 from postlens.operators.sampling import first_rows, key_slice
+from postlens.scratch import forget, settle
 from postlens.sources.messages import post_messages, send
-from postlens.sources.store import append_metrics, count_stored, read_posts, write_posts
+from postlens.sources.store import append_metrics, write_posts
 
 
 def bulk_load(posts, path, slices=LOAD_SLICES, metrics=None):
     """Reload a store slice by slice; the time after each slice is the load time of that fraction.
 
-    The first slice replaces the store. Returns one metrics row per slice.
+    The raw feeds are read and parsed once; that time is shared out by rows. The first slice replaces the store. Rows are
+    counted while they are written. A post without a key is in no slice. Returns one metrics row per slice.
     """
-    spark, rows, stored, total_seconds = posts.sparkSession, [], 0, 0.0
-    for low, high in slices:
-        started = time.time()
-        write_posts(key_slice(posts, low, high), path, mode="append" if rows else "overwrite")
-        seconds = time.time() - started
-        # A post without a key is in no slice, so fractions of 1 and above count everything stored.
-        now = count_stored(read_posts(spark, float("inf"), path))
-        total_seconds += seconds
-        rows.append(dict(dataset_fraction=float(high), slice_rows=now - stored, slice_seconds=round(seconds, 2),
-                         slice_rows_per_sec=round((now - stored) / seconds, 1), cumulative_rows=now,
+    spark, rows, total, total_seconds = posts.sparkSession, [], 0, 0.0
+    started, parsed = time.time(), Observation("parsed")
+    keyed = settle(posts.observe(parsed, F.count(F.lit(1)).alias("n")), "posts")
+    parse_seconds, n_parsed = time.time() - started, max(parsed.get["n"], 1)
+    for k, (low, high) in enumerate(slices):
+        started, written = time.time(), Observation(f"slice-{k}")
+        part = key_slice(keyed, low, high).observe(written, F.count(F.lit(1)).alias("n"))
+        write_posts(part, path, mode="append" if rows else "overwrite")
+        n = written.get["n"]
+        seconds = time.time() - started + parse_seconds * n / n_parsed
+        total, total_seconds = total + n, total_seconds + seconds
+        rows.append(dict(dataset_fraction=float(high), slice_rows=n, slice_seconds=round(seconds, 2),
+                         slice_rows_per_sec=round(n / seconds, 1), cumulative_rows=total,
                          cumulative_seconds=round(total_seconds, 2),
-                         cumulative_rows_per_sec=round(now / total_seconds, 1)))
-        stored = now
+                         cumulative_rows_per_sec=round(total / total_seconds, 1)))
+    forget(keyed)
     if metrics:
         append_metrics(spark, rows, metrics)
     return rows
 
 
 def replay(posts, n, format="kafka", path=None, **options):
-    """Send ``n`` posts as messages, sources mixed by sample key. Returns a metrics row."""
-    started = time.time()
-    keyed = posts.where(F.col("sample_key").isNotNull() & F.col("post_id").isNotNull())
-    send(post_messages(first_rows(keyed, n, ["sample_key", "post_id"])), format, path, **options)
-    seconds = time.time() - started
-    sent = min(n, count_stored(keyed))
-    return dict(mode="produce", records=sent, seconds=round(seconds, 2), records_per_sec=round(sent / seconds, 1))
+    """Send ``n`` posts as messages, sources mixed by sample key, posts without id included. Returns a metrics row.
+
+    The posts are settled once with a line number, which makes the order total also where posts repeat.
+    """
+    started, sent = time.time(), Observation("sent")
+    lines = settle(posts.where(F.col("sample_key").isNotNull()).withColumn("line", F.monotonically_increasing_id()), "lines")
+    chosen = first_rows(lines, n, ["sample_key", "line"]).drop("line").observe(sent, F.count(F.lit(1)).alias("n"))
+    send(post_messages(chosen), format, path, **options)
+    seconds, count = time.time() - started, sent.get["n"]
+    forget(lines)
+    return dict(mode="produce", records=count, seconds=round(seconds, 2), records_per_sec=round(count / seconds, 1))

@@ -3,20 +3,14 @@
 A table written there survives lost executors, is computed once however many results read it, and has
 a size Spark knows from its files: Catalyst then broadcasts it in a join only when it is really small.
 """
-import tempfile
 import uuid
 
 SETTING = "spark.checkpoint.dir"
 
 
 def scratch_root(spark):
-    """The shared folder named by the cluster; a local folder only for a local master without one."""
-    root = spark.conf.get(SETTING, None)
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {SETTING} to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="postlens-")
-        spark.conf.set(SETTING, root)
+    """The shared folder named by the cluster; where it names none, a folder in the (shared) warehouse."""
+    root = spark.conf.get(SETTING, None) or spark.conf.get("spark.sql.warehouse.dir") + "/scratch"
     return root.rstrip("/")
 
 
@@ -30,4 +24,13 @@ def settle(df, purpose, partition_by=()):
     spark = df.sparkSession
     path = new_folder(spark, purpose)
     df.write.partitionBy(*partition_by).parquet(path)
-    return spark.read.schema(df.schema).parquet(path).select(df.columns)
+    table = spark.read.schema(df.schema).parquet(path).select(df.columns)
+    table.settled_in = path
+    return table
+
+
+def forget(table):
+    """Delete a settled table that nothing will read again, through the file system that holds it."""
+    spark = table.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(table.settled_in)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

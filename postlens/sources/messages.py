@@ -1,13 +1,19 @@
 """JSON messages: unified posts, and raw rows as text."""
 from pyspark.sql import functions as F, types as T
 
-MESSAGE_TIME = "yyyy-MM-dd HH:mm:ssXXX"
+# The fraction of a second is written only where there is one; the zone is always a number.
+WHOLE_SECOND, PART_OF_SECOND = "yyyy-MM-dd HH:mm:ssxxx", "yyyy-MM-dd HH:mm:ss.SSSSSSxxx"
+
+
+def message_time(column):
+    return F.when(F.date_trunc("second", column) == column, F.date_format(column, WHOLE_SECOND)).otherwise(
+        F.date_format(column, PART_OF_SECOND))
 
 
 def post_messages(posts):
     """One JSON message per post in column ``value``. Missing values keep their key, times are text."""
     fields = [F.when(~F.isnan("orig_score"), F.col("orig_score")).alias("orig_score") if c == "orig_score"
-              else F.date_format("created_ts", MESSAGE_TIME).alias(c) if c == "created_ts" else F.col(c)
+              else message_time(F.col(c)).alias(c) if c == "created_ts" else F.col(c)
               for c in posts.columns if c != "sample_key"]
     return posts.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))
 
@@ -48,9 +54,9 @@ def send(messages, format="kafka", path=None, **options):
 
 
 def message_stream(spark, format="kafka", path=None, **options):
-    """Streaming DataFrame with one message per row in ``value``, from the earliest one."""
-    reader = spark.readStream.format(format).options(**options)
+    """Streaming DataFrame with one message per row in ``value``; from the earliest one unless options say otherwise."""
     if format == "kafka":
-        reader = reader.option("startingOffsets", "earliest")
+        options = {"startingOffsets": "earliest", **options}
+    reader = spark.readStream.format(format).options(**options)
     stream = reader.load(path) if path else reader.load()
     return stream.select(F.col("value").cast("string").alias("value"))

@@ -1,25 +1,25 @@
 """Post store and result tables: any Spark format and its options, Parquet by default."""
-from py4j.protocol import Py4JError
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from postlens.constants import ROWS_PER_FILE
 from postlens.operators.normalize import storable
 from postlens.operators.sampling import fraction_of
 from postlens.schema import POSTS_SCHEMA
+from postlens.scratch import settle
 
 
-def write_posts(posts, path=None, mode="append", format="parquet", **options):
+def write_posts(posts, path=None, mode="append", format="parquet", by="sample_key", **options):
     """Write posts; ``mode="overwrite"`` starts the store anew.
 
-    File stores are laid out for the two access paths: one folder per source (partition pruning), and
-    rows in each file sorted by ``sample_key`` (page skipping for fraction reads). The sort stays inside
-    the tasks: no shuffle, however large one source is. Row stores keep their own indexes.
+    File stores are laid out for the access paths: one folder per source (partition pruning), and rows in each file
+    sorted by ``by``: ``sample_key`` (page skipping for fraction reads) or ``created_ts`` (for reads of a source over a span of time).
+    The sort stays inside the tasks: no shuffle, however large one source is. Row stores keep their own indexes.
     """
     if path is None:
         posts.write.format(format).mode(mode).options(**options).save()
         return
-    (posts.sortWithinPartitions("source", "sample_key")
+    (posts.sortWithinPartitions("source", by)
      .write.format(format).mode(mode).option("partitionOverwriteMode", "static").options(**options)
      .partitionBy("source").save(path))
 
@@ -47,13 +47,14 @@ def scan_inferred(spark, path=None, format="parquet", **options):
     return reader.load(path) if path else reader.load()
 
 
-def replace_tables(tables, root, format="parquet", untyped=False, **options):
+def replace_tables(tables, root, format="parquet", untyped=False, order=lambda name, df: df, **options):
     """Replace each result table under ``root``; an empty result leaves the old content. Returns the names written."""
     written = []
     for name, df in tables.items():
+        df = df if hasattr(df, "settled_in") else settle(df, name)     # looked at and written: computed once
         if df.isEmpty():
             continue
-        out = storable(df) if untyped else df
+        out = order(name, storable(df) if untyped else df)
         out.write.format(format).mode("overwrite").options(**options).save(f"{root}/{name}")
         written.append(name)
     return written
@@ -64,10 +65,14 @@ def read_csv_result(spark, path, schema):
     return spark.read.schema(schema).csv(path, header=True, nullValue="", nanValue="")
 
 
-def read_with_fallback(spark, schema, primary=None, fallback=None):
-    """First readable, non-empty table and where it came from.
+MISSING = ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
-    ``primary`` and ``fallback`` are functions of the session that return a DataFrame.
+
+def read_with_fallback(spark, schema, primary=None, fallback=None, unreachable=()):
+    """First present, non-empty table and where it came from.
+
+    ``primary`` and ``fallback`` are functions of the session that return a DataFrame. Only a table that is not there counts
+    as missing, and errors of the types in ``unreachable`` (a store that cannot be connected to); any other error is raised.
     """
     for read, origin, may_be_empty in ((primary, "store", False), (fallback, "file", True)):
         if read is None:
@@ -76,8 +81,11 @@ def read_with_fallback(spark, schema, primary=None, fallback=None):
             df = read(spark)
             if may_be_empty or not df.isEmpty():
                 return df, origin
-        except (PySparkException, Py4JError):
+        except unreachable:
             continue
+        except AnalysisException as error:
+            if (error.getCondition() or "").split(".")[0] not in MISSING:
+                raise
     return spark.createDataFrame([], schema), "missing"
 
 

@@ -12,12 +12,11 @@ from pyspark.sql import Observation, functions as F, types as T
 
 from postlens.functions.keys import duplicate_key
 from postlens.operators.cleaning import ANALYSED, KEY, clean, deduplicate
-from postlens.operators.sentiment import score
-from postlens.scratch import settle
-from postlens.sources.store import append_metrics
-from postlens.streaming.gate import gated, posts_of
+from postlens.operators.sentiment import RuleWords, score
+from postlens.scratch import forget, settle
+from postlens.streaming.gate import checked, stored_form
 
-BATCH = "batch_id"
+BATCH, BUCKETS = "batch_id", 64
 KEY_SCHEMA = T.StructType([T.StructField(KEY, T.BinaryType()), T.StructField(BATCH, T.LongType())])
 
 
@@ -45,67 +44,107 @@ def read_batches(spark, path, schema):
 
 
 def ingest_messages(messages, root, checkpoint, metrics=True):
-    """Message stream to post store ``root/posts``; other messages go to ``root/quarantine``.
+    """Message stream to post store ``root/posts``; unusable messages go to ``root/quarantine`` with the reason.
 
-    Each batch appends a row to ``root/metrics``: records stored, messages set aside, seconds, records/s.
+    Each batch writes its row of ``root/metrics``: messages received, stored and set aside, scores that were no
+    number, seconds, records/s. Received is stored plus set aside, also when a batch is repeated.
     """
     def on_batch(batch, batch_id):
         started = time.time()
-        batch = gated(batch).persist(StorageLevel.MEMORY_AND_DISK)    # one micro-batch, read by two sinks
+        rows = checked(batch).persist(StorageLevel.MEMORY_AND_DISK)    # one micro-batch, read by two sinks
         try:
             stored, aside = Observation(f"stored-{batch_id}"), Observation(f"aside-{batch_id}")
-            accepted = posts_of(batch.where("accepted")).observe(stored, F.count(F.lit(1)).alias("n"))
-            write_batch(accepted, f"{root}/posts", batch_id)
-            rejected = batch.where("not accepted").select("value").observe(aside, F.count(F.lit(1)).alias("n"))
-            write_batch(rejected, f"{root}/quarantine", batch_id)
+            good = rows.where(F.col("reason").isNull()).observe(
+                stored, F.count(F.lit(1)).alias("n"), F.count_if("bad_score").alias("bad"))
+            write_batch(stored_form(good), f"{root}/posts", batch_id)
+            rest = rows.where(F.col("reason").isNotNull()).select("value", "reason").observe(aside, F.count(F.lit(1)).alias("n"))
+            write_batch(rest, f"{root}/quarantine", batch_id)
             seconds = max(time.time() - started, 1e-3)
             if metrics:
-                row = dict(mode="stream_ingest", batch=batch_id, records=stored.get["n"], skipped=aside.get["n"],
-                           seconds=round(seconds, 3), records_per_sec=round(stored.get["n"] / seconds, 1))
-                append_metrics(batch.sparkSession, [row], f"{root}/metrics")
+                row = dict(mode="stream_ingest", received=stored.get["n"] + aside.get["n"], records=stored.get["n"],
+                           skipped=aside.get["n"], bad_scores=stored.get["bad"], seconds=round(seconds, 3),
+                           records_per_sec=round(stored.get["n"] / seconds, 1))
+                write_batch(batch.sparkSession.createDataFrame([row]).coalesce(1), f"{root}/metrics", batch_id)
         finally:
-            batch.unpersist()
+            rows.unpersist()
 
     return drain(messages, on_batch, checkpoint)
 
 
-def score_stream(posts, lexicon, path, checkpoint, rules=True):
-    """Clean, de-duplicate within the batch, score and store a stream of posts.
+def score_stream(posts, lexicon, path, checkpoint, rules=True, rule_words=RuleWords(), text_limit=None):
+    """Clean, de-duplicate over the whole stream, score and store a stream of posts in ``path/scores``.
 
-    The stream may be replayed into the same path: the output of a batch depends on that batch only.
+    A post is scored once, in the batch that first brings its text, so many batches give the scores of one.
     """
     known = settle(lexicon, "lexicon")
 
-    def on_batch(batch, batch_id):
-        write_batch(score(deduplicate(clean(batch), ANALYSED), known, rules=rules), path, batch_id)
+    def on_fresh(fresh, batch_id):
+        write_batch(score(fresh, known, rules=rules, rule_words=rule_words), f"{path}/scores", batch_id)
 
-    return drain(posts, on_batch, checkpoint)
+    return dedupe_stream(posts, path, checkpoint, on_fresh, text_limit)
 
 
-def dedupe_stream(posts, path, checkpoint):
+def dedupe_stream(posts, path, checkpoint, on_fresh=None, text_limit=None):
     """Exact de-duplication over the whole history of a stream.
 
     Copies inside a batch are merged before the shuffle, so a text that floods the stream costs one row per
-    task, and nothing expires. The settled batch is then looked up among the keys of earlier batches: as long
-    as the keys of the batch are small enough to broadcast, the history is scanned but not shuffled.
-    Posts go to ``path/posts``, their 32-byte keys to ``path/keys``. A stream that may forget old texts is
-    cheaper with ``drop_repeats``.
+    task, and nothing expires. Keys are stored in ``BUCKETS`` folders by their first byte, and a batch reads only the
+    folders its own keys fall into, the key column alone; there they are looked up, broadcast while they are small.
+    ``compact_keys`` merges the small files of many batches. Posts go to ``path/posts``, their 32-byte keys to ``path/keys``; ``on_fresh(df,
+    batch_id)`` is called with the stored posts. A stream that may forget old texts is cheaper with ``drop_repeats``.
     """
     def on_batch(batch, batch_id):
-        fresh = settle(deduplicate(clean(batch)), "batch")
-        history = read_batches(batch.sparkSession, f"{path}/keys", KEY_SCHEMA).where(F.col(BATCH) < batch_id)
+        spark = batch.sparkSession
+        fresh = settle(deduplicate(clean(batch, text_limit), ANALYSED), "batch")
+        buckets = [r[0] for r in fresh.select(key_bucket().alias("b")).distinct().collect()]    # at most BUCKETS
+        history = read_keys(spark, f"{path}/keys").where(F.col("bucket").isin(buckets) & (F.col(BATCH) < batch_id))
         seen = history.join(fresh.select(KEY), KEY, "left_semi").select(KEY)
         write_batch(fresh.join(seen, KEY, "left_anti"), f"{path}/posts", batch_id)
+        stored = spark.read.schema(fresh.schema).parquet(f"{path}/posts/{BATCH}={batch_id}")
+        if on_fresh:
+            on_fresh(stored, batch_id)
         # Keys last, from the stored posts: a batch that failed half way has no keys and is done again whole.
-        stored = batch.sparkSession.read.schema(fresh.schema).parquet(f"{path}/posts/{BATCH}={batch_id}")
-        write_batch(stored.select(KEY), f"{path}/keys", batch_id)
+        (stored.select(KEY, key_bucket().alias("bucket"), F.lit(batch_id).cast("long").alias(BATCH))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", BATCH).parquet(f"{path}/keys"))
+        forget(fresh)
 
     return drain(posts, on_batch, checkpoint)
 
 
-def drop_repeats(posts, delay):
-    """Streaming duplicate removal with bounded state: copies later than ``delay`` after the first come through."""
-    keyed = clean(posts).withColumn(KEY, duplicate_key("source", "text_clean"))    # state holds digests, not texts
+def key_bucket():
+    return F.conv(F.hex(F.substring(KEY, 1, 1)), 16, 10).cast("int") % BUCKETS
+
+
+def read_keys(spark, path):
+    """Keys of earlier batches, empty before the first one."""
+    schema = T.StructType([*KEY_SCHEMA.fields, T.StructField("bucket", T.IntegerType())])
+    return read_batches(spark, path, schema)
+
+
+def compact_keys(spark, path, upto):
+    """Rewrite the key history of the batches up to ``upto`` as one batch, a file per bucket.
+
+    Run between batches. The merged files come first and the old folders go last: if the job breaks off in between,
+    some keys are there twice, which changes nothing.
+    """
+    old = settle(read_keys(spark, f"{path}/keys").where(F.col(BATCH) <= upto).select(KEY, "bucket"), "keys")
+    (old.distinct().withColumn(BATCH, F.lit(upto).cast("long")).repartition("bucket").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("bucket", BATCH).parquet(f"{path}/keys"))
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/keys/bucket=*/{BATCH}=*")
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(pattern) or []:
+        if int(found.getPath().getName().split("=")[1]) < upto:
+            files.delete(found.getPath(), True)
+    forget(old)
+
+
+def drop_repeats(posts, delay, text_limit=None):
+    """Streaming duplicate removal with bounded state: copies later than ``delay`` after the first come through.
+
+    The state holds one digest per text seen within ``delay``. Every copy travels to the task of its text; where one text
+    floods the stream ``dedupe_stream``, which merges copies first, is the better form.
+    """
+    keyed = clean(posts, text_limit).withColumn(KEY, duplicate_key("source", "text_clean"))    # state holds digests, not texts
     return keyed.withWatermark("created_ts", delay).dropDuplicatesWithinWatermark([KEY])
 
 

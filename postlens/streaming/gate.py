@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from postlens.constants import REQUIRED_KEYS
 from postlens.functions.times import from_text
-from postlens.operators.normalize import usable, with_sample_key
+from postlens.operators.normalize import with_sample_key
 from postlens.schema import MESSAGE_SCHEMA, POSTS_SCHEMA
 
 
@@ -23,10 +23,28 @@ def gate_counts(messages, required=REQUIRED_KEYS):
     return gated(messages, required).groupBy("accepted").agg(F.count("*").alias("messages"))
 
 
+def checked(messages):
+    """Parsed fields of every message, ``reason`` (null for usable ones) and ``bad_score`` (a score that is no number).
+
+    Reasons: ``keys`` (broken JSON or a required key missing), ``text`` (null or empty), ``time`` (none that can be read).
+    """
+    # A generator, so that the tests read its columns and do not parse the message again.
+    parsed = F.transform(F.array(F.from_json("value", MESSAGE_SCHEMA)), lambda m: F.struct(
+        *[(from_text(m[c]) if c == "created_ts" else m[c].try_cast("double") if c == "orig_score" else m[c]).alias(c)
+          for c in MESSAGE_SCHEMA.names],
+        (m["orig_score"].isNotNull() & m["orig_score"].try_cast("double").isNull()).alias("bad_score"),
+        has_keys(F.col("value")).alias("whole")))
+    rows = messages.select("value", F.inline(parsed))
+    reason = (F.when(~F.col("whole"), "keys").when(~F.coalesce(F.length("text") > 0, F.lit(False)), "text")
+              .when(F.col("created_ts").isNull(), "time"))
+    return rows.withColumn("reason", reason).drop("whole")
+
+
+def stored_form(rows):
+    """Checked rows as posts, with the same sample key the bulk path gives them."""
+    return with_sample_key(rows).select(POSTS_SCHEMA.names)
+
+
 def posts_of(messages):
-    """Unified posts of the accepted messages, with the same sample key the bulk path gives them."""
-    # A generator, so that the test for usable posts reads its columns and does not parse the message again.
-    parsed = F.transform(F.array(F.from_json("value", MESSAGE_SCHEMA)), lambda m: F.struct(*[
-        (from_text(m[c]) if c == "created_ts" else m[c]).alias(c) for c in MESSAGE_SCHEMA.names]))
-    posts = messages.where(has_keys(F.col("value"))).select(F.inline_outer(parsed))
-    return with_sample_key(usable(posts)).select(POSTS_SCHEMA.names)
+    """Unified posts of the usable messages."""
+    return stored_form(checked(messages).where(F.col("reason").isNull()))

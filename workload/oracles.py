@@ -1,14 +1,18 @@
 """DuckDB SQL with the same rows as each query, written independently of the Spark plans."""
+from postlens.constants import PUBLISHED_TEXT_LIMIT, STOPWORDS
 
-RAW = """raw AS (
-  SELECT d.doc_id, d.lang, d.source AS place, o.o_orderdate, o.o_totalprice,
-         CASE WHEN o.o_totalprice < 10000 THEN NULL WHEN o.o_totalprice < 20000 THEN ''
-              WHEN o.o_totalprice < 40000 THEN '[deleted]'
-              ELSE '#Size' || (d.n_chars // 1000) || ' https://x.example/a#frag @user' || d.doc_id || ' ' || d.text
-         END AS text,
+RAW = """joined AS (
+  SELECT d.doc_id, d.lang, d.source AS place, d.text, d.n_chars, o.o_orderdate, o.o_totalprice,
          CASE WHEN l.toxic = 1 THEN 'Bearish' WHEN l.quality = 1 THEN 'Bullish'
               WHEN l.quality IS NOT NULL THEN 'neutral' END AS label
-  FROM documents d JOIN orders o ON o.o_orderkey = d.doc_id LEFT JOIN labels l ON l.doc_id = d.doc_id)"""
+  FROM documents d JOIN orders o ON o.o_orderkey = d.doc_id LEFT JOIN labels l ON l.doc_id = d.doc_id),
+raw AS (
+  SELECT doc_id, lang, place, o_orderdate, o_totalprice, label,
+         '#Size' || (n_chars // 1000) || ' https://x.example/a#frag @user' || doc_id || ' ' || text AS text FROM joined
+  UNION ALL
+  SELECT -doc_id - 1, lang, place, o_orderdate, o_totalprice, label,
+         CASE WHEN o_totalprice < 10000 THEN NULL WHEN o_totalprice < 20000 THEN '' ELSE '[deleted]' END
+  FROM joined WHERE o_totalprice < 40000)"""
 
 POSTS = RAW + """,
 keyed AS (
@@ -23,10 +27,12 @@ posts AS (
   FROM keyed)"""
 
 
-def cleaned(rows="posts"):
+def cleaned(rows="posts", limit=None):
+    text = "regexp_replace(text, 'https?://\\S+|www\\.\\S+', '', 'g')"
+    text = f"substring({text}, 1, {limit})" if limit else text
     return f""",
 seen AS (
-  SELECT *, substring(regexp_replace(text, 'https?://\\S+|www\\.\\S+', '', 'g'), 1, 1000) AS text_v FROM {rows}),
+  SELECT *, {text} AS text_v FROM {rows}),
 shown AS (
   SELECT *, trim(regexp_replace(regexp_replace(lower(regexp_replace(text_v, '@\\w+', ' ', 'g')),
                                                '[^a-z\\s]', ' ', 'g'), '\\s+', ' ', 'g')) AS text_clean
@@ -144,16 +150,8 @@ rates AS (
          CASE WHEN actual > 0 THEN tp / actual ELSE 0 END AS r FROM per_class),
 scores AS (SELECT *, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END AS f FROM rates)"""
 
-STOPWORDS = """a about above after again all also am an and any are as at be because been before being below
-between both but by can could did do does doing down during each few for from further get got had has have having
-he her here hers him his how i if in into is it its just like me more most my no nor not now of off on once only or
-other our out over own same she should so some such than that the their them then there these they this those
-through to too under until up us very was we were what when where which while who whom why will with would you your
-yours amp rt via im dont thats cant didnt isnt youre ive one new people really going want know think make time
-today https http com www co"""
-
 KEYWORDS = CLEAN + f""",
-stop AS (SELECT unnest(string_split_regex('{STOPWORDS}', '\\s+')) AS token),
+stop AS (SELECT unnest(string_split('{' '.join(STOPWORDS)}', ' ')) AS token),
 tokens AS (SELECT month, source, unnest(list_distinct(string_split(text_clean, ' '))) AS token FROM uniq),
 counted AS (
   SELECT month, source, token, count(*) AS n FROM tokens
@@ -175,6 +173,9 @@ k AS MATERIALIZED (SELECT * FROM counted WHERE n >= 2),
 tot AS (SELECT month, source, count(*) AS n FROM uniq GROUP BY ALL)"""
 
 
+POST_ANALYSIS = LABELLED + KEYWORDS[len(CLEAN):]
+
+
 def trends(tables, min_total, min_months, min_peak_count, template_min_terms, top_n, floor_lift=1.5):
     """The dense form: every term has a row for every kept month."""
     return tables + f""",
@@ -384,21 +385,37 @@ UNION ALL SELECT 'Text', round(avg((text IS NULL)::INT), 6) FROM alpha"""),
   UNION ALL SELECT '75%', quantile_cont(o_totalprice, 0.75) FROM alpha)"""),
     "feed_summary": q(DOC_BYTES, """SELECT lang AS feed, count(*) AS rows, sum(bytes)::BIGINT AS bytes,
        grouping(lang) = 1 AS combined, round(sum(bytes) / 1e9, 9) AS gigabytes FROM sized GROUP BY ROLLUP (lang)"""),
-    "reconcile": q(SCORED, """SELECT unnest(['sentiment_by_source', 'daily_sentiment', 'monthly_totals', 'compound_hist'])
-       AS "table", (SELECT count(*) FROM scored) AS total"""),
-    "totals_check": q(POSTS, """SELECT count(*) AS expected, count(*) AS total, count(*) AS sum_of_sources, true AS holds
-FROM posts"""),
-    "analytics_run": q(POSTS + ",\nsampled AS (SELECT * FROM posts WHERE sample_key < 0.5)" + cleaned("sampled"),
-                       """SELECT 0.5::DOUBLE AS dataset_fraction, (SELECT count(*) FROM sampled) AS rows_in,
-       count(*) AS rows_after_cleaning FROM uniq"""),
+    "reconcile": q(SCORED, """SELECT name AS "table", source, count(*) AS rows_clean, count(*) AS total, true AS holds
+FROM scored, (SELECT unnest(['sentiment_by_source', 'daily_sentiment', 'monthly_totals', 'compound_hist']) AS name) GROUP BY ALL"""),
+    "totals_check": """SELECT source, count(*) AS expected, count(*) AS stored, true AS holds FROM (
+  SELECT CASE WHEN lang = 'en' THEN 'alpha' ELSE 'beta' END AS source FROM documents d JOIN orders ON o_orderkey = doc_id
+  UNION ALL SELECT CASE WHEN lang = 'en' THEN 'alpha' ELSE 'beta' END FROM documents d JOIN orders ON o_orderkey = doc_id
+  WHERE o_totalprice >= 20000 AND o_totalprice < 40000) GROUP BY ROLLUP (source)""",
+    "input_inventory": """SELECT 'documents' AS "table", true AS listed, count(*) AS rows FROM documents
+UNION ALL SELECT 'orders', true, count(*) FROM orders""",
+    "visible_prefix": q(POSTS + cleaned(limit=PUBLISHED_TEXT_LIMIT), """SELECT post_id, length(text_v) AS visible_chars,
+       md5(text_clean) AS clean_md5 FROM uniq"""),
+    "feed_scan": "SELECT 'alpha' AS feed, count(*) AS rows FROM documents WHERE lang = 'en' UNION ALL SELECT 'beta', count(*) FROM documents WHERE lang <> 'en'",
+    "refreshed_trends": q(POST_ANALYSIS, """SELECT 'confusion' AS "table", coalesce(sum(count), 0)::BIGINT AS total
+FROM conf"""),
+    "growth": """SELECT 'sub-linear' AS verdict, count(*)::DOUBLE AS full_rows FROM orders""",
+    "analytics_run": q(POST_ANALYSIS, """SELECT 'posts' AS "table", (SELECT count(*) FROM posts) AS rows, (SELECT count(*) FROM uniq)::BIGINT AS total
+UNION ALL SELECT 'sentiment_by_source', (SELECT count(*) FROM (SELECT DISTINCT source, sentiment FROM scored)), (SELECT count(*) FROM scored)
+UNION ALL SELECT 'daily_sentiment', (SELECT count(*) FROM (SELECT DISTINCT source, day FROM scored)), (SELECT count(*) FROM scored)
+UNION ALL SELECT 'monthly_totals', (SELECT count(*) FROM (SELECT DISTINCT source, month FROM scored)), (SELECT count(*) FROM scored)
+UNION ALL SELECT 'community_sentiment', count(DISTINCT community), count(community) FROM scored
+UNION ALL SELECT 'keyword_monthly', count(*), coalesce(sum(n), 0)::BIGINT FROM counted WHERE n >= 3
+UNION ALL SELECT 'validation_confusion', count(*), coalesce(sum(count), 0)::BIGINT FROM conf"""),
     "required_keys_gate": q(EVENT_POSTS, "SELECT accepted, count(*) AS messages FROM msgs GROUP BY accepted"),
     "message_posts": q(EVENT_POSTS, "SELECT * FROM event_posts"),
-    "message_round_trip": q(POSTS, f"{POST_FIELDS}, sample_key FROM posts"),
+    "message_round_trip": q(POSTS, """SELECT post_id, source, md5(text) AS text_md5,
+       epoch_us(created_ts) + CASE WHEN length(post_id) % 2 = 0 THEN 0 ELSE 123456 END AS micros, community, orig_sentiment, orig_score,
+       sample_key FROM posts"""),
     "raw_messages": """SELECT event_id::VARCHAR AS event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS ts, value,
        len(string_split(props, ':'))::INT AS tags FROM events""",
     "stream_ingest": q(EVENT_POSTS, "SELECT * FROM event_posts"),
-    "stream_quarantine": q(EVENT_POSTS, """SELECT (SELECT count(*) FROM msgs WHERE NOT accepted) AS quarantined,
-       (SELECT count(*) FROM event_posts) AS records, (SELECT count(*) FROM msgs WHERE NOT accepted) AS skipped"""),
+    "stream_quarantine": q(EVENT_POSTS, """SELECT CASE WHEN NOT accepted THEN 'keys' WHEN event_type = 'purchase' THEN 'text' ELSE 'stored' END
+       AS outcome, count(*) AS messages, (SELECT count(*) FROM events) AS received FROM msgs GROUP BY ALL"""),
     "stream_replay": q(POSTS, """SELECT post_id, md5(text) AS text_md5, created_ts::DATE AS created_ts, sample_key FROM posts
 ORDER BY posts.sample_key, post_id LIMIT (SELECT count(*) // 2 FROM posts)"""),
     "stream_daily": "SELECT ts::DATE AS day, event_type, count(*) AS n FROM events GROUP BY ALL",
@@ -406,7 +423,7 @@ ORDER BY posts.sample_key, post_id LIMIT (SELECT count(*) // 2 FROM posts)"""),
 FROM events GROUP BY ALL""",
     "stream_monthly": """SELECT date_trunc('month', ts)::DATE AS month, event_type, count(*) AS n
 FROM events GROUP BY ALL""",
-    "stream_dedupe": q(CLEAN, "SELECT post_id, md5(text_clean) AS clean_md5 FROM uniq"),
+    "stream_dedupe": q(CLEAN, "SELECT source, md5(text_clean) AS clean_md5, (SELECT count(*) FROM uniq) AS keys FROM uniq"),
     "stream_drop_repeats": q(CLEAN, "SELECT source, md5(text_clean) AS clean_md5 FROM uniq"),
-    "stream_score": q(PLAIN_SCORE, "SELECT post_id, compound, sentiment, day FROM scored"),
+    "stream_score": q(PLAIN_SCORE, "SELECT source, md5(text_clean) AS clean_md5, compound, sentiment FROM scored"),
 }

@@ -3,17 +3,19 @@ from pyspark.sql import functions as F, types as T
 
 from postlens.functions.times import from_epoch, from_text
 from postlens.operators import aggregates as A, insights as I, profile as P, trends as TR, validation as V
-from postlens.operators.cleaning import removed_share
+from postlens.operators.cleaning import ANALYSED, clean, deduplicate, removed_share
 from postlens.operators.normalize import language_only, normalize, storable, with_calendar, with_default
 from postlens.operators.sampling import byte_budget, first_rows, fraction_of, key_slice, priority_budget
-from postlens.constants import LOAD_SLICES, RUN_FRACTIONS
-from postlens.plans.analytics import run_analytics
+from postlens.constants import LOAD_SLICES, PUBLISHED_TEXT_LIMIT, RUN_FRACTIONS
+from postlens.plans.analytics import refresh_derived, run_analytics
+from postlens.plans.experiments import growth_verdict
 from postlens.plans.ingest import bulk_load, replay
 from postlens.scratch import new_folder, settle
 from postlens.sources import messages as M, store as S
+from postlens.sources.feeds import Feed, scan_feed
 from postlens.schema import POSTS_SCHEMA
 from postlens.streaming import flows, gate
-from workload.views import (cleaned, event_messages, feed_alpha, feed_beta, lexicon, line_terms,
+from workload.views import (RULE_WORDS, cleaned, event_messages, feed_alpha, feed_beta, lexicon, line_terms,
                             line_totals, post_stream, posts, raw_documents, scored, scored_columns, table,
                             table_stream)
 
@@ -137,6 +139,13 @@ def clean_dedupe(spark, d):
                                     F.md5("text_clean").alias("clean_md5"))
 
 
+@query
+def visible_prefix(spark, d):
+    """Duplicates by the first 1,000 characters, as the published pipeline sees them."""
+    return deduplicate(clean(posts(spark, d), PUBLISHED_TEXT_LIMIT), ANALYSED).select(
+        "post_id", F.length("text_v").cast("long").alias("visible_chars"), F.md5("text_clean").alias("clean_md5"))
+
+
 @query
 def removed_posts(spark, d):
     return removed_share(posts(spark, d)).withColumn("removed_share", F.round("removed_share", 6))
@@ -455,26 +464,75 @@ def feed_summary(spark, d):
 
 @query
 def input_inventory(spark, d):
-    return P.input_inventory(table(spark, d, "documents"))
+    """Files listed (at least one, not empty) and rows they hold."""
+    def listed(name):
+        found = P.input_inventory(spark, f"{d}/{name}.parquet").select(((F.col("files") > 0) & (F.col("bytes") > 0)).alias("listed"))
+        return table(spark, d, name).agg(F.count("*").alias("rows")).select(
+            F.lit(name).alias("table"), found.scalar().alias("listed"), "rows")
+    return listed("documents").unionByName(listed("orders"))
+
+
+@query
+def feed_scan(spark, d):
+    """Feeds of several files each, found by their patterns."""
+    root = new_folder(spark, "raw")
+    raw = table(spark, d, "documents")
+    for name, language in (("alpha", F.col("lang") == "en"), ("beta", F.col("lang") != "en")):
+        raw.where(language).select(F.col("doc_id").alias("id"), "text").repartition(3).write.parquet(f"{root}/{name}")
+    feeds = [Feed(name, f"{root}/{name}/*.parquet") for name in ("alpha", "beta")]
+    rows = [scan_feed(spark, f).agg(F.count("*").alias("rows")).select(F.lit(f.name).alias("feed"), "rows") for f in feeds]
+    return rows[0].unionByName(rows[1])
+
+
+@query
+def refreshed_trends(spark, d):
+    """Trends and metrics made anew from stored tables; the confusion they rest on covers all labelled posts."""
+    root = new_folder(spark, "results")
+    shared = settle(scored_columns(spark, d), "scored")
+    tables = A.result_tables(shared, MIN_KEYWORDS, MIN_TAGS)
+    S.replace_tables({n: tables[n] for n in ("keyword_monthly", "monthly_totals", "validation_confusion")}, root)
+    derived = refresh_derived(spark, root, min_total=12, min_months=3, min_peak_count=3)
+    return derived["validation_metrics"].where("metric = 'n_labelled_posts'").select(
+        F.lit("confusion").alias("table"), F.col("value").cast("long").alias("total"))
+
+
+@query
+def growth(spark, d):
+    """Growth verdict over run times that rise by the root of the rows."""
+    rows = table(spark, d, "orders").agg(F.count("*").alias("n"))
+    runs = rows.select("n", F.explode(F.array(*[F.lit(f) for f in RUN_FRACTIONS])).alias("dataset_fraction")).withColumn(
+        "total_seconds", F.sqrt(F.col("n") * F.col("dataset_fraction")))
+    return growth_verdict(runs).select("verdict", F.round(F.col("full_seconds") ** 2, 0).alias("full_rows"))
 
 
 @query
 def reconcile(spark, d):
     shared = settle(scored_columns(spark, d), "scored")
-    return P.reconcile(A.result_tables(shared))
+    return P.reconcile(A.result_tables(shared), cleaned(spark, d))
 
 
 @query
 def totals_check(spark, d):
-    known = settle(posts(spark, d).select("source"), "sources")
-    return P.totals_check(known, known.count())
+    """Posts per feed against what the raw tables hold with a text."""
+    raw = table(spark, d, "documents").join(table(spark, d, "orders"), F.col("doc_id") == F.col("o_orderkey"))
+    texts = F.count_if(F.length("text") > 0) + F.count_if((F.col("o_totalprice") >= 20000) & (F.col("o_totalprice") < 40000))
+    source = F.when(F.col("lang") == "en", "alpha").otherwise("beta").alias("source")
+    return P.totals_check(posts(spark, d).select("source"), raw.groupBy(source).agg(texts.alias("posts")))
 
 
 @query
 def analytics_run(spark, d):
-    """The whole run on half of the posts; the deterministic part of its metrics."""
-    metrics, _ = run_analytics(posts(spark, d), lexicon(spark, d), 0.5, min_keyword_count=MIN_KEYWORDS)
-    return spark.createDataFrame([metrics]).select("dataset_fraction", "rows_in", "rows_after_cleaning")
+    """The whole run on all posts: rows and totals of its result tables."""
+    metrics, tables = run_analytics(posts(spark, d), lexicon(spark, d), 1.0, min_keyword_count=MIN_KEYWORDS, rule_words=RULE_WORDS)
+    counted = {"sentiment_by_source": "count", "daily_sentiment": "n", "monthly_totals": "n", "community_sentiment": "n",
+               "keyword_monthly": "n", "validation_confusion": "count"}
+    rows = [tables[t].agg(F.count("*").alias("rows"), F.coalesce(F.sum(n), F.lit(0)).alias("total")).select(
+        F.lit(t).alias("table"), "rows", "total") for t, n in counted.items()]
+    every = spark.range(1).select(F.lit("posts").alias("table"), F.lit(metrics["rows_in"]).cast("long").alias("rows"),
+                                  F.lit(metrics["rows_after_cleaning"]).cast("long").alias("total"))
+    for other in rows:
+        every = every.unionByName(other)
+    return every
 
 
 @query
@@ -501,9 +559,12 @@ def message_posts(spark, d):
 
 @query
 def message_round_trip(spark, d):
-    """Posts written as messages and read back are the same posts."""
-    return gate.posts_of(M.post_messages(posts(spark, d))).select(
-        "post_id", "source", F.md5("text").alias("text_md5"), day("created_ts"), "community", "orig_sentiment",
+    """Posts written as messages and read back are the same posts, to the microsecond."""
+    odd = F.length("post_id") % 2 == 1
+    sent = posts(spark, d).withColumn("created_ts", F.when(odd, F.timestamp_micros(F.unix_micros("created_ts") + 123456))
+                                      .otherwise(F.col("created_ts")))
+    return gate.posts_of(M.post_messages(sent)).select(
+        "post_id", "source", F.md5("text").alias("text_md5"), F.unix_micros("created_ts").alias("micros"), "community", "orig_sentiment",
         "orig_score", "sample_key")
 
 
@@ -527,12 +588,14 @@ def stream_ingest(spark, d):
 
 @query
 def stream_quarantine(spark, d):
+    """What became of every message: stored, or set aside with a reason."""
     root, checkpoint = new_folder(spark, "stream"), new_folder(spark, "checkpoint")
     flows.ingest_messages(event_messages(table_stream(spark, d, "events")), root, checkpoint)
-    metrics = spark.read.parquet(f"{root}/metrics").agg(F.sum("records").alias("records"), F.sum("skipped").alias("skipped"))
-    aside = spark.read.parquet(f"{root}/quarantine").agg(F.count("*").alias("quarantined"))
-    return aside.select("quarantined", metrics.select("records").scalar().alias("records"),
-                        metrics.select("skipped").scalar().alias("skipped"))
+    received = spark.read.parquet(f"{root}/metrics").agg(F.sum("received").alias("received"))
+    stored = flows.read_batches(spark, f"{root}/posts", POSTS_SCHEMA).select(F.lit("stored").alias("outcome"))
+    aside = spark.read.parquet(f"{root}/quarantine").select(F.col("reason").alias("outcome"))
+    return stored.unionByName(aside).groupBy("outcome").agg(F.count("*").alias("messages")).withColumn(
+        "received", received.scalar())
 
 
 @query
@@ -573,22 +636,25 @@ def stream_monthly(spark, d):
 @query
 def stream_dedupe(spark, d):
     path = new_folder(spark, "deduped")
-    stream = post_stream(spark, d)
-    flows.dedupe_stream(stream, path, new_folder(spark, "checkpoint"))
-    return spark.read.parquet(f"{path}/posts").select("post_id", F.md5("text_clean").alias("clean_md5"))
+    flows.dedupe_stream(post_stream(spark, d), path, new_folder(spark, "checkpoint"))
+    flows.compact_keys(spark, path, 2)
+    posts_kept = spark.read.parquet(f"{path}/posts").select("source", F.md5("text_clean").alias("clean_md5"))
+    keys = flows.read_keys(spark, f"{path}/keys").agg(F.count("*").alias("n"))
+    return posts_kept.withColumn("keys", keys.scalar())
 
 
 @query
 def stream_drop_repeats(spark, d):
     """State-store form: which copy survives depends on arrival, the set of texts does not."""
     path, checkpoint = new_folder(spark, "repeats"), new_folder(spark, "checkpoint")
-    kept = flows.drop_repeats(post_stream(spark, d), "36500 days").select("source", "text_clean")
+    kept = flows.drop_repeats(post_stream(spark, d), "3000 days").select("source", "text_clean")
     flows.drain(kept, lambda batch, n: flows.write_batch(batch, path, n), checkpoint)
     return spark.read.parquet(path).select("source", F.md5("text_clean").alias("clean_md5"))
 
 
 @query
 def stream_score(spark, d):
+    """Scores of a stream in several batches are those of the batch job, up to which copy of a text came first."""
     path = new_folder(spark, "scored")
     flows.score_stream(post_stream(spark, d), lexicon(spark, d), path, new_folder(spark, "checkpoint"), rules=False)
-    return spark.read.parquet(path).select("post_id", "compound", "sentiment", "day")
+    return spark.read.parquet(f"{path}/scores").select("source", F.md5("text_clean").alias("clean_md5"), "compound", "sentiment")
\ No newline at end of file

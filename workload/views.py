@@ -2,8 +2,8 @@
 
 Documents become posts of two differently shaped feeds: English ones feed ``alpha`` (epoch milliseconds,
 labels, scores), all others feed ``beta`` (weekday-first time text, communities). Orders give the time,
-labels the data-set label. A hashtag, a URL and a mention are put in front of each text, and some texts
-are missing, empty or marked as deleted, so that every cleaning rule has work to do.
+labels the data-set label. A hashtag, a URL and a mention are put in front of each text, and rows with missing,
+empty or deleted texts are added, so that every cleaning rule has work to do.
 """
 from pyspark.sql import functions as F
 
@@ -11,7 +11,7 @@ from postlens.operators.aggregates import analysis_columns
 from postlens.operators.cleaning import ANALYSED, clean, deduplicate
 from postlens.operators.normalize import normalize, unite
 from postlens.operators.sentiment import RuleWords, score
-from postlens.scratch import settle
+from postlens.scratch import new_folder, settle
 from postlens.session import configure
 
 # Frequent words of the invented prose take the parts the rules look for.
@@ -31,14 +31,17 @@ def raw_documents(spark, sf_dir, documents=None):
     joined = (documents.join(orders, F.col("doc_id") == F.col("o_orderkey"))
               .join(labels, "doc_id", "left"))
     price = F.col("o_totalprice")
-    noise = F.concat(F.lit("#Size"), F.floor(F.col("n_chars") / 1000).cast("string"),
-                     F.lit(" https://x.example/a#frag @user"), F.col("o_orderkey").cast("string"), F.lit(" "))
-    return joined.select(
-        "doc_id", "lang", F.col("source").alias("place"), "o_orderdate", "o_totalprice",
-        F.when(price < 10000, F.lit(None)).when(price < 20000, F.lit(""))
-        .when(price < 40000, F.lit("[deleted]")).otherwise(F.concat(noise, "text")).alias("text"),
-        F.when(F.col("toxic") == 1, F.lit("Bearish")).when(F.col("quality") == 1, F.lit("Bullish"))
-        .when(F.col("quality").isNotNull(), F.lit("neutral")).alias("label"))
+    front = F.concat(F.lit("#Size"), F.floor(F.col("n_chars") / 1000).cast("string"),
+                     F.lit(" https://x.example/a#frag @user"), F.col("doc_id").cast("string"), F.lit(" "))
+    # Noise rows stand beside the documents, under ids of their own.
+    noise = F.when(price < 10000, F.lit(None)).when(price < 20000, F.lit("")).otherwise(F.lit("[deleted]"))
+    rows = F.filter(F.array(
+        F.struct(F.col("doc_id").alias("row_id"), F.concat(front, "text").alias("row_text"), F.lit(True).alias("there")),
+        F.struct((-F.col("doc_id") - 1).alias("row_id"), noise.alias("row_text"), (price < 40000).alias("there"))), lambda r: r["there"])
+    label = (F.when(F.col("toxic") == 1, F.lit("Bearish")).when(F.col("quality") == 1, F.lit("Bullish"))
+             .when(F.col("quality").isNotNull(), F.lit("neutral")).alias("label"))
+    return joined.select("lang", F.col("source").alias("place"), "o_orderdate", "o_totalprice", label, F.inline(rows)).select(
+        F.col("row_id").alias("doc_id"), "lang", "place", "o_orderdate", "o_totalprice", F.col("row_text").alias("text"), "label")
 
 
 def feed_alpha(raw):
@@ -61,10 +64,12 @@ def posts(spark, sf_dir, documents=None):
     return unite([normalize(feed_alpha(raw), "alpha", labels=True), normalize(feed_beta(raw), "beta", community=True)])
 
 
-def table_stream(spark, sf_dir, name):
-    """A test table as a file stream; the pattern fits one file as well as a folder of files."""
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
+def table_stream(spark, sf_dir, name, files=4):
+    """A test table as a stream of several files, one in each micro-batch."""
+    rows = table(spark, sf_dir, name)
+    parts = new_folder(spark, "files")
+    rows.repartition(files).write.parquet(parts)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(parts)
 
 
 def post_stream(spark, sf_dir):
