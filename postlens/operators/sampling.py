@@ -23,25 +23,25 @@ def key_slice(posts, low, high):
     return posts.where((F.col("sample_key") >= low) & (F.col("sample_key") < high))
 
 
-def ranges_with_totals(slim, order, weight):
-    """Settle ``slim`` in ranges of ``order`` and give each range the weight before it.
+def ranges_with_totals(slim, order, weight, parts=None):
+    """Settle ``slim`` in (``parts``) ranges of ``order`` and give each range the weight before it.
 
     Returns the settled table with a ``range`` column, and one row per range: ``range, rows, total, before``.
     """
-    ranged = (slim.repartitionByRange(*order).withColumn("range", F.spark_partition_id()))
+    ranged = slim.repartitionByRange(*([parts] if parts else []), *order).withColumn("range", F.spark_partition_id())
     table = settle(ranged, "ranges")
     totals = table.groupBy("range").agg(F.count("*").alias("rows"), F.sum(weight).alias("total"))
     running = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)   # one row per range
     return table, totals.withColumn("before", F.coalesce(F.sum("total").over(running), F.lit(0)))
 
 
-def rows_at(slim, order, weight, targets):
+def rows_at(slim, order, weight, targets, parts=None):
     """For each target the row at which the running weight reaches it (left out if it never does).
 
     A range that holds a target but more than ``ROWS_IN_ORDER`` rows is divided into ranges again, so no task
     orders more than that, whatever the number of rows. All targets are looked up in one pass.
     """
-    table, totals = ranges_with_totals(slim, order, weight)
+    table, totals = ranges_with_totals(slim, order, weight, parts)
     homes = {}
     for r in totals.collect():     # one row per shuffle partition
         inside = [t for t in targets if r["before"] < t <= r["before"] + r["total"]]
@@ -56,7 +56,8 @@ def rows_at(slim, order, weight, targets):
         ends = part.agg(F.min(F.struct(*order)).alias("low"), F.max(F.struct(*order)).alias("high")).first()
         if ends["low"] == ends["high"]:
             raise ValueError(f"rows are not in a total order by {order}: add a unique column")
-        deeper = rows_at(part, order, weight, [t - r["before"] for t in inside])
+        deeper = rows_at(part, order, weight, [t - r["before"] for t in inside],
+                         min(2 + 2 * r["rows"] // ROWS_IN_ORDER, 1000))
         found |= {t + r["before"]: row for t, row in deeper.items()}
     if ready:
         running = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)

@@ -27,8 +27,21 @@ def test_cleaning_steps(spark):
 
 
 def test_url_removed_before_the_cut(spark):
-    row = clean(posts(spark, [("1", "a", "https://" + "x" * 2000 + " " + "word " * 400, NOON)])).first()
+    rows = [("1", "a", "https://" + "x" * 2000 + " " + "word " * 400, NOON)]
+    row = clean(posts(spark, rows), 1000).first()
     assert len(row.text_v) == 1000 and row.text_clean.startswith("word word")
+    assert len(clean(posts(spark, rows)).first().text_v) == 2001
+
+
+def test_texts_that_differ_late_are_no_duplicates(spark):
+    rows = [("1", "a", "word " * 400 + "first", NOON), ("2", "a", "word " * 400 + "second", NOON)]
+    assert deduplicate(clean(posts(spark, rows))).count() == 2
+    assert deduplicate(clean(posts(spark, rows), 1000)).count() == 1
+
+
+def test_a_post_with_an_id_survives_one_without(spark):
+    for rows in ([(None, "a", "same text", NOON), ("7", "a", "same text", NOON)], [("7", "a", "same text", NOON), (None, "a", "same text", NOON)]):
+        assert [r.post_id for r in deduplicate(clean(posts(spark, rows))).collect()] == ["7"]
 
 
 def test_survivor_is_the_earliest_then_smallest_id(spark):
@@ -61,7 +74,7 @@ def test_removed_share_counts_all_stages(spark):
 
 
 def brute(text):
-    seen = re.sub(r"https?://\S+|www\.\S+", "", text, flags=re.ASCII)[:1000]
+    seen = re.sub(r"https?://\S+|www\.\S+", "", text, flags=re.ASCII)
     low = re.sub(r"@\w+", " ", seen, flags=re.ASCII).lower()
     return re.sub(r"\s+", " ", re.sub(r"[^a-z\s]", " ", low, flags=re.ASCII), flags=re.ASCII).strip(" ")
 

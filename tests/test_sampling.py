@@ -77,6 +77,24 @@ def test_two_column_order(spark):
     assert {(r.a, r.b) for r in first_rows(df, 15, ["a", "b"]).collect()} == {(i // 6, i % 6) for i in range(15)}
 
 
+def test_nulls_come_first(spark):
+    df = spark.createDataFrame([(i if i else None, i) for i in range(6)], "a int, b int")
+    assert {r.b for r in first_rows(df, 3, ["a"]).collect()} == {0, 1, 2}
+    assert {r.b for r in first_rows(df, 1, ["a", "b"]).collect()} == {0}
+
+
+def test_large_ranges_are_divided_again(spark, monkeypatch):
+    from postlens.operators import sampling
+    monkeypatch.setattr(sampling, "ROWS_IN_ORDER", 5)
+    df = rows(spark, [1] * 157)
+    for n in (1, 57, 156):
+        assert {r.id for r in first_rows(df, n, ["id"]).collect()} == set(range(n))
+    with pytest.raises(ValueError, match="total order"):
+        first_rows(spark.createDataFrame([(1,)] * 50, "id int"), 20, ["id"])
+    got = {r.statistic: r.value for r in describe_number(spark.range(101).select(F.col("id").cast("double").alias("x")), "x").collect()}
+    assert (got["25%"], got["50%"], got["75%"]) == (25.0, 50.0, 75.0)
+
+
 def test_slices_partition_the_keys(spark):
     df = spark.createDataFrame([(i / 100,) for i in range(100)] + [(None,)], "sample_key double")
     counts = [key_slice(df, lo, hi).count() for lo, hi in ((0.0, 0.25), (0.25, 0.5), (0.5, 1.0))]

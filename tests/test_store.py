@@ -90,6 +90,22 @@ def test_fallback_order(spark, tmp_path):
     assert read(broken, lambda s: full) == (1, "file")
     assert read(broken, broken) == (0, "missing")
     assert read(None, None) == (0, "missing")
+    with pytest.raises(Exception, match="(?i)division|divide"):
+        read(lambda s: s.range(1).selectExpr("1 / (id * 0) AS x"), lambda s: full)
+    down = lambda s: (_ for _ in ()).throw(ConnectionError("no store"))
+    with pytest.raises(ConnectionError):
+        read(down, lambda s: full)
+    assert S.read_with_fallback(spark, schema, down, lambda s: full, unreachable=(ConnectionError,))[1] == "file"
+
+
+def test_store_by_time(spark, tmp_path):
+    """The second layout: rows of a source in the order of time, so that a span of time skips pages."""
+    from postlens.schema import POSTS_SCHEMA
+    import datetime as dt
+    rows = [(str(i), "a", "t", dt.datetime(2021, 1, 1) + dt.timedelta(hours=(i * 37) % 100), None, None, None, i / 100) for i in range(100)]
+    S.write_posts(spark.createDataFrame(rows, POSTS_SCHEMA).coalesce(1), str(tmp_path / "p"), by="created_ts")
+    times = [r.created_ts for r in spark.read.parquet(str(tmp_path / "p")).collect()]
+    assert times == sorted(times) and len(times) == 100
 
 
 def test_chunks(spark, tmp_path):

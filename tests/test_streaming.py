@@ -74,7 +74,49 @@ def test_replay_ingest_and_resume(spark, tmp_path):
     flows.ingest_messages(message_stream(spark, "text", topic), root, checkpoint)       # only the new messages
     assert stored().count() == 65
     metrics = spark.read.parquet(f"{root}/metrics")
-    assert metrics.agg(F.sum("records"), F.sum("skipped")).first() == (65, 2)
+    assert metrics.agg(F.sum("received"), F.sum("records"), F.sum("skipped")).first() == (67, 65, 2)
+
+
+def test_every_message_is_stored_or_set_aside(spark):
+    values = [message(), message(text=""), message(text=None), message(created_ts="junk"), "{broken", message(orig_score="0.5"),
+              message(orig_score="much"), message(orig_score=2)]
+    rows = gate.checked(spark.createDataFrame([(v,) for v in values], "value string")).collect()
+    assert [r.reason for r in rows] == [None, "text", "text", "time", "keys", None, None, None]
+    assert [(r.orig_score, r.bad_score) for r in rows if r.reason is None] == [(None, False), (0.5, False), (None, True), (2.0, False)]
+
+
+def test_message_times_keep_their_fraction(spark):
+    times = [NOON, NOON.replace(microsecond=123456)]
+    sent = [json.loads(r.value)["created_ts"] for r in post_messages(posts(spark, [post(i, ts=t) for i, t in enumerate(times)])).collect()]
+    assert sent == ["2021-01-01 12:00:00+00:00", "2021-01-01 12:00:00.123456+00:00"]
+
+
+def test_replay_sends_posts_without_id_and_repeated_ones(spark, tmp_path):
+    rows = [post(1), post(1), (None, "a", "no name", NOON, None, None, None, 0.1), post(2)]
+    assert replay(posts(spark, rows), 3, "text", str(tmp_path / "t"))["records"] == 3
+    sent = [json.loads(r.value)["post_id"] for r in spark.read.text(str(tmp_path / "t")).collect()]
+    assert len(sent) == 3 and None in sent
+
+
+def test_scores_over_batches_equal_batch(spark, tmp_path):
+    from postlens.operators.sentiment import default_lexicon, score
+    batches = [[post(1, "good words here")], [post(2, "Good words, here!"), post(3, "bad words here")], [post(4, "bad words here")]]
+    out = str(tmp_path / "out")
+    flows.score_stream(stream_of(spark, batches, str(tmp_path / "in")), default_lexicon(spark), out, str(tmp_path / "checkpoint"))
+    got = {(r.text_clean, r.compound) for r in spark.read.parquet(f"{out}/scores").collect()}
+    want = score(deduplicate(clean(posts(spark, [r for b in batches for r in b]))), default_lexicon(spark)).collect()
+    assert got == {(r.text_clean, r.compound) for r in want} and spark.read.parquet(f"{out}/scores").count() == 2
+
+
+def test_compacted_keys_still_stop_copies(spark, tmp_path):
+    out, source, checkpoint = (str(tmp_path / n) for n in ("out", "in", "checkpoint"))
+    stream = stream_of(spark, [[post(1, "one text")], [post(2, "two texts")]], source)
+    flows.dedupe_stream(stream, out, checkpoint)
+    flows.compact_keys(spark, out, 1)
+    assert {r.batch_id for r in flows.read_keys(spark, f"{out}/keys").collect()} == {1}
+    posts(spark, [post(3, "one text"), post(4, "three texts")]).coalesce(1).write.parquet(f"{source}/part9")
+    flows.dedupe_stream(spark.readStream.schema(POSTS_SCHEMA).parquet(f"{source}/part*"), out, checkpoint)
+    assert sorted(r.text_clean for r in spark.read.parquet(f"{out}/posts").collect()) == ["one text", "three texts", "two texts"]
 
 
 def stream_of(spark, batches, folder):
