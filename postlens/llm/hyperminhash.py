@@ -9,8 +9,8 @@ fewer buckets each, so registers are seldom empty; the size class decides, and s
 Classes that share a band of registers are candidates. Stars come first: in every band bucket each member is paired with
 the member that shares most buckets. Pairs whose collision-corrected Jaccard estimate is within five standard errors of the threshold are
 confirmed on their full sets. Buckets that still hold more than one component then have all pairs between components
-estimated (large buckets in blocks) and confirmed, so a group of copies costs about as many confirmations as members and
-no link that decides a component is skipped. A pair at the threshold shares no band with probability (1 - t**ROWS)**BANDS,
+estimated and confirmed. In large buckets that happens block against block inside tasks, which give a spanning forest of
+the links they find, so no pairs are listed and no link that decides a component is skipped. A pair at the threshold shares no band with probability (1 - t**ROWS)**BANDS,
 7e-9 at 0.85.
 
 Null or blank texts have empty sets and link with nothing; rows without id are not linked either. Rows with the same id
@@ -21,12 +21,13 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from postlens.llm.common import components, fresh, shipped
+from postlens.llm.forest import spanning
 from postlens.scratch import settle
 
 shipped(__name__)
 
 WORDS, BANDS, ROWS, MANTISSA = 5, 32, 5, 10
-LOAD, PIECE, BLOCK, EMPTY = 24, 1 << 20, 256, 65535
+LOAD, PIECE, SMALL, BLOCK, COLUMNS, EMPTY = 24, 1 << 20, 64, 512, 1 << 16, 65535
 U = np.uint64
 BASE = 0x9E3779B97F4A7C15 | 1
 TABLES: dict = {}
@@ -223,30 +224,59 @@ def confirm_batches(percent):
     return run
 
 
-def block_pairs(percent):
-    """One block of a large bucket against another: the likely pairs between different components."""
+def overlaps(left, right):
+    """Sizes of the intersections of two lists of sets: products of 0/1 matrices over the hashes that occur more than once."""
+    values, counts = np.unique(np.concatenate([*left, *right]), return_counts=True)
+    shared, total = values[counts > 1], np.zeros((len(left), len(right)), np.float64)
+    for start in range(0, len(shared), COLUMNS):
+        part = shared[start:start + COLUMNS]
+
+        def entries(sets, part=part):
+            table = np.zeros((len(sets), len(part)), np.float32)
+            for row, values in enumerate(sets):
+                at = np.minimum(np.searchsorted(part, values), len(part) - 1)
+                table[row, at[part[at] == values]] = 1
+            return table
+        total += entries(left) @ entries(right).T
+    return total
+
+
+def block_links(percent):
+    """One block of a large bucket against another: a spanning forest of the links between different components.
+
+    Estimates say which rows are worth a comparison; those are compared on their full sets.
+    """
     def run(rows):
         import pandas as pd
 
-        left, right = rows[rows["side"] == 0], rows[rows["side"] == 1]
-        a, b, own = [], [], bool((rows["i"] == rows["j"]).all())
+        own = bool((rows["i"] == rows["j"]).all())
+        left = rows[rows["side"] == 0].reset_index(drop=True)
+        right = left if own else rows[rows["side"] == 1].reset_index(drop=True)
+        worth = np.zeros((len(left), len(right)), bool)
         for v in sorted({v for levels in rows["levels"] for v in levels}):
             def matrix(part, v=v):
-                chosen = part[[v in set(x) for x in part["levels"]]]
-                regs = [np.frombuffer(r[list(x).index(v)], np.uint16) for r, x in zip(chosen["regs"], chosen["levels"], strict=True)]
-                return chosen, np.array(regs, np.uint16).reshape(len(chosen), -1)
-            (lp, lm), (rp, rm) = matrix(left), matrix(left if own else right)
-            for k in range(len(lp)):
-                row = lp.iloc[k]
-                filled = (lm[k] != EMPTY) | (rm != EMPTY)
+                chosen = np.array([k for k, x in enumerate(part["levels"]) if v in set(x)], dtype=int)
+                regs = [np.frombuffer(part["regs"][k][list(part["levels"][k]).index(v)], np.uint16) for k in chosen]
+                return chosen, np.array(regs, np.uint16).reshape(len(chosen), BANDS * ROWS)
+            (at, x), (other, y) = matrix(left), matrix(right)
+            t = percent / 100
+            for k in range(len(at)):
+                filled = (x[k] != EMPTY) | (y != EMPTY)
                 n = np.maximum(filled.sum(axis=1), 1)
-                share = ((lm[k] == rm) & filled).sum(axis=1) / n
-                t = percent / 100
-                good = (share >= t - 5 * np.sqrt(t * (1 - t) / n)) & (rp["comp"].to_numpy() != row["comp"])
-                a += [row["id"]] * int(good.sum())
-                b += list(rp["id"].to_numpy()[good])
-        found = pd.DataFrame({"x": pd.Series(a, dtype="int64"), "y": pd.Series(b, dtype="int64")})
-        return pd.DataFrame({"a": found.min(axis=1).astype("int64"), "b": found.max(axis=1).astype("int64")}).drop_duplicates()
+                share = ((x[k] == y) & filled).sum(axis=1) / n
+                worth[at[k], other] |= share >= t - 5 * np.sqrt(t * (1 - t) / n)
+        worth &= left["comp"].to_numpy()[:, None] != right["comp"].to_numpy()[None, :]
+        i, j = np.flatnonzero(worth.any(axis=1)), np.flatnonzero(worth.any(axis=0))
+        edges = []
+        if len(i):
+            with np.errstate(over="ignore"):
+                a, b = (list(sets_of(pa.array(list(part["text"].iloc[at]), pa.string()))) for part, at in ((left, i), (right, j)))
+            both = overlaps(a, b)
+            sizes = np.array([len(x) for x in a])[:, None] + np.array([len(x) for x in b])[None, :]
+            linked = worth[np.ix_(i, j)] & (100 * both >= percent * (sizes - both))
+            ids, others = left["id"].to_numpy()[i], right["id"].to_numpy()[j]
+            edges = [(ids[r], others[c]) for r, c in spanning(linked)]
+        return pd.DataFrame(edges, columns=["a", "b"]).astype("int64")
     return run
 
 
@@ -255,6 +285,13 @@ def sketches(docs, percent):
     return slim.mapInArrow(sketch_batches(percent), SKETCH)
 
 
+def texts_of(ids, classes, docs):
+    """``(id, text)`` of the classes in ``ids``."""
+    wanted = ids.distinct().join(classes.select("id", "text_key"), "id")
+    return docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("text_key"), "text").join(
+        wanted, ["id", "text_key"]).groupBy("id").agg(F.first("text").alias("text"))
+
+
 def confirmed(pairs, classes, docs, percent):
     """The pairs (a, b) of classes that reach the threshold: first by estimate, then on whole texts."""
     for side in "ab":
@@ -262,9 +299,7 @@ def confirmed(pairs, classes, docs, percent):
                                           F.col("regs").alias(f"r{side}")), side)
     likely_pairs = settle(pairs.select("a", "b", "na", "nb", "la", "lb", "ra", "rb").mapInArrow(
         estimate_batches(percent), "a long, b long"), "likely")
-    wanted = likely_pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct().join(classes.select("id", "text_key"), "id")
-    texts = settle(docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("text_key"), "text").join(
-        wanted, ["id", "text_key"]).groupBy("id").agg(F.first("text").alias("text")), "texts")
+    texts = settle(texts_of(likely_pairs.select(F.explode(F.array("a", "b")).alias("id")), classes, docs), "texts")
     both = likely_pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a").join(
         texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b").select("a", "b", "ta", "tb")
     return settle(both.mapInArrow(confirm_batches(percent), "a long, b long"), "edges")
@@ -297,22 +332,20 @@ def near_duplicates(docs, percent=80):
     placed = members.join(found, "id")
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
     rest = settle(placed.join(mixed, "key").select("key", "id", "m", F.col("component").alias("comp")), "mixed")
-    small, large = rest.where(F.col("m") <= BLOCK), rest.where(F.col("m") > BLOCK)
+    small, large = rest.where(F.col("m") <= SMALL), rest.where(F.col("m") > SMALL)
     x, y = small.alias("x"), small.alias("y")
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.id") < F.col("y.id"))
                    & (F.col("x.comp") != F.col("y.comp"))).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-    if large.limit(1).count():
-        blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-        own = F.pmod(F.xxhash64("id"), blocks).cast("int")
-        spread = large.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
-            "key", "id", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-            F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
-        wide = spread.join(classes.select("id", "levels", "regs"), "id")
-        pairs = pairs.unionByName(wide.groupBy("key", "i", "j").applyInPandas(block_pairs(percent), "a long, b long"))
     more = settle(pairs.distinct().join(stars, ["a", "b"], "left_anti"), "more")
-    if more.limit(1).count():
-        extra = confirmed(more, classes, docs, percent)
-        found = settle(components(nodes, edges.unionByName(extra)), "components")
+    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    spread = large.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+        "key", "id", "comp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+        F.when(F.col("own") <= F.col("other"), 0).otherwise(1).alias("side"))
+    wide = spread.join(classes.select("id", "levels", "regs"), "id").join(
+        settle(texts_of(large.select("id"), classes, docs), "texts"), "id")
+    links = settle(wide.groupBy("key", "i", "j").applyInPandas(block_links(percent), "a long, b long"), "links")
+    found = settle(components(nodes, edges.unionByName(confirmed(more, classes, docs, percent)).unionByName(links)), "components")
     named = every.select("doc_id", "n", "s1", "s2").join(
         classes.select("s1", "s2", "id").join(found, "id").select("s1", "s2", "component"), ["s1", "s2"], "left")
     component = F.when(F.col("n") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))

@@ -48,6 +48,8 @@ def test_components_equal_brute_force(spark):
 
 def test_chains_in_large_buckets(spark, monkeypatch):
     monkeypatch.setattr(h, "BLOCK", 8)
+    monkeypatch.setattr(h, "SMALL", 4)
+    monkeypatch.setattr(h, "COLUMNS", 50)
     rows = rows_of_families(9, sizes=(60,), edits=14)
     check(rows, h.near_duplicates(docs_of(spark, rows), 80).collect(), 80)
 
