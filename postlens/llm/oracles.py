@@ -6,7 +6,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def _breaks(rule):
-    value = f"{rule.measure} * {100 if rule.per else 1}"
+    value = f"({rule.measure} + {rule.slack}) * {100 if rule.per else 1}"
     unit = rule.per or "1"
     tests = [f"{value} < {unit} * {rule.low}"] * (rule.low is not None) + [f"{value} > {unit} * {rule.high}"] * (rule.high is not None)
     return "(" + " OR ".join(tests) + ")"

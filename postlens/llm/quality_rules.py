@@ -21,13 +21,14 @@ STOP_WORDS = ("the and of to in is that a on are was for with be "
 
 
 class Rule(NamedTuple):
-    """``low <= 100 * measure / per <= high``; a bound of None is open, ``per`` None compares the measure itself."""
+    """``low <= 100 * (measure + slack) / per <= high``; a bound of None is open, ``per`` None compares the measure itself."""
     name: str
     measure: str
     per: str | None
     low: int | None
     high: int | None
     base: bool = False
+    slack: int = 0
 
 
 RULES = (
@@ -35,7 +36,7 @@ RULES = (
     Rule("repeated_words", "n_repeat_words", "n_words", None, 20, True),
     Rule("word_length", "word_chars", "n_words", 200, 2000),
     Rule("symbols", "n_symbols", "n_words", None, 30),
-    Rule("stop_words", "n_stop_words", "n_words", 2, None),
+    Rule("stop_words", "n_stop_words", "n_words", 2, None, slack=1),     # so texts of up to 50 words need none
     Rule("repeated_lines", "n_dup_lines", "n_lines", None, 50),
     Rule("bullet_lines", "n_bullet_lines", "n_lines", None, 90),
     Rule("ellipsis_lines", "n_ellipsis_lines", "n_lines", None, 30),
@@ -97,7 +98,7 @@ def judge(docs, rules=RULES, stop_words=STOP_WORDS, name="quality", columns=None
     flat = {f: F.col(n)[f].cast("long") for n in names for f in wide.schema[n].dataType.names}
 
     def breaks(rule):
-        value = flat[rule.measure] * (100 if rule.per else 1)
+        value = (flat[rule.measure] + rule.slack) * (100 if rule.per else 1)
         unit = flat[rule.per] if rule.per else F.lit(1)
         low = F.lit(False) if rule.low is None else value < unit * rule.low
         return low if rule.high is None else low | (value > unit * rule.high)

@@ -34,8 +34,8 @@ def test_measures_equal_brute_force(spark):
 def test_keeps_columns_rows_and_empty_table(spark):
     docs = docs_of(spark, edge_rows())
     kept = q.keep_good(docs)
-    assert kept.columns == docs.columns and kept.count() == 6
-    assert {r.doc_id for r in kept.collect()} == {1, 2, None, 6, 7}
+    assert kept.columns == docs.columns and kept.count() == 4
+    assert {r.doc_id for r in kept.collect()} == {1, 2, None}     # the long texts have no stop words
     assert q.keep_good(docs.limit(0)).count() == 0
 
 

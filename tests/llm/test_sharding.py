@@ -45,7 +45,7 @@ def test_odd_rows_and_empty_table(spark):
 
 def test_files_hold_small_boxes(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
-    sharding.write_shards(docs, str(tmp_path / "out"), 8)
+    sharding.write_shards(docs, str(tmp_path / "out"), shards=8)
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() == docs.count() and out.select("shard").distinct().count() == 8
     spread = out.groupBy("shard").agg(F.countDistinct("source").alias("n")).agg(F.avg("n")).first()[0]
