@@ -61,10 +61,13 @@ def removed_lines(docs, sites=SITES, site="source", **options):
         F.element_at(F.transform(F.array(parts), lambda p: F.array_join(F.transform(left, lambda i: F.get(p, i)), "\n")), 1))
     counts = {fresh(docs, "n_lines"): F.coalesce(F.size(parts), F.lit(0)).cast("long"),
               fresh(docs, "n_removed"): F.coalesce(F.size(gone), F.lit(0)).cast("long")}
-    changed = {"n_chars": F.when(gone.isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(docs.schema["n_chars"].dataType)
-               } if "n_chars" in docs.columns else {}
-    return marked.select(*[{"text": text, **changed}.get(c, F.col(c)).alias(c) for c in docs.columns],
-                         *[v.alias(k) for k, v in counts.items()])
+    # The new text has a name of its own first: inside a lambda Spark would take "text" for the new column of the same select.
+    new = fresh(docs, "new_text")
+    done = marked.withColumns({**counts, new: text})
+    changed = {"text": F.col(new)}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(gone.isNull(), F.col("n_chars")).otherwise(F.length(new)).cast(docs.schema["n_chars"].dataType)
+    return done.select(*[changed.get(c, F.col(c)).alias(c) for c in docs.columns], *counts)
 
 
 def clean(docs, sites=SITES, site="source"):
