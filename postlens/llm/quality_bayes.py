@@ -32,10 +32,10 @@ def features(m):
 
 def fit(rows, ridge=RIDGE):
     """Weights (the last is the intercept) of a ridge logistic regression by Newton's method; None with a single class."""
-    x = np.array([[*r[0], 1.0] for r in rows], dtype=float).reshape(len(rows), -1)
     y = np.array([r[1] for r in rows], dtype=float)
     if len(y) == 0 or y.min() == y.max():
         return None
+    x = np.array([[*r[0], 1.0] for r in rows], dtype=float)
     weights, penalty = np.zeros(x.shape[1]), np.full(x.shape[1], ridge)
     penalty[-1] = 1e-9
     for _ in range(50):
