@@ -11,10 +11,12 @@ Null texts count as empty (no ids, decoded ``""``), texts of any length are enco
 Rows map one to one, other columns stay. The vocabulary (about 1 MB, fixed) is read on the driver and broadcast.
 """
 import json
+import re
 from heapq import heapify, heappop, heappush
-from itertools import chain
+from itertools import accumulate, chain, pairwise
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,11 +26,13 @@ from postlens.llm.common import shipped
 shipped(__name__)
 
 
-# Fixed value: the word pattern of the vocabulary's pre-tokeniser.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# Fixed value: the word pattern of the vocabulary's pre-tokeniser, and the same for ASCII texts.
+PATTERN = (r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"""
+           r"""|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+""")
+PLAIN_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"""
 LONG = 256
-WORDS_KEPT = 400_000
-NEVER = 1 << 60
+WORDS_KEPT, ROWS = 250_000, 256
+NEVER = 1 << 29
 
 
 def byte_letters():
@@ -55,51 +59,65 @@ class Words(dict):
     """Ids of words, cut when first asked for."""
 
     def __init__(self, ids, merges):
-        self.merges, self.single = merges, [ids[bytes([b])] for b in range(256)]
+        self.single, self.others = [ids[bytes([b])] for b in range(256)], 0
+        # Rank of a pair by its left, then its right part, and the id a rank makes.
+        none = {}
+        self.ranks = [none] * (max(ids.values()) + 1)
+        self.made = [0] * (max((rank for rank, _ in merges.values()), default=0) + 1)
+        for (left, right), (rank, joined) in merges.items():
+            if self.ranks[left] is none:
+                self.ranks[left] = {}
+            self.ranks[left][right], self.made[rank] = rank, joined
 
     def __missing__(self, word):
         parts = [self.single[b] for b in word.encode()]
-        found = self.by_scan(parts) if len(parts) <= LONG else self.by_heap(parts)
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        if len(parts) <= LONG:
+        if len(parts) > LONG:
+            return self.by_heap(parts)
+        found = self.by_scan(parts)
+        if len(self) < WORDS_KEPT:
             self[word] = found
+        else:
+            # The first words are the frequent ones and stay, until so many others come that the texts must have changed.
+            self.others += 1
+            if self.others > 8 * WORDS_KEPT:
+                self.clear()
+                self.others = 0
         return found
 
     def by_scan(self, parts):
-        get, none = self.merges.get, (NEVER, 0)
-        near = [get(pair, none) for pair in zip(parts, parts[1:], strict=False)]
+        ranks, made = self.ranks, self.made
+        near = [ranks[a].get(b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
         while near:
             best = min(near)
-            if best[0] == NEVER:
+            if best == NEVER:
                 break
-            i = near.index(best)
-            parts[i:i + 2] = [best[1]]
-            del near[i]
+            i, joined = near.index(best), made[best]
+            parts[i] = joined
+            del parts[i + 1], near[i]
             if i:
-                near[i - 1] = get((parts[i - 1], best[1]), none)
+                near[i - 1] = ranks[parts[i - 1]].get(joined, NEVER)
             if i < len(near):
-                near[i] = get((best[1], parts[i + 1]), none)
+                near[i] = ranks[joined].get(parts[i + 1], NEVER)
         return parts
 
     def by_heap(self, parts):
-        get, n = self.merges.get, len(parts)
+        ranks, made, n = self.ranks, self.made, len(parts)
         after, before, heap = [*range(1, n), -1], [*range(-1, n - 1)], []
 
         def offer(i):
-            if i >= 0 and after[i] >= 0 and (found := get((parts[i], parts[after[i]]))):
-                heappush(heap, (found[0], i, parts[i], parts[after[i]], found[1]))
+            if i >= 0 and after[i] >= 0 and (rank := ranks[parts[i]].get(parts[after[i]], NEVER)) != NEVER:
+                heappush(heap, (rank, i, parts[i], parts[after[i]]))
 
         for i in range(n - 1):
-            if found := get((parts[i], parts[i + 1])):
-                heap.append((found[0], i, parts[i], parts[i + 1], found[1]))
+            if (rank := ranks[parts[i]].get(parts[i + 1], NEVER)) != NEVER:
+                heap.append((rank, i, parts[i], parts[i + 1]))
         heapify(heap)
         while heap:
-            _, i, left, right, joined = heappop(heap)
+            rank, i, left, right = heappop(heap)
             j = after[i]
             if parts[i] != left or j < 0 or parts[j] != right:
                 continue
-            parts[i], parts[j], after[i] = joined, None, after[j]
+            parts[i], parts[j], after[i] = made[rank], None, after[j]
             if after[j] >= 0:
                 before[after[j]] = i
             offer(before[i])
@@ -109,10 +127,13 @@ class Words(dict):
 
 def encoder(ids, merges, special):
     """A function from text to ids."""
-    words, cut = Words(ids, merges), regex.compile(PATTERN).findall
+    words, cut_any, cut_plain = Words(ids, merges), regex.compile(PATTERN).findall, re.compile(PLAIN_PATTERN, re.ASCII).findall
     get = words.__getitem__
     marks = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
 
+    def cut(text):
+        return cut_plain(text) if text.isascii() else cut_any(text)
+
     def encode(text):
         if marks and any(s in text for s in special):
             pieces = marks.split(text)
@@ -127,9 +148,11 @@ def _mapped(docs, name, kind, work):
 
     def batches(source):
         make = None
-        for batch in source:
+        for whole in source:
             make = make or work()
-            yield pa.RecordBatch.from_arrays([*batch.columns, make(batch)], [*batch.schema.names, name])
+            for start in range(0, whole.num_rows, ROWS):
+                batch = whole.slice(start, ROWS)
+                yield pa.RecordBatch.from_arrays([*batch.columns, make(batch)], [*batch.schema.names, name])
     return docs.mapInArrow(batches, schema)
 
 
@@ -149,10 +172,8 @@ def encode(docs, vocabulary, text="text", ids="ids", keep_text=True):
 
 
 def _lists(found):
-    sizes = [0]
-    for x in found:
-        sizes.append(sizes[-1] + len(x))
-    return pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(chain.from_iterable(found), pa.int32()))
+    ends = [0, *accumulate(map(len, found))]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(list(chain.from_iterable(found)), pa.int32()))
 
 
 def decode(docs, vocabulary, ids="ids", text="decoded"):
@@ -166,7 +187,9 @@ def decode(docs, vocabulary, ids="ids", text="decoded"):
 
         def make(batch):
             column = batch.column(batch.schema.get_field_index(ids))
-            return pa.array([b"".join(map(get, x.as_py() or ())).decode("utf-8", "replace") for x in column], pa.string())
+            flat = column.flatten().tolist()
+            ends = [0, *accumulate(pc.list_value_length(column).fill_null(0).to_pylist())]
+            return pa.array([b"".join(map(get, flat[a:b])).decode("utf-8", "replace") for a, b in pairwise(ends)], pa.string())
         return make
     return _mapped(docs, text, T.StringType(), work)
 

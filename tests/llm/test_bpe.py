@@ -15,7 +15,7 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 ENCODE = bpe.encoder(*bpe.load(PATH))
 OTHER = Tokenizer.from_file(PATH)
 ODD = ["", " ", "  a", "a  b\n\n c", "it's WE'LL 's", "<|endoftext|>", "x<|endoftext|> y<|endoftext|>", "日本語 テキスト", "😀👍🏽", "\x00\x01\x7f",
-       "   x", "İKß", "12 345,6", "a" * 3000, "ab" * 400, "\t\r\n\x0b\x0c", "é", " x", "'S 'T"]
+       "   x", "İKß", "12 345,6", "a" * 3000, "ab" * 400, "\t\r\n\x0b\x0c", "a\x1c b\x1d\x1e\x1f c", "a\x85b\xa0 c\u3000 d\u200b", "é", " x", "'S 'T"]
 
 
 @pytest.fixture(scope="module")
