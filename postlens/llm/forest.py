@@ -22,7 +22,7 @@ from postlens.scratch import settle
 
 shipped(__name__)
 
-TREES, LEAF, BLOCK, SAMPLE, CHOICES, FEWEST, SPILL = 10, 256, 2048, 8192, 8, 48, 0.5
+TREES, LEAF, BLOCK, SAMPLE, CHOICES, FEWEST, SPILL = 10, 256, 2048, 8192, 8, 16, 0.5
 SAMPLE_NUMBERS = 1 << 22
 
 
