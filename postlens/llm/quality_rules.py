@@ -94,7 +94,10 @@ def judge(docs, rules=RULES, stop_words=STOP_WORDS, name="quality", columns=None
     columns = [c for c in columns or docs.columns if c != name]
     parts = measures(whole_text(), stop_words)
     names = [fresh(docs, f"part{i}") for i in range(len(parts))]
-    wide = docs.select(*columns, *[p.alias(n) for p, n in zip(parts, names, strict=True)])
+    # A generator, so that a filter on the verdict reads these columns; pushed below a projection it would measure the text
+    # again for every rule. The outer form: the inner one would measure it once more to see whether there is a row.
+    measured = F.inline_outer(F.array(F.struct(*[p.alias(n) for p, n in zip(parts, names, strict=True)])))
+    wide = docs.select(*columns, measured)
     flat = {f: F.col(n)[f].cast("long") for n in names for f in wide.schema[n].dataType.names}
 
     def breaks(rule):
