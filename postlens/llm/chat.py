@@ -65,9 +65,11 @@ def paths(messages, branches=1):
     jumps, most = [], nodes.count()
     while (1 << len(jumps)) <= max(most, 1) and state.where(F.col("up").isNotNull()).limit(1).count():
         jumps.append(state)
-        state = settle(state.alias("l").join(state.alias("r"), _pair("l", "r", "up"), "left").select(
+        # Messages that have reached their root take no part in further rounds.
+        open_, done = state.where(F.col("up").isNotNull()), state.where(F.col("up").isNull())
+        state = settle(done.unionByName(open_.alias("l").join(state.alias("r"), _pair("l", "r", "up"), "left").select(
             "l.tree", "l.node", "r.up", (F.col("l.score") + F.coalesce("r.score", F.lit(0.0))).alias("score"),
-            (F.col("l.depth") + F.coalesce("r.depth", F.lit(0))).alias("depth")), "jumps")
+            (F.col("l.depth") + F.coalesce("r.depth", F.lit(0))).alias("depth"))), "jumps")
     best = Window.partitionBy("tree").orderBy(F.desc(F.col("score") / (F.col("depth") + 1)), F.desc("depth"), "node")
     rooted = state.where(F.col("up").isNull()).select("tree", "node", "score", "depth")
     ranked = rooted.alias("l").join(leaves.alias("r"), _pair("l", "r", "node"), "left_semi").withColumn(
