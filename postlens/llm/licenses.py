@@ -1,8 +1,8 @@
 """License detection by ordered signature rules.
 
 Words are runs of ``[0-9a-z]`` and non-ASCII characters after lower-casing A-Z. A text is looked at only if it holds one of a
-few keywords. Around each keyword a window of ``REACH`` words on both sides is cut out, and the rules of that keyword whose hint
-word is in the window try their expression there. A hit is an interval of words; one that lies inside an
+few keywords. Around each keyword a window is cut out that holds the longest span any rule of that keyword can take (``reach``),
+and the rules of that keyword whose hint word is in the window try their expression there. A hit is an interval of words; one that lies inside an
 interval of the same or a higher priority is suppressed (of equal intervals the earlier rule stays). Base phrases
 (``<name> license``) are counted at every place before suppression.
 
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from postlens.llm.common import let, whole_text
 
-REACH = 14
 AT = "\x01"
 CASES = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -94,7 +93,7 @@ blueoak; blue oak model; 1 0 0
 # Texts that state a license or its absence without a name: label, keyword, words before, words after.
 NOTICES = (
     ("mit", "granted", " permission is hereby ", "(?= free of charge to any person)"),
-    ("isc", "granted", "(?: permission to use copy modify and or distribute.*) (?:is )?(?:hereby )?", "(?= provided)"),
+    ("isc", "granted", "(?: permission to use copy modify and or distribute(?: [^ ]+){0,32}) (?:is )?(?:hereby )?", "(?= provided)"),
     ("bsd", "redistribution", " ", "(?= and use in source and binary forms)"),
     ("no-warranty", "warranty", " without (?:any )?", "(?= )"),
     ("all-rights-reserved", "copyright", " ", "(?= (?:[^ ]+ ){0,8}all rights reserved )"),
@@ -141,6 +140,44 @@ def rules():
 RULE_TYPE = "array<struct<rule string, label string, keyword string, hint string, pattern string, priority int, base int>>"
 
 
+def most_words(pattern):
+    """The most words that one side of a rule's expression can span beside the keyword: its spaces, the outer one included."""
+    def branch(i):
+        # Spaces of the longest alternative from i on, and the place where it ends.
+        best = spaces = 0
+        while i < len(pattern) and pattern[i] != ")":
+            c, taken = pattern[i], 0
+            if c == "(":
+                taken, i = branch(i + (3 if pattern[i + 1] == "?" else 1))
+            elif c == "[":
+                i = pattern.index("]", i)
+            elif c == "|":
+                best, spaces = max(best, spaces), 0
+            elif c in "\\*.":
+                raise ValueError(f"no bound on the words of {pattern!r}")
+            else:
+                taken = int(c == " ")
+            i += 1
+            if pattern[i:i + 1] == "{":
+                end = pattern.index("}", i)
+                taken, i = taken * int(pattern[i + 1:end].split(",")[-1]), end + 1
+            elif pattern[i:i + 1] in ("?", "+"):
+                if taken and pattern[i] == "+":
+                    raise ValueError(f"no bound on the words of {pattern!r}")
+                i += 1
+            spaces += taken
+        return max(best, spaces), i
+    return branch(0)[0]
+
+
+def reach():
+    """Words that the rules of each keyword can need before and after it."""
+    found = {k: (0, 0) for k in KEYWORDS}
+    for r in rules():
+        found[r["keyword"]] = tuple(map(max, found[r["keyword"]], map(most_words, r["pattern"].split(AT))))
+    return found
+
+
 def words_of(text):
     """The lower-case words of texts that hold a keyword, else null."""
     return F.when(text.rlike(GATE), F.regexp_extract_all(F.translate(text, *CASES), F.lit(LOW_WORD), F.lit(0)))
@@ -148,9 +185,12 @@ def words_of(text):
 
 def windows(words):
     """Array of (place, keyword, window): the keyword with the words around it, single spaces between and at both ends."""
+    sides = reach()
+    before, after = (F.create_map(*[F.lit(x) for k, v in sides.items() for x in (k, v[n])]) for n in (0, 1))
+
     def around(i, w):
-        left = F.slice(words, F.greatest(i - REACH, F.lit(0)) + 1, F.least(i, F.lit(REACH)))
-        right = F.slice(words, i + 2, REACH)
+        left = F.slice(words, F.greatest(i - before[w], F.lit(0)) + 1, F.least(i, before[w]))
+        right = F.slice(words, i + 2, after[w])
         return F.struct(i.cast("long").alias("place"), w.alias("keyword"), F.concat(
             F.lit(" "), F.array_join(F.concat(left, F.array(F.concat(F.lit(AT), w)), right), " "), F.lit(" ")).alias("window"))
     return F.filter(F.transform(words, lambda w, i: F.when(w.isin(*KEYWORDS), around(i, w))), lambda x: x.isNotNull())

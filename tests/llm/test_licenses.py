@@ -71,6 +71,47 @@ def test_suppressed_hits_lie_in_kept_ones(spark):
         assert h.kept == (not [k for k in holders if k not in same or k.rule < h.rule])
 
 
+NOTICE_TEXTS = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+           "provided that the above copyright notice and this permission notice appear in all copies.",
+    "bsd": "Redistribution and use in source and binary forms, with or without modification, are permitted",
+    "no-warranty": "but WITHOUT ANY WARRANTY; without even the implied",
+    "all-rights-reserved": "Copyright (c) 2001 to 2020 The Regents of Somewhere. All rights reserved.",
+    "copyright": "Copyright (c) 2020 X", "copyleft": "It is copyleft software", "no-license": "There is no license at all",
+    "proprietary": "an end user license agreement", "free-license": "Some open source licenses do",
+}
+
+
+def long_forms():
+    """The longest texts of every family's forms: (label, rule, text)."""
+    for line in licenses.FAMILIES.strip().splitlines():
+        label, names, versions = (x.strip() for x in line.split(";"))
+        for name in names.split("|"):
+            yield from [(label, "spdx", f"spdx license identifier {name}"), (label, "named", f"{name} license"),
+                        (label, "licensed", f"licensed under the terms of the {name} license"), (label, "after", f"license type {name}")]
+            for v in [v for v in versions.split(",") if v != "0"]:
+                full, tail = f"{label}-{v.replace(' ', '.')}", f"version v{v}"
+                yield from [(full, "spdx", f"spdx license identifier {name} {tail}"), (full, "named", f"{name} license {tail}"),
+                            (full, "licensed", f"licensed under the terms of the {name} license {tail}"), (full, "before", f"{name} {tail} license")]
+
+
+def test_longest_forms_and_standard_notices_fire(spark):
+    assert set(NOTICE_TEXTS) == {n[0] for n in licenses.NOTICES}
+    pad = "word " * 60
+    want = list(long_forms()) + [(label, "notice", text) for label, text in NOTICE_TEXTS.items()]
+    docs = docs_of(spark, [(i, f"{pad}{text} {pad}", "s") for i, (_, _, text) in enumerate(want)])
+    fired = {(h.doc_id, h.label, h.rule[5:]) for h in licenses.detect(docs).where("rule IS NOT NULL").collect()}
+    assert [x for i, x in enumerate(want) if (i, x[0], x[1]) not in fired] == []
+
+
+def test_windows_reach_as_far_as_the_rules():
+    assert licenses.most_words(" a (?:b c |d )?(?:[^ ]+ ){0,8}") == 12
+    sides = licenses.reach()
+    assert sides["granted"][0] >= 20 and sides["licensed"][1] >= 16
+    assert set(sides) == set(licenses.KEYWORDS)
+
+
 def test_rules_are_many_and_valid():
     rules = licenses.rules()
     assert len(rules) > 300 and len({r["rule"] for r in rules}) == len(rules)
