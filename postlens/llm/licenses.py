@@ -2,7 +2,8 @@
 
 Words are runs of ``[0-9a-z]`` and non-ASCII characters after lower-casing A-Z. A text is looked at only if it holds one of a
 few keywords. Around each keyword a window is cut out that holds the longest span any rule of that keyword can take (``reach``),
-and the rules of that keyword whose hint word is in the window try their expression there. A hit is an interval of words; one that lies inside an
+and the rules of that keyword (of ``license`` also for ``licence``, and so on) whose hint word is in the window try their expression
+there. A hit is an interval of words; one that lies inside an
 interval of the same or a higher priority is suppressed (of equal intervals the earlier rule stays). Base phrases
 (``<name> license``) are counted at every place before suppression.
 
@@ -20,8 +21,10 @@ AT = "\x01"
 CASES = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 RAW_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 LOW_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-KEYWORDS = ("license", "licence", "licensed", "licenses", "spdx", "copyright", "copyleft", "gpl", "lgpl", "agpl", "redistribution",
+KEYWORDS = ("license", "licence", "licensed", "licenced", "licenses", "licences", "spdx", "copyright", "copyleft", "gpl", "lgpl", "agpl", "redistribution",
             "granted", "warranty")
+# Spellings that try the rules of another keyword; whether an expression takes them is up to the expression.
+SPELLINGS = {"licence": "license", "licenced": "licensed", "licences": "licenses"}
 GATE = "(?i)licen[cs]e|spdx|copy(?:right|left)|gpl|redistribution|granted|warranty"
 
 BASE = {"mit": "mit", "apache": "apache", "gpl": "general public"}
@@ -120,19 +123,20 @@ def rules():
                 full = f"{label}-{v.replace(' ', '.')}"
                 tail = rf" (?:(?:version|v) )?(?:v)?{v}(?= )"
                 made += [
-                    ("spdx", full, "spdx", hint, rf" {AT}spdx license identifier {own}{tail}", 6, 0),
-                    ("licensed", full, "licensed", hint, rf" {AT}licensed under (?:the )?(?:terms of the )?{own}(?: license)?{tail}", 5, 0),
-                    ("named", full, "license", hint, rf" {own} {AT}license{tail}", 5, 0),
-                    ("before", full, "license", hint, rf" {own}{tail} {AT}license(?= )", 5, 0)]
+                    ("spdx", full, "spdx", hint, rf" {AT}spdx licen[cs]e identifier {own}{tail}", 6, 0),
+                    ("licensed", full, "licensed", hint, rf" {AT}licen[cs]ed under (?:the )?(?:terms of the )?{own}(?: licen[cs]e)?{tail}", 5, 0),
+                    ("named", full, "license", hint, rf" {own} {AT}licen[cs]e{tail}", 5, 0),
+                    ("before", full, "license", hint, rf" {own}{tail} {AT}licen[cs]e(?= )", 5, 0)]
             made += [
-                ("spdx", label, "spdx", hint, rf" {AT}spdx license identifier {own}(?= )", 4, 0),
-                ("licensed", label, "licensed", hint, rf" {AT}licensed under (?:the )?(?:terms of the )?{own}(?: license)?(?= )", 3, 0),
+                ("spdx", label, "spdx", hint, rf" {AT}spdx licen[cs]e identifier {own}(?= )", 4, 0),
+                ("licensed", label, "licensed", hint, rf" {AT}licen[cs]ed under (?:the )?(?:terms of the )?{own}(?: licen[cs]e)?(?= )", 3, 0),
                 ("named", label, "license", hint, rf" {own} {AT}licen[cs]e(?= )", 2, 0),
                 ("after", label, "license", hint, rf" {AT}licen[cs]e (?:type |name )?{own}(?= )", 1, 0)]
             for word in {"gpl", "lgpl", "agpl"} & {hint}:
                 made += [("word", f"{label}-{v}", word, word, rf" (?:gnu )?{AT}{word} (?:version |v)?{v}(?= )", 2, 0)
                          for v in versions] + [("word", label, word, word, rf" {AT}{word}(?= )", 1, 0)]
-    made += [("notice", label, key, None, f"{before}{AT}{key}{after}", 1, 0) for label, key, before, after in NOTICES]
+    made += [("notice", label, key, None, f"{before}{AT}{key.replace('licens', 'licen[cs]')}{after}", 1, 0)
+             for label, key, before, after in NOTICES]
     return [dict(zip(("rule", "label", "keyword", "hint", "pattern", "priority", "base"), (f"{i:04d}-{r[0]}", *r[1:]), strict=True))
             for i, r in enumerate(made)]
 
@@ -175,7 +179,7 @@ def reach():
     found = {k: (0, 0) for k in KEYWORDS}
     for r in rules():
         found[r["keyword"]] = tuple(map(max, found[r["keyword"]], map(most_words, r["pattern"].split(AT))))
-    return found
+    return found | {k: found[v] for k, v in SPELLINGS.items()}
 
 
 def words_of(text):
@@ -198,7 +202,8 @@ def windows(words):
 
 def hits(table, keyword, place, window):
     """Array of hits of the rules at one keyword."""
-    able = F.filter(table, lambda r: (r["keyword"] == keyword) & (
+    spelled = F.coalesce(F.create_map(*[F.lit(x) for pair in SPELLINGS.items() for x in pair])[keyword], keyword)
+    able = F.filter(table, lambda r: (r["keyword"] == spelled) & (
         r["hint"].isNull() | window.contains(F.concat(F.lit(" "), r["hint"], F.lit(" ")))
         | window.contains(F.concat(F.lit(AT), r["hint"], F.lit(" ")))))
 

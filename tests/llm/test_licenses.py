@@ -105,6 +105,19 @@ def test_longest_forms_and_standard_notices_fire(spark):
     assert [x for i, x in enumerate(want) if (i, x[0], x[1]) not in fired] == []
 
 
+def test_british_spelling_fires_in_every_form(spark):
+    forms = [(label, rule, re.sub(r"\blicens(?=e)", "licenc", text)) for label, rule, text in long_forms()] + [
+        (label, "notice", NOTICE_TEXTS[label].replace("licens", "licenc")) for label in ("no-license", "proprietary", "free-license")]
+    docs = docs_of(spark, [(i, text, "s") for i, (_, _, text) in enumerate(forms)])
+    fired = {(h.doc_id, h.label, h.rule[5:]) for h in licenses.detect(docs).where("rule IS NOT NULL").collect()}
+    assert [x for i, x in enumerate(forms) if (i, x[0], x[1]) not in fired] == []
+    cases = {"MIT Licence": "mit", "Apache Licence 2.0": "apache,apache-2.0", "GNU General Public Licence": "gpl",
+             "Licensed under the European Union Public Licence 1.2": "eupl,eupl-1.2"}
+    found = {r.doc_id: r for r in licenses.scan(docs_of(spark, [(i, t, "s") for i, t in enumerate(cases)])).collect()}
+    for i, want in enumerate(cases.values()):
+        assert found[i].n_base == 0 and set(found[i].labels.split(",")) <= set(want.split(",")) and found[i].labels and found[i].score > 0
+
+
 def test_windows_reach_as_far_as_the_rules():
     assert licenses.most_words(" a (?:b c |d )?(?:[^ ]+ ){0,8}") == 12
     sides = licenses.reach()
