@@ -13,14 +13,15 @@ estimated and confirmed. In large buckets that happens block against block insid
 the links they find, so no pairs are listed and no link that decides a component is skipped. A pair at the threshold shares no band with probability (1 - t**ROWS)**BANDS,
 7e-9 at 0.85.
 
+Classes are numbered in the order of their smallest id, so an id whose rows hold different texts is in several classes.
 Null or blank texts have empty sets and link with nothing; rows without id are not linked either. Rows with the same id
-are one node. Whole texts are used, read in pieces. Repeated rows share a class; an empty table gives no rows. Other columns are ignored.
+are one node of the components; rows are dropped by their text's own class, so an id's other texts stay. Whole texts are used, read in pieces. Repeated rows share a class; an empty table gives no rows. Other columns are ignored.
 """
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from postlens.llm.common import components, fresh, shipped
+from postlens.llm.common import components, fresh, running, shipped
 from postlens.llm.forest import spanning
 from postlens.scratch import settle
 
@@ -287,9 +288,9 @@ def sketches(docs, percent):
 
 def texts_of(ids, classes, docs):
     """``(id, text)`` of the classes in ``ids``."""
-    wanted = ids.distinct().join(classes.select("id", "text_key"), "id")
-    return docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("text_key"), "text").join(
-        wanted, ["id", "text_key"]).groupBy("id").agg(F.first("text").alias("text"))
+    wanted = ids.distinct().join(classes.select("id", "first", "text_key"), "id")
+    return docs.select(F.col("doc_id").cast("long").alias("first"), F.xxhash64("text").alias("text_key"), "text").join(
+        wanted, ["first", "text_key"]).groupBy("id").agg(F.first("text").alias("text"))
 
 
 def confirmed(pairs, classes, docs, percent):
@@ -309,12 +310,14 @@ def ordered_pairs(x, y):
     return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
 
-def near_duplicates(docs, percent=80):
-    """One row per document: doc_id, n_shingles, component_id and kept; ``percent`` is the threshold on the Jaccard index."""
+def class_components(docs, percent):
+    """One row per document: doc_id, text_key, n, the number of its class, the smallest one linked to it, and that one's smallest id."""
     every = settle(sketches(docs, percent), "sketches")
-    classes = settle(every.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("s1", "s2").agg(
-        F.min("doc_id").alias("id"), F.min_by("text_key", "doc_id").alias("text_key"),
-        *[F.first(c).alias(c) for c in ("n", "levels", "regs", "keys")]), "classes")
+    sets = settle(every.where((F.col("n") > 0) & F.col("doc_id").isNotNull()).groupBy("s1", "s2").agg(
+        F.min("doc_id").alias("first"), F.min_by("text_key", "doc_id").alias("text_key"),
+        *[F.first(c).alias(c) for c in ("n", "levels", "regs", "keys")]), "sets")
+    numbers = settle(running(sets.select("first", "s1", "s2"), ["first", "s1", "s2"]).withColumnRenamed("row_before", "id"), "numbers")
+    classes = settle(sets.join(numbers.select("s1", "s2", "id"), ["s1", "s2"]), "classes")
     # Smaller sets reach the threshold only if they are equal, and then they are one class.
     bands = classes.where(F.col("n") * (100 - percent) >= percent).select("id", F.explode("keys").alias("key"))
     shared = bands.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > 1)
@@ -346,21 +349,38 @@ def near_duplicates(docs, percent=80):
         settle(texts_of(large.select("id"), classes, docs), "texts"), "id")
     links = settle(wide.groupBy("key", "i", "j").applyInPandas(block_links(percent), "a long, b long"), "links")
     found = settle(components(nodes, edges.unionByName(confirmed(more, classes, docs, percent)).unionByName(links)), "components")
-    named = every.select("doc_id", "n", "s1", "s2").join(
-        classes.select("s1", "s2", "id").join(found, "id").select("s1", "s2", "component"), ["s1", "s2"], "left")
-    component = F.when(F.col("n") > 0, F.coalesce("component", "doc_id")).otherwise(F.col("doc_id"))
-    return named.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id")
-                        ).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    leads = numbers.join(found, "id").join(numbers.select(F.col("id").alias("component"), F.col("first").alias("lead")), "component")
+    return every.select("doc_id", "text_key", "n", "s1", "s2").join(
+        leads.select("s1", "s2", "id", "component", "lead"), ["s1", "s2"], "left").select(
+        "doc_id", "text_key", "n", *[F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col(c)).alias(c)
+                                     for c in ("id", "component", "lead")])
+
+
+def near_duplicates(docs, percent=80):
+    """One row per document: doc_id, n_shingles, component_id and kept; ``percent`` is the threshold on the Jaccard index."""
+    named = settle(class_components(docs, percent).select("doc_id", "n", F.coalesce("lead", "doc_id").alias("lead")), "named")
+    # An id with texts of several components makes them one.
+    several = named.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("lead").alias("lo"), F.max("lead").alias("hi")).where("lo < hi")
+    ties = settle(named.join(several.select("doc_id"), "doc_id", "left_semi").select("doc_id", "lead").distinct(), "ties")
+    joined = components(ties.select("lead").distinct(), ties.select(F.col("doc_id").alias("a"), F.col("lead").alias("b")), "lead")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "lead"))
+    return named.join(joined, "lead", "left").select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
+        "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def drop_near_duplicates(docs, percent=80):
-    """One document of each group, with its own columns; of repeated ids one row stays."""
-    judged = settle(near_duplicates(docs, percent), "judged")
-    gone, key = judged.where(~F.col("kept")).select("doc_id").distinct(), fresh(docs, "gone")
-    left = docs.join(gone.select(F.col("doc_id").alias(key)), F.col("doc_id") == F.col(key), "left_anti")
-    again = settle(judged.where("kept AND n_shingles > 0 AND doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias(key)), "again")
+    """One document of each group of linked texts, with its own columns: of the smallest id's. Of rows that repeat id and text one stays."""
+    judged = settle(class_components(docs, percent).where("id IS NOT NULL").groupBy("doc_id", "text_key").agg(
+        F.count("*").alias("n"), *[F.first(c).alias(c) for c in ("id", "component", "lead")]), "judged")
+    stay = settle(judged.where("id = component AND doc_id = lead").groupBy("doc_id", "id").agg(
+        F.min("text_key").alias("text_key")), "stay").select("doc_id", "text_key")
+    key, text_key = fresh(docs, "gone"), fresh(docs, "gone_text")
+
+    def listed(rows):
+        return settle(rows.select(F.col("doc_id").alias(key), F.col("text_key").alias(text_key)), "listed")
+    same = (F.col("doc_id") == F.col(key)) & (F.xxhash64("text") == F.col(text_key))
+    left = docs.join(listed(judged.join(stay, ["doc_id", "text_key"], "left_anti")), same, "left_anti")
+    again = listed(judged.where("n > 1").join(stay, ["doc_id", "text_key"], "left_semi"))
     if not again.limit(1).count():
         return left
-    same = F.col("doc_id") == F.col(key)
-    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"]))

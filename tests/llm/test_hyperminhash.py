@@ -64,6 +64,23 @@ def test_odd_rows(spark):
     assert h.near_duplicates(docs.limit(0), 80).count() == 0
 
 
+def test_one_id_with_different_texts(spark):
+    def text(mark, n=60):
+        return " ".join(f"{mark}{i}" for i in range(n))
+    a, b, c, d = (text(x) for x in "abcd")
+    rows = [(1, a, "s"), (5, a, "s"), (5, b, "s"), (7, b + " tail", "s"), (7, b + " tail", "s"), (8, c, "s"), (8, d, "s"), (9, c + " tail", "s"),
+            (10, d + " tail", "s"), (8, None, "s"), (10, "", "s"), (11, text("e"), "s"), (11, text("e").upper(), "s")]
+    docs = docs_of(spark, rows)
+    want = near_components(rows, 80)
+    assert {want[i][1] for i in (1, 5, 7)} == {1} and {want[i][1] for i in (8, 9, 10)} == {8}
+    for shards in (1, 5):
+        result = h.near_duplicates(docs.repartition(shards), 80).collect()
+        assert len(result) == len(rows) and {(r.doc_id, r.component_id) for r in result} == {(i, w[1]) for i, w in want.items()}
+        left = sorted((r.doc_id, r.text or "") for r in h.drop_near_duplicates(docs.repartition(shards), 80).collect())
+        assert left[:2] == [(1, a), (5, b)] and left[2:6] == [(8, ""), (8, c), (8, d), (10, "")]
+        assert len(left) == 7 and left[6][0] == 11
+
+
 def test_sets_equal_plain_shingles(monkeypatch):
     monkeypatch.setattr(h, "PIECE", 40)
     texts = [t for _, t, _ in edge_rows()] + ["A b\tC\nd\x0be\x0cf  G", "x" * 200 + " y", " lead", "trail "]
