@@ -85,5 +85,53 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
 FROM r GROUP BY conv_id
 """
 
+def _length_first(column):
+    text = f"{column}::VARCHAR"
+    return f"coalesce(octet_length(encode({text}))::VARCHAR || ':' || {text}, '-')"
+
+
+_FIELDS = " || ".join(_length_first(c) for c in ("doc_id", "source", "lang", "n_chars", "text"))
+_LOWERED = _FIELDS.replace("text::VARCHAR", "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")
+
+# crc32 of the decimal digits, bit by bit, as DuckDB has no such function.
+_CRC = """list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1),
+  lambda i: ascii((doc_id::VARCHAR)[i])::BIGINT)), lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)),
+  lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))"""
+
+
+def _tree(name, group, base):
+    """CTE with every node (g, level, pos, node, n) of the trees over ``base`` (g, pos, node, n)."""
+    return f"""{name} AS (SELECT g, 0 AS level, pos, node, n FROM {base} UNION ALL
+  SELECT g, level + 1, pos // 16, sha256(string_agg(node, '' ORDER BY pos)), (any_value(n) + 15) // 16
+  FROM {name} WHERE n > 1 GROUP BY g, level, pos // 16)"""
+
+
+def _sides(name, tree):
+    """CTE with the hashes left and right of every node below a root."""
+    return f"""{name} AS (SELECT g, level, pos, n,
+  coalesce(string_agg(node, '') OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+  coalesce(string_agg(node, '') OVER (o ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {tree} WHERE n > 1 WINDOW o AS (PARTITION BY g, level, pos // 16 ORDER BY pos))"""
+
+
+MERKLE = f"""
+WITH RECURSIVE d AS (SELECT doc_id, source, sha256({_FIELDS}) AS leaf,
+  CASE WHEN xor({_CRC}, 4294967295) % 5 = 0 THEN sha256({_LOWERED}) ELSE sha256({_FIELDS}) END AS shown FROM documents),
+p AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS g, count(*) OVER (PARTITION BY source) AS n,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf, shown) - 1 AS pos FROM d),
+b AS (SELECT g, pos, leaf AS node, n FROM p), {_tree("t", "g", "b")},
+s AS (SELECT g, node FROM t WHERE n = 1),
+c AS (SELECT 0 AS g, g AS pos, node, count(*) OVER () AS n FROM s), {_tree("u", "g", "c")},
+{_sides("x", "t")}, {_sides("y", "u")},
+steps AS (SELECT p.g, p.pos, x.level AS k, x.l, x.r FROM p JOIN x ON x.g = p.g AND x.pos = p.pos // (16 ** x.level)::BIGINT
+  UNION ALL SELECT p.g, p.pos, 100 + y.level, y.l, y.r FROM p JOIN y ON y.pos = p.g // (16 ** y.level)::BIGINT),
+path AS (SELECT g, pos, list({{'l': l, 'r': r}} ORDER BY k) AS path FROM steps GROUP BY g, pos)
+SELECT doc_id, leaf, s.node AS subroot, root.node AS root,
+  sha256(coalesce(array_to_string(list_transform(path, lambda z: z.l || z.r), ''), '')) AS proof_sha256,
+  coalesce(list_reduce(list_prepend({{'l': shown, 'r': ''}}, path), lambda a, z: {{'l': sha256(z.l || a.l || z.r), 'r': ''}}).l, shown) AS folded_root,
+  folded_root = root.node AS verified
+FROM p LEFT JOIN path ON path.g = p.g AND path.pos = p.pos JOIN s ON s.g = p.g CROSS JOIN (SELECT node FROM u WHERE n = 1) root
+"""
+
 ORACLES = {"op4_forest_dedup": FOREST, "op7_line_dedup": LINES, "op8_hyperminhash": NEAR_DUPLICATES, "op9_chat": CHAT,
-           "op10_quality_rules": QUALITY_RULES}
+           "op10_quality_rules": QUALITY_RULES, "op11_merkle_exchange": MERKLE}

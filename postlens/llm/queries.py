@@ -2,7 +2,20 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from postlens.llm import bpe, chat, forest, hyperminhash, licenses, line_dedup, mixing, oracles, quality_bayes, quality_rules, sharding
+from postlens.llm import (
+    bpe,
+    chat,
+    forest,
+    hyperminhash,
+    licenses,
+    line_dedup,
+    merkle,
+    mixing,
+    oracles,
+    quality_bayes,
+    quality_rules,
+    sharding,
+)
 from postlens.session import configure
 
 
@@ -76,7 +89,15 @@ def op9_chat(spark, sf_dir):
                        F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_merkle_exchange(spark, sf_dir):
+    """Proofs of every document, folded from a leaf whose text is lowered for one id in five or so."""
+    struck = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    found = merkle.manifest(table(spark, sf_dir, "documents"), {
+        "text": F.when(struck, merkle.lowered("text")).otherwise(F.col("text"))})
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_hilbert_shards, op3_license_scan, op4_forest_dedup, op5_quality_bayes, op6_mix, op7_line_dedup,
-    op8_hyperminhash, op9_chat, op10_quality_rules)}
+    op8_hyperminhash, op9_chat, op10_quality_rules, op11_merkle_exchange)}
 ORACLES = dict(oracles.ORACLES)
