@@ -15,6 +15,7 @@ from postlens.llm import (
     quality_bayes,
     quality_rules,
     sharding,
+    whitening,
 )
 from postlens.session import configure
 
@@ -97,7 +98,13 @@ def op11_merkle_exchange(spark, sf_dir):
     return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op13_block_whitening(spark, sf_dir):
+    """The first 32 whitened components of every usable embedding."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), 32)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_bpe, op2_hilbert_shards, op3_license_scan, op4_forest_dedup, op5_quality_bayes, op6_mix, op7_line_dedup,
-    op8_hyperminhash, op9_chat, op10_quality_rules, op11_merkle_exchange)}
+    op8_hyperminhash, op9_chat, op10_quality_rules, op11_merkle_exchange,
+    op13_block_whitening)}
 ORACLES = dict(oracles.ORACLES)
