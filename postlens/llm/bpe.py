@@ -7,14 +7,19 @@ scanning them beats a heap. Words repeat, hence each task keeps a bounded table
 ``LONG`` bytes (a run of letters without any break) is cut with a heap of ranks instead, which gives the same parts in
 ``n log n`` time.
 
+Decoding takes the pieces of a whole batch by id and joins them by text, in columns; only a batch with bytes that are no
+UTF-8 is decoded text by text.
+
 Null texts count as empty (no ids, decoded ``""``), texts of any length are encoded whole, null ids decode to ``""``.
-Rows map one to one, other columns stay. The vocabulary (about 1 MB, fixed) is read on the driver and broadcast.
+Rows map one to one, repeated rows and empty tables included; other columns stay, but for one that has the name of the result,
+which is replaced. The vocabulary (about 1 MB, fixed) is read on the driver and broadcast.
 """
 import json
 import re
+from array import array
 from heapq import heapify, heappop, heappush
-from itertools import accumulate, chain, pairwise
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
@@ -56,7 +61,7 @@ def load(path):
 
 
 class Words(dict):
-    """Ids of words, cut when first asked for."""
+    """Ids of words as bytes of 32-bit numbers, cut when first asked for."""
 
     def __init__(self, ids, merges):
         self.single, self.others = [ids[bytes([b])] for b in range(256)], 0
@@ -72,8 +77,8 @@ class Words(dict):
     def __missing__(self, word):
         parts = [self.single[b] for b in word.encode()]
         if len(parts) > LONG:
-            return self.by_heap(parts)
-        found = self.by_scan(parts)
+            return array("i", self.by_heap(parts)).tobytes()
+        found = array("i", self.by_scan(parts)).tobytes()
         if len(self) < WORDS_KEPT:
             self[word] = found
         else:
@@ -126,79 +131,97 @@ class Words(dict):
 
 
 def encoder(ids, merges, special):
-    """A function from text to ids."""
+    """A function from text to ids, as bytes of 32-bit numbers."""
     words, cut_any, cut_plain = Words(ids, merges), regex.compile(PATTERN).findall, re.compile(PLAIN_PATTERN, re.ASCII).findall
-    get = words.__getitem__
+    get, special_ids = words.__getitem__, {t: array("i", [i]).tobytes() for t, i in special.items()}
     marks = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
 
     def cut(text):
-        return cut_plain(text) if text.isascii() else cut_any(text)
+        return b"".join(map(get, cut_plain(text) if text.isascii() else cut_any(text)))
 
     def encode(text):
         if marks and any(s in text for s in special):
-            pieces = marks.split(text)
-            return [i for k, p in enumerate(pieces) for i in ([special[p]] if k % 2 else chain.from_iterable(map(get, cut(p))))]
-        return list(chain.from_iterable(map(get, cut(text))))
+            return b"".join(special_ids[p] if k % 2 else cut(p) for k, p in enumerate(marks.split(text)))
+        return cut(text)
     return encode
 
 
-def _mapped(docs, name, kind, work):
-    """``docs`` with one more column that ``work`` makes from Arrow batches."""
-    schema = T.StructType([*docs.schema.fields, T.StructField(name, kind)])
+def _encoding(content):
+    """A function from a column of texts to a column of ids."""
+    one = encoder(*content)
+
+    def run(texts):
+        found = [one(t or "") for t in texts.to_pylist()]
+        return _lists(np.array([len(f) // 4 for f in found], np.int64), pa.array(np.frombuffer(b"".join(found), np.int32)))
+    return run
+
+
+def _decoding(content):
+    """A function from a column of ids to a column of texts."""
+    known, _, special = content
+    pieces = [None] * (1 + max([*known.values(), *special.values()]))
+    for piece, i in [*known.items(), *((t.encode(), i) for t, i in special.items())]:
+        pieces[i] = piece
+    pieces = pa.array(pieces, pa.binary())
+
+    def run(ids):
+        parts = pieces.take(ids.flatten())
+        if parts.null_count:
+            raise ValueError("ids that are not in the vocabulary")
+        joined = pc.binary_join(_lists(pc.list_value_length(ids).fill_null(0).to_numpy(zero_copy_only=False), parts), b"")
+        try:
+            return joined.cast(pa.string())
+        except pa.ArrowInvalid:
+            return pa.array([b.decode("utf-8", "replace") for b in joined.to_pylist()], pa.string())
+    return run
+
+
+def _lists(lengths, values):
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]), pa.int32()), values)
+
+
+def _mapped(docs, vocabulary, first, steps):
+    """``docs`` with one more column per step (name, type, maker), each made from the one before, the first from ``first``."""
+    content = docs.sparkSession.sparkContext.broadcast(load(vocabulary))
+    docs = docs.drop(*[name for name, _, _ in steps if name != first])
+    schema = T.StructType([*docs.schema.fields, *[T.StructField(name, kind) for name, kind, _ in steps]])
 
     def batches(source):
-        make = None
+        makers = None
         for whole in source:
-            make = make or work()
+            makers = makers or [make(content.value) for _, _, make in steps]
             for start in range(0, whole.num_rows, ROWS):
                 batch = whole.slice(start, ROWS)
-                yield pa.RecordBatch.from_arrays([*batch.columns, make(batch)], [*batch.schema.names, name])
+                last, made = batch.column(batch.schema.get_field_index(first)), []
+                for make in makers:
+                    last = make(last)
+                    made.append(last)
+                yield pa.RecordBatch.from_arrays([*batch.columns, *made], schema.names)
     return docs.mapInArrow(batches, schema)
 
 
-def encode(docs, vocabulary, text="text", ids="ids", keep_text=True):
-    """``docs`` with an array of token ids."""
-    content = docs.sparkSession.sparkContext.broadcast(load(vocabulary))
+IDS = T.ArrayType(T.IntegerType(), False)
 
-    def work():
-        one = encoder(*content.value)
 
-        def make(batch):
-            found = [one(t.as_py() or "") for t in batch.column(batch.schema.get_field_index(text))]
-            return _lists(found)
-        return make
-    out = _mapped(docs, ids, T.ArrayType(T.IntegerType(), False), work)
+def encode(docs, vocabulary, text="text", ids="ids", keep_text=True):
+    """``docs`` with an array of token ids."""
+    out = _mapped(docs, vocabulary, text, [(ids, IDS, _encoding)])
     return out if keep_text else out.drop(text)
 
 
-def _lists(found):
-    ends = [0, *accumulate(map(len, found))]
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(list(chain.from_iterable(found)), pa.int32()))
-
-
 def decode(docs, vocabulary, ids="ids", text="decoded"):
     """``docs`` with the text of its token ids; bytes that are no UTF-8 become U+FFFD."""
-    content = docs.sparkSession.sparkContext.broadcast(load(vocabulary))
+    return _mapped(docs, vocabulary, ids, [(text, T.StringType(), _decoding)])
 
-    def work():
-        known, _, special = content.value
-        pieces = {i: b for b, i in known.items()} | {i: t.encode() for t, i in special.items()}
-        get = pieces.__getitem__
 
-        def make(batch):
-            column = batch.column(batch.schema.get_field_index(ids))
-            flat = column.flatten().tolist()
-            ends = [0, *accumulate(pc.list_value_length(column).fill_null(0).to_pylist())]
-            return pa.array([b"".join(map(get, flat[a:b])).decode("utf-8", "replace") for a, b in pairwise(ends)], pa.string())
-        return make
-    return _mapped(docs, text, T.StringType(), work)
+def round_trip(docs, vocabulary, text="text", ids="ids", decoded="decoded"):
+    """``docs`` encoded and its ids decoded, in one pass over the table."""
+    return _mapped(docs, vocabulary, text, [(ids, IDS, _encoding), (decoded, T.StringType(), _decoding)])
 
 
 def digests(docs, vocabulary):
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every text."""
-    coded = decode(encode(docs.select("doc_id", "text"), vocabulary, keep_text=False), vocabulary)
+    coded = round_trip(docs.select("doc_id", "text"), vocabulary)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                         F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
                         F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
-
-

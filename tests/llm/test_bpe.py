@@ -5,6 +5,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from postlens.llm import bpe
@@ -12,7 +13,13 @@ from postlens.llm import bpe
 from .helpers import SF, docs_of, edge_rows
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
-ENCODE = bpe.encoder(*bpe.load(PATH))
+_BYTES = bpe.encoder(*bpe.load(PATH))
+
+
+def ENCODE(text):
+    return memoryview(_BYTES(text)).cast("i").tolist()
+
+
 OTHER = Tokenizer.from_file(PATH)
 ODD = ["", " ", "  a", "a  b\n\n c", "it's WE'LL 's", "<|endoftext|>", "x<|endoftext|> y<|endoftext|>", "日本語 テキスト", "😀👍🏽", "\x00\x01\x7f",
        "   x", "İKß", "12 345,6", "a" * 3000, "ab" * 400, "\t\r\n\x0b\x0c", "a\x1c b\x1d\x1e\x1f c", "a\x85b\xa0 c\u3000 d\u200b", "é", " x", "'S 'T"]
@@ -69,3 +76,19 @@ def test_other_columns_stay(spark):
     docs = docs_of(spark, [(1, "a b", "x"), (2, None, None)])
     assert bpe.encode(docs, PATH).columns == [*docs.columns, "ids"]
     assert [r.decoded for r in bpe.decode(bpe.encode(docs, PATH), PATH).orderBy("doc_id").collect()] == ["a b", ""]
+
+
+def test_columns_of_the_same_name_are_replaced(spark):
+    docs = docs_of(spark, [(1, "a b", "x"), (2, None, None)]).withColumn("ids", F.lit(1)).withColumn("decoded", F.lit(2))
+    for made in (bpe.decode(bpe.encode(docs, PATH), PATH), bpe.round_trip(docs, PATH)):
+        assert sorted(made.columns) == sorted(docs.columns)
+        assert [(len(r.ids), r.decoded) for r in made.orderBy("doc_id").collect()] == [(2, "a b"), (0, "")]
+
+
+def test_ids_that_are_no_text_and_null_ids(spark, other):
+    ids, _, _ = bpe.load(PATH)
+    half = [ids[bytes([b])] for b in "é".encode()]
+    rows = [(1, half), (2, half[:1]), (3, [half[1], *half]), (4, []), (5, None), (6, [*half, half[0]])]
+    table = spark.createDataFrame(rows, "doc_id long, ids array<int>").coalesce(1)
+    got = {r.doc_id: r.decoded for r in bpe.decode(table, PATH).collect()}
+    assert got == {i: other.decode(v or [], skip_special_tokens=False) for i, v in rows}
