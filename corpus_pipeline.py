@@ -1,4 +1,8 @@
-"""A corpus from raw documents to token ids: STAGES, each written and read again as the next one's input."""
+"""A corpus from raw documents to token ids: STAGES, each written and read again as the next one's input.
+
+Null and empty texts fail the quality rules and go; rows that repeat an id are judged each by its own text, and of rows that are
+alike in everything the near-duplicate stage keeps one. Empty tables pass through. Ties are settled by the smallest id.
+"""
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -32,8 +36,7 @@ def mixture(spark, docs, sf_dir):
 
 def tokens(spark, docs, sf_dir):
     """Ids of every document, and whether they decode to its text."""
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = bpe.decode(bpe.encode(docs.select("doc_id", "source", "lang", "text"), path), path)
+    coded = bpe.round_trip(docs.select("doc_id", "source", "lang", "text"), public_tokenizers.path("byte_bpe_50k.json"))
     return coded.select("doc_id", "source", "lang", "ids", F.size("ids").cast("long").alias("n_tokens"),
                         F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("round_trip"))
 
