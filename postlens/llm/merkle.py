@@ -53,8 +53,10 @@ def placed(rows, tree, order, carry):
     Rows are dealt into ranges of (tree, order). Only counts per range and tree are put in order to number trees and
     places, so a tree that holds a third of all rows is as many pieces as it has ranges.
     """
+    # Ranges are cut by keys short enough to be sampled cheaply; they agree with the whole order.
+    cuts = [F.col(order[0]).asc_nulls_first(), F.substring(order[1], 1, 8).asc_nulls_first()]
     order = [F.col(c).asc_nulls_first() for c in order]
-    spread = settle(rows.repartitionByRange(F.col(tree).asc_nulls_first(), *order).withColumn("_range", F.spark_partition_id()), "ranges")
+    spread = settle(rows.repartitionByRange(F.col(tree).asc_nulls_first(), *cuts).withColumn("_range", F.spark_partition_id()), "ranges")
     pieces = settle(spread.groupBy("_range", tree).agg(F.count("*").alias("_rows")), "pieces")
     sizes = settle(pieces.groupBy(tree).agg(F.sum("_rows").alias("n"), F.min("_range").alias("_range")), "sizes")
     # Trees are numbered like the ranges they begin in, then inside such a range.
