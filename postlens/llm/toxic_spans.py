@@ -4,7 +4,7 @@ A text is a chain of words with a hidden state each, clean or toxic. States are
 first and last letters, its look) and of its neighbours, and by the state before. The labels are of whole documents,
 so the words of the fit are labelled from them: a word is toxic if it stands in a toxic document and it, or a beginning of
 it, is significantly more frequent in toxic documents than in clean ones. The field is fitted on the likelihood of those states
-(forward-backward, Adam). A document's score comes from its marginals, the largest one and their sum, by a logistic curve
+(forward-backward, Adam over portions of the texts). A document's score comes from its marginals, the largest one and their sum, by a logistic curve
 fitted on labelled documents the field has not seen, weighted back to the true share of toxic documents.
 
 The fit sees at most ``SAMPLE`` labelled documents of each kind, chosen by hash (a documented bound), whole texts; no other
@@ -17,6 +17,7 @@ count once (toxic if any says so); labels of unknown ids and null labels are ign
 score is the rate of the labels (0 without any). Spans are ``(start, end)`` code points, whole words, in order.
 """
 import re
+from array import array
 from collections import Counter
 from zlib import crc32
 
@@ -31,9 +32,9 @@ from postlens.scratch import settle
 shipped(__name__)
 
 SAMPLE, FIT_SHARE = 1_500, 4
-BUCKETS, STEPS, RATE, RIDGE = 1 << 18, 40, 0.15, 2e-3
+BUCKETS, EPOCHS, LEAST_STEPS, RATE, RIDGE = 1 << 18, 5, 60, 0.15, 2e-3
 LEAST_DOCS, LEAST_GAIN, LEAST_ODDS = 4, 20.0, 4.0
-WORDS_KEPT, WORDS_AT_ONCE = 200_000, 200_000
+WORDS_KEPT, WORDS_AT_ONCE, WORDS_A_STEP = 200_000, 200_000, 50_000
 EDGES = ".,;:!?\"'()[]{}*#$%&|<>"
 KINDS = ("own", "before", "after")
 
@@ -56,11 +57,11 @@ class Lexicon(dict):
     """Numbers of words, and the features of each in growing flat arrays."""
 
     def __init__(self):
-        self.flat, self.ends = [], [0]
+        self.flat, self.ends = array("l"), array("l", [0])
 
     def __missing__(self, word):
         self[word] = n = len(self)
-        self.flat += features(word)
+        self.flat.extend(features(word))
         self.ends.append(len(self.flat))
         return n
 
@@ -153,52 +154,74 @@ def chain(texts):
 
 def toxic_words(texts, labels):
     """Words and beginnings of words that toxic texts have significantly more often (log-likelihood ratio and odds)."""
-    counts = (Counter(), Counter())
-    for text, label in zip(texts, labels, strict=True):
-        counts[int(label)].update({p for w in set(re.findall(WORD, text or "")) for p in pieces(w)})
-    sizes = [max(1, sum(1 for y in labels if int(y) == k)) for k in (0, 1)]
+    def count(kind, among=None):
+        found = Counter()
+        for text, label in zip(texts, labels, strict=True):
+            if bool(label) == kind:
+                found.update({p for w in set(re.findall(WORD, text)) for p in pieces(w) if among is None or p in among})
+        return found
 
     def gain(a, b):
-        whole = (a + b) / (sizes[0] + sizes[1])
+        whole = (a + b) / sum(sizes)
         return 2 * sum(k * np.log(k / (n * whole)) for k, n in ((a, sizes[1]), (b, sizes[0])) if k)
 
-    return {p for p, a in counts[1].items() if a >= LEAST_DOCS and (a + .5) / sizes[1] >= LEAST_ODDS * (counts[0][p] + .5) / sizes[0]
-            and gain(a, counts[0][p]) >= LEAST_GAIN}
+    sizes = [max(1, sum(1 for y in labels if bool(y) == k)) for k in (False, True)]
+    toxic = {p: n for p, n in count(True).items() if n >= LEAST_DOCS}
+    clean = count(False, toxic)
+    return {p for p, a in toxic.items() if (a + .5) / sizes[1] >= LEAST_ODDS * (clean[p] + .5) / sizes[0] and gain(a, clean[p]) >= LEAST_GAIN}
+
+
+def portions(texts, labels, lexicon):
+    """The words of the texts as numbers, in portions of about ``WORDS_A_STEP``: (numbers, breaks, whether in a toxic text)."""
+    held, ys, size = [], [], 0
+    for k, i in enumerate(sorted(range(len(texts)), key=lambda i: (crc32(texts[i].encode("utf-8", "replace")), i))):
+        held.append(texts[i])
+        ys.append(labels[i])
+        size += len(texts[i])
+        if size >= 6 * WORDS_A_STEP or k == len(texts) - 1:
+            words, breaks, lengths = chain(held)
+            if words:
+                yield lexicon.numbers(words), breaks, np.repeat(np.array(ys, bool), lengths)
+            held, ys, size = [], [], 0
+
+
+def slopes(weights, transition, start, portion, bad, flat, ends):
+    """Gradient of the log-likelihood of a portion's word states, per toxic word."""
+    numbers, breaks, toxic = portion
+    state = bad[numbers] & toxic
+    used, place = np.unique(numbers, return_inverse=True)
+    sizes = ends[used + 1] - ends[used]
+    firsts = np.cumsum(sizes) - sizes
+    near = flat[np.repeat(ends[used] - firsts, sizes) + np.arange(sizes.sum())]
+    p, pairs = marginals(emissions(place, breaks, word_tables(weights, near, np.append(firsts, len(near)))), breaks, transition, start, True)
+    rest, inner, owner = state - p, ~breaks[1:], np.repeat(np.arange(len(used)), sizes)
+    by_word = [np.bincount(place, r, len(used)) for r in (rest, np.append(rest[1:] * inner, 0.0), np.insert(rest[:-1] * inner, 0, 0.0))]
+    seen = np.bincount(2 * state[:-1][inner] + state[1:][inner], minlength=4).reshape(2, 2)
+    begun, expected, scale = np.bincount(state[breaks].astype(int), minlength=2), p[breaks].sum(), max(1, state.sum())
+    return [np.stack([np.bincount(near, g[owner], BUCKETS) for g in by_word]) / scale, (seen - pairs) / scale,
+            (begun - np.array([breaks.sum() - expected, expected])) / scale]
 
 
 def fit_field(texts, labels):
     """``(weights, transition, start)`` of the field on word states drawn from the labels of the texts."""
-    marked = toxic_words(texts, labels)
-    words, breaks, lengths = chain(texts)
-    lexicon = Lexicon()
-    numbers = lexicon.numbers(words)
+    marked, lexicon = toxic_words(texts, labels), Lexicon()
+    parts = list(portions(texts, labels, lexicon))
     bad = np.array([any(p in marked for p in pieces(w)) for w in lexicon], bool)
-    state = (bad[numbers] & np.repeat(np.array(labels, bool), lengths)).astype(float) if len(words) else np.zeros(0)
-    flat, ends, size = np.array(lexicon.flat, np.int64), np.array(lexicon.ends), len(lexicon)
-    owner = np.repeat(np.arange(size), np.diff(ends))
-    weights, transition, start = np.zeros((len(KINDS), BUCKETS)), np.zeros((2, 2)), np.zeros(2)
-    if not state.any():
-        return weights, transition, np.array([0.0, -10.0])
-    inner = ~breaks[1:]
-    seen = np.zeros((2, 2))
-    np.add.at(seen, (state[:-1][inner].astype(int), state[1:][inner].astype(int)), 1)
-    begun = np.array([(1 - state[breaks]).sum(), state[breaks].sum()])
-    params = [weights, transition, start]
+    flat, ends = np.array(lexicon.flat), np.array(lexicon.ends)
+    params = [np.zeros((len(KINDS), BUCKETS)), np.zeros((2, 2)), np.zeros(2)]
+    if not bad.any():
+        return params[0], params[1], np.array([0.0, -10.0])
     first, second = [np.zeros_like(x) for x in params], [np.zeros_like(x) for x in params]
-    scale = max(state.sum(), 1.0)
-    for t in range(1, STEPS + 1):
-        p, pairs = marginals(emissions(numbers, breaks, word_tables(weights, flat, ends)), breaks, transition, start, True)
-        rest = state - p
-        shifted = np.append(rest[1:] * inner, 0.0), np.insert(rest[:-1] * inner, 0, 0.0)
-        by_word = [np.bincount(numbers, r, size) for r in (rest, *shifted)]
-        slope = np.stack([np.bincount(flat, g[owner], BUCKETS) for g in by_word]) / scale - RIDGE * weights
-        toxic_start = p[breaks].sum()
-        slopes = [slope, (seen - pairs) / scale, (begun - np.array([breaks.sum() - toxic_start, toxic_start])) / scale]
-        for x, g, a, b in zip(params, slopes, first, second, strict=True):
+    steps = max(EPOCHS * len(parts), LEAST_STEPS)
+    for t in range(1, steps + 1):
+        found = slopes(*params, parts[t % len(parts)], bad, flat, ends)
+        found[0] -= RIDGE * params[0]
+        rate = RATE * (1 - 0.9 * t / steps)
+        for x, g, a, b in zip(params, found, first, second, strict=True):
             a += 0.1 * (g - a)
             b += 0.001 * (g * g - b)
-            x += RATE * (a / (1 - 0.9 ** t)) / (np.sqrt(b / (1 - 0.999 ** t)) + 1e-8)
-    return weights, transition, start
+            x += rate * (a / (1 - 0.9 ** t)) / (np.sqrt(b / (1 - 0.999 ** t)) + 1e-8)
+    return tuple(params)
 
 
 class Field:
