@@ -8,8 +8,8 @@ count as 0, null texts as no bytes; repeated rows lie next to each other. An emp
 """
 from pyspark.sql import functions as F
 
-from postlens.llm.common import let, running, whole_text
-from postlens.scratch import settle
+from postlens.llm.common import fresh, let, running, whole_text
+from postlens.scratch import forget, settle
 
 BITS = 8
 
@@ -65,31 +65,37 @@ def hilbert(dims, bits=BITS):
     return let(let(let(turned, gray), level), interleave)
 
 
-def assign(docs, shards=16, categories=("source", "lang"), logs=("n_chars",), bits=BITS):
-    """One row per document: doc_id, size, text_crc32, curve, shard and slot (gapless inside a shard)."""
+def assign(docs, shards=16, categories=("source", "lang"), logs=("n_chars",), bits=BITS, carry=()):
+    """One row per document: doc_id, size, text_crc32, curve, shard and slot (gapless inside a shard), and columns to ``carry``."""
     text = whole_text()
     slim = settle(docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
                               F.crc32(text.cast("binary")).alias("text_crc32"), F.xxhash64(text).alias("_hash"),
-                              *categories, *logs), "slim")
+                              *categories, *logs, *carry), "slim")
     dims, placed = [], slim
     for c in categories:
         quanta = by_share(slim, c, bits)
         placed = placed.join(quanta, F.col(c).eqNullSafe(F.col(f"_{c}")), "left")
         dims.append(F.col(f"{c}_q"))
     dims += [by_log(c, bits) for c in logs]
-    curve = placed.select("doc_id", "size", "text_crc32", "_hash", hilbert(dims, bits).alias("curve"))
+    curve = placed.select("doc_id", "size", "text_crc32", "_hash", hilbert(dims, bits).alias("curve"), *carry)
     ordered = settle(running(curve, [F.col(c) for c in ("curve", "text_crc32", "_hash", "doc_id", "size")], ["size"]), "ordered")
     total = ordered.agg(F.sum("size").alias("x")).first()["x"] or 1
     middle = 2 * F.col("size_before") + F.col("size")
     cut = ordered.withColumn("shard", F.floor(middle * F.lit(shards).cast("long") / F.lit(2 * total)).cast("int"))
     first = cut.groupBy("shard").agg(F.min("row_before").alias("_first"))
     return cut.join(first, "shard").select("doc_id", "size", "text_crc32", "curve", "shard",
-                                           (F.col("row_before") - F.col("_first")).alias("slot"))
+                                           (F.col("row_before") - F.col("_first")).alias("slot"), *carry)
 
 
 def write_shards(docs, path, rows_per_file=100_000, **options):
-    """Write the documents as one folder per shard; each file is a run of the curve. Ids must be unique."""
-    places = assign(docs, **options).select("doc_id", "shard", "slot", "curve")
-    run = F.floor(F.col("slot") / rows_per_file)
-    joined = docs.join(places, "doc_id")
-    joined.repartition("shard", run).sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)
+    """Write every row of ``docs`` into one folder per shard; each file is a run of the curve.
+
+    Rows get a number of their own first, by which they find their place again: null and repeated ids do not matter.
+    Columns named like the results stay; the folders' column is then called ``_shard`` (or has more underscores).
+    """
+    number, name, slot = (fresh(docs, c) for c in ("_row", "shard", "_slot"))
+    numbered = settle(docs.withColumn(number, F.monotonically_increasing_id()), "numbered")
+    places = assign(numbered, carry=(number,), **options).select(number, F.col("shard").alias(name), F.col("slot").alias(slot))
+    out = numbered.join(places, number).drop(number).repartition(name, F.floor(F.col(slot) / rows_per_file))
+    out.sortWithinPartitions(name, slot).drop(slot).write.partitionBy(name).parquet(path)
+    forget(numbered)

@@ -50,3 +50,15 @@ def test_files_hold_small_boxes(spark, tmp_path):
     assert out.count() == docs.count() and out.select("shard").distinct().count() == 8
     spread = out.groupBy("shard").agg(F.countDistinct("source").alias("n")).agg(F.avg("n")).first()[0]
     assert spread < docs.select("source").distinct().count() / 2
+
+
+def test_every_row_is_written_once(spark, tmp_path):
+    docs = docs_of(spark, edge_rows())
+    for name in ("shard", "slot", "curve", "size", "_row", "n", "_hash"):
+        docs = docs.withColumn(name, F.lit(7))
+    sharding.write_shards(docs, str(tmp_path / "out"), shards=3)
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert set(out.columns) == {*docs.columns, "_shard"}
+    assert Counter(map(tuple, out.select(docs.columns).collect())) == Counter(map(tuple, docs.collect()))
+    want = Counter((r.shard, r["size"]) for r in sharding.assign(docs, 3).collect())
+    assert Counter((r._shard, len((r.text or "").encode()) + 1) for r in out.collect()) == want
