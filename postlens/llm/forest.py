@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from postlens.llm.common import components, shipped
+from postlens.llm.common import bounded_sample, components, shipped
 from postlens.scratch import settle
 
 shipped(__name__)
@@ -176,8 +176,8 @@ def near_duplicates(vectors, cosine=0.95, trees=TREES, leaf=LEAF, block=BLOCK):
         F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.size(F.first("v")).alias("dim"), F.first("v").alias("v")), "classes")
     forests = {}
     for row in classes.groupBy("dim").count().orderBy(F.desc("count")).limit(64).collect():
-        rows = classes.where(F.col("dim") == row["dim"]).select("v", F.xxhash64("h1").alias("h")).orderBy("h").limit(
-            max(256, min(SAMPLE, SAMPLE_NUMBERS // row["dim"]))).collect()
+        rows = bounded_sample(classes.where(F.col("dim") == row["dim"]).select("v", "h1"), ["h1"],
+                              max(256, min(SAMPLE, SAMPLE_NUMBERS // row["dim"])), row["count"])
         sample = matrix([r["v"] for r in rows])
         forests[row["dim"]] = fit(sample / np.linalg.norm(sample, axis=1, keepdims=True), row["count"], cosine, trees, leaf)
     shared = spark.sparkContext.broadcast(forests)
