@@ -1,10 +1,11 @@
 """Quality by hierarchical empirical Bayes.
 
-A logistic classifier over the native text measures gives each document its own evidence. Documents are grouped by path
-(site and language) inside sites. A site's rate of good documents (labels where there are, else the classifier's
-probability) is shrunk toward the global rate, a path's rate toward its site's posterior; how strongly is estimated from the
-spread of the rates (method of moments), so a site with few documents stays near the prior. The posterior of a
-document is its own odds with the global prior odds replaced by those of its path.
+A logistic classifier over the native text measures gives each document its own evidence. The table has no URLs, so its source
+is the site and the language stands in for the path inside the site. A site's rate of good documents (labels where there are,
+else the classifier's probability) is shrunk toward the global rate, a path's rate toward its site's posterior; how strongly is
+estimated from the spread of the rates (method of moments), so a site with few documents stays near the prior. A document's own
+share is left out of the three rates it is judged by. Its posterior is its own odds with the global prior odds replaced
+by those of its path.
 
 Fitted on at most ``SAMPLE`` labelled documents, chosen by hash (a documented bound); rates cover all documents. Null sites and
 languages are groups of their own; null texts are empty; labels of a repeated id are averaged. Without labels of both kinds
@@ -13,6 +14,7 @@ every document gets the rate of the labels (0.5 without any). Other columns are
 import numpy as np
 from pyspark.sql import functions as F
 
+from postlens.llm.common import bounded_sample
 from postlens.llm.quality_rules import judge
 from postlens.scratch import settle
 
@@ -68,8 +70,8 @@ def score(docs, labels, sample=SAMPLE, keep_from=KEEP_FROM):
     known = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.avg("quality").alias("label"))
     slim = settle(measured.select("doc_id", "source", "lang", F.array(*features(F.col("m"))).alias("x")), "features")
     slim = settle(slim.join(known, "doc_id", "left"), "features")
-    rows = slim.where(F.col("label").isNotNull()).select("x", "label", F.xxhash64("doc_id").alias("h")).orderBy(
-        "h", "label", "x").limit(sample).collect()
+    labelled = slim.where(F.col("label").isNotNull()).select("doc_id", "x", "label")
+    rows = bounded_sample(labelled, ["doc_id"], sample, labelled.count())
     weights = fit([(r["x"], float(r["label"] >= 0.5)) for r in rows])
     rate = sum(r["label"] for r in rows) / len(rows) if rows else 0.5
     z = F.lit(float(np.log(max(rate, TINY) / max(1 - rate, TINY)))) if weights is None else sum(
@@ -82,12 +84,17 @@ def score(docs, labels, sample=SAMPLE, keep_from=KEEP_FROM):
     whole = paths.agg(F.sum("good").alias("good"), F.sum("n").alias("n")).first()
     prior = F.lit(float(whole["good"] / whole["n"]) if whole["n"] else 0.5)
     weight = strength(sites, F.col("good") / F.col("n"), prior)
-    sites = sites.select(F.col("source").alias("s"), ((F.col("good") + weight * prior) / (F.col("n") + weight)).alias("site_score"))
+    sites = sites.select(F.col("source").alias("s"), F.col("n").alias("site_n"), F.col("good").alias("site_good"))
     nested = settle(paths.join(sites, F.col("source").eqNullSafe(F.col("s"))).drop("s"), "paths")
-    weight = strength(nested, F.col("good") / F.col("n"), F.col("site_score"))
-    nested = nested.select(F.col("source").alias("s"), F.col("lang").alias("g"), "site_score", (
-        (F.col("good") + weight * F.col("site_score")) / (F.col("n") + weight)).alias("path_score"))
-    odds = logit(F.col("doc_score")) + logit(F.col("path_score")) - logit(prior)
-    return judged.join(nested, F.col("source").eqNullSafe(F.col("s")) & F.col("lang").eqNullSafe(F.col("g"))).select(
-        "doc_id", "source", "lang", "doc_score", "site_score", "path_score", (1 / (1 + F.exp(-odds))).alias("score")).withColumn(
-        "kept", F.col("score") >= keep_from)
+    site_rate = (F.col("site_good") + weight * prior) / (F.col("site_n") + weight)
+    path_weight = strength(nested, F.col("good") / F.col("n"), site_rate)
+    nested = nested.select(F.col("source").alias("s"), F.col("lang").alias("g"), "n", "good", "site_n", "site_good")
+    own, total = F.coalesce("label", "doc_score"), F.lit(whole["n"] or 0)
+    others = F.when(total > 1, (F.lit(whole["good"] or 0.0) - own) / F.greatest(total - 1, F.lit(1))).otherwise(0.5)
+    joined = judged.join(nested, F.col("source").eqNullSafe(F.col("s")) & F.col("lang").eqNullSafe(F.col("g")))
+    joined = joined.withColumn("base", F.greatest(F.least(others, F.lit(1.0)), F.lit(0.0))).withColumn("site_score", (
+        F.col("site_good") - own + weight * F.col("base")) / (F.col("site_n") - 1 + weight)).withColumn("path_score", (
+            F.col("good") - own + path_weight * F.col("site_score")) / (F.col("n") - 1 + path_weight))
+    odds = logit(F.col("doc_score")) + logit(F.col("path_score")) - logit(F.col("base"))
+    return joined.select("doc_id", "source", "lang", "doc_score", "site_score", "path_score", (1 / (1 + F.exp(-odds))).alias(
+        "score")).withColumn("kept", F.col("score") >= keep_from)

@@ -1,3 +1,8 @@
+from collections import defaultdict
+
+import numpy as np
+import pytest
+
 from postlens.llm import quality_bayes
 
 from .helpers import docs_of, edge_rows
@@ -32,3 +37,42 @@ def test_odd_rows(spark):
     some = spark.createDataFrame([(1, 1, 0), (1, 1, 0), (4, 0, 0), (None, 0, 0), (5, None, None), (6, 1, 0)], none.schema)
     assert quality_bayes.score(docs, some).count() == len(rows)
     assert quality_bayes.score(docs.limit(0), some).count() == 0
+
+
+def strength(groups):
+    """Pseudo-documents of groups (n, rate, prior)."""
+    n = sum(g[0] for g in groups)
+    spread = sum(k * (r - p) ** 2 for k, r, p in groups) / n
+    noise = sum(p * (1 - p) for _, _, p in groups) / n
+    return min(max(sum(k * p * (1 - p) for k, _, p in groups) / n / max(spread - noise, 1e-9) - 1, 1.0), 1e6)
+
+
+def test_posteriors_against_a_plain_version(spark):
+    """Shrinkage from the classifier's probabilities on, document by document."""
+    rng = np.random.default_rng(2)
+    texts = ["the cat and the dog went to the river on a cold day", "### $$$ %%% &&& ### $$$ %%% &&& ### $$$ %%%", "of it and to be with"]
+    rows = [(i, texts[rng.integers(3)], [None, "a", "b", "c"][min(3, rng.geometric(.4) - 1)]) for i in range(150)]
+    labels = {i: int(rng.random() < .7) for i in range(0, 150, 3)}
+    table = spark.createDataFrame(list(labels.items()), "doc_id long, quality int")
+    found = {r.doc_id: r for r in quality_bayes.score(docs_of(spark, rows), table).collect()}
+    own = {i: labels.get(i, found[i].doc_score) for i, *_ in rows}
+    sites, paths = defaultdict(list), defaultdict(list)
+    for i, _, source in rows:
+        sites[source].append(own[i])
+        paths[source, "en" if source else None].append(own[i])
+    prior = np.mean(list(own.values()))
+    ws = strength([(len(v), np.mean(v), prior) for v in sites.values()])
+    rate = {s: (sum(v) + ws * prior) / (len(v) + ws) for s, v in sites.items()}
+    wp = strength([(len(v), np.mean(v), rate[k[0]]) for k, v in paths.items()])
+
+    def logit(p):
+        p = min(max(p, 1e-6), 1 - 1e-6)
+        return np.log(p / (1 - p))
+
+    for i, _, source in rows:
+        base = (sum(own.values()) - own[i]) / (len(own) - 1)
+        site = (sum(sites[source]) - own[i] + ws * base) / (len(sites[source]) - 1 + ws)
+        path = paths[source, "en" if source else None]
+        path = (sum(path) - own[i] + wp * site) / (len(path) - 1 + wp)
+        score = 1 / (1 + np.exp(-(logit(found[i].doc_score) + logit(path) - logit(base))))
+        assert [found[i].site_score, found[i].path_score, found[i].score] == pytest.approx([site, path, score], rel=1e-9)
