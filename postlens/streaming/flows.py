@@ -8,16 +8,14 @@ import time
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import Observation, functions as F, types as T
+from pyspark.sql import Observation, functions as F
 
 from postlens.functions.keys import duplicate_key
 from postlens.operators.cleaning import ANALYSED, KEY, clean, deduplicate
 from postlens.operators.sentiment import RuleWords, score
 from postlens.scratch import forget, settle
 from postlens.streaming.gate import checked, stored_form
-
-BATCH, BUCKETS = "batch_id", 64
-KEY_SCHEMA = T.StructType([T.StructField(KEY, T.BinaryType()), T.StructField(BATCH, T.LongType())])
+from postlens.streaming.keyindex import BATCH, KeyIndex
 
 
 def drain(stream, on_batch, checkpoint, output_mode="append"):
@@ -88,54 +86,20 @@ def dedupe_stream(posts, path, checkpoint, on_fresh=None, text_limit=None):
     """Exact de-duplication over the whole history of a stream.
 
     Copies inside a batch are merged before the shuffle, so a text that floods the stream costs one row per
-    task, and nothing expires. Keys are stored in ``BUCKETS`` folders by their first byte, and a batch reads only the
-    folders its own keys fall into, the key column alone; there they are looked up, broadcast while they are small.
-    ``compact_keys`` merges the small files of many batches. Posts go to ``path/posts``, their 32-byte keys to ``path/keys``; ``on_fresh(df,
-    batch_id)`` is called with the stored posts. A stream that may forget old texts is cheaper with ``drop_repeats``.
+    task; of a text the earliest post of the first batch that brings it stays, and nothing expires. The keys of all texts so far are in
+    a ``KeyIndex``, so a batch reads its own rows and keys and not the history. Posts go to ``path/posts``, their 32-byte keys to
+    ``path/index/keys``; ``on_fresh(df, batch_id)`` is called with the stored posts. A stream that may forget old
+    texts is cheaper with ``drop_repeats``.
     """
     def on_batch(batch, batch_id):
-        spark = batch.sparkSession
-        fresh = settle(deduplicate(clean(batch, text_limit), ANALYSED), "batch")
-        buckets = [r[0] for r in fresh.select(key_bucket().alias("b")).distinct().collect()]    # at most BUCKETS
-        history = read_keys(spark, f"{path}/keys").where(F.col("bucket").isin(buckets) & (F.col(BATCH) < batch_id))
-        seen = history.join(fresh.select(KEY), KEY, "left_semi").select(KEY)
-        write_batch(fresh.join(seen, KEY, "left_anti"), f"{path}/posts", batch_id)
-        stored = spark.read.schema(fresh.schema).parquet(f"{path}/posts/{BATCH}={batch_id}")
+        rows = settle(deduplicate(clean(batch, text_limit), ANALYSED), "batch")
+        write_batch(rows.join(index.new(rows, batch_id), KEY, "left_semi"), f"{path}/posts", batch_id)
         if on_fresh:
-            on_fresh(stored, batch_id)
-        # Keys last, from the stored posts: a batch that failed half way has no keys and is done again whole.
-        (stored.select(KEY, key_bucket().alias("bucket"), F.lit(batch_id).cast("long").alias(BATCH))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", BATCH).parquet(f"{path}/keys"))
-        forget(fresh)
-
-    return drain(posts, on_batch, checkpoint)
-
-
-def key_bucket():
-    return F.conv(F.hex(F.substring(KEY, 1, 1)), 16, 10).cast("int") % BUCKETS
-
+            on_fresh(batch.sparkSession.read.schema(rows.schema).parquet(f"{path}/posts/{BATCH}={batch_id}"), batch_id)
+        forget(rows)
 
-def read_keys(spark, path):
-    """Keys of earlier batches, empty before the first one."""
-    schema = T.StructType([*KEY_SCHEMA.fields, T.StructField("bucket", T.IntegerType())])
-    return read_batches(spark, path, schema)
-
-
-def compact_keys(spark, path, upto):
-    """Rewrite the key history of the batches up to ``upto`` as one batch, a file per bucket.
-
-    Run between batches. The merged files come first and the old folders go last: if the job breaks off in between,
-    some keys are there twice, which changes nothing.
-    """
-    old = settle(read_keys(spark, f"{path}/keys").where(F.col(BATCH) <= upto).select(KEY, "bucket"), "keys")
-    (old.distinct().withColumn(BATCH, F.lit(upto).cast("long")).repartition("bucket").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("bucket", BATCH).parquet(f"{path}/keys"))
-    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/keys/bucket=*/{BATCH}=*")
-    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
-    for found in files.globStatus(pattern) or []:
-        if int(found.getPath().getName().split("=")[1]) < upto:
-            files.delete(found.getPath(), True)
-    forget(old)
+    with KeyIndex(posts.sparkSession, f"{path}/index", f"{checkpoint}/index", KEY) as index:
+        return drain(posts, on_batch, f"{checkpoint}/posts")
 
 
 def drop_repeats(posts, delay, text_limit=None):

@@ -8,6 +8,7 @@ from postlens.plans.ingest import replay
 from postlens.schema import POSTS_SCHEMA
 from postlens.sources.messages import message_stream, post_messages, raw_messages, stringify
 from postlens.streaming import flows, gate
+from postlens.streaming.keyindex import KeyIndex, seen_keys
 
 NOON = dt.datetime(2021, 1, 1, 12)
 
@@ -108,15 +109,44 @@ def test_scores_over_batches_equal_batch(spark, tmp_path):
     assert got == {(r.text_clean, r.compound) for r in want} and spark.read.parquet(f"{out}/scores").count() == 2
 
 
-def test_compacted_keys_still_stop_copies(spark, tmp_path):
+def test_keys_outlive_a_restart(spark, tmp_path):
     out, source, checkpoint = (str(tmp_path / n) for n in ("out", "in", "checkpoint"))
-    stream = stream_of(spark, [[post(1, "one text")], [post(2, "two texts")]], source)
-    flows.dedupe_stream(stream, out, checkpoint)
-    flows.compact_keys(spark, out, 1)
-    assert {r.batch_id for r in flows.read_keys(spark, f"{out}/keys").collect()} == {1}
+    flows.dedupe_stream(stream_of(spark, [[post(1, "one text")], [post(2, "two texts")]], source), out, checkpoint)
     posts(spark, [post(3, "one text"), post(4, "three texts")]).coalesce(1).write.parquet(f"{source}/part9")
     flows.dedupe_stream(spark.readStream.schema(POSTS_SCHEMA).parquet(f"{source}/part*"), out, checkpoint)
     assert sorted(r.text_clean for r in spark.read.parquet(f"{out}/posts").collect()) == ["one text", "three texts", "two texts"]
+    assert sorted(r.batch_id for r in seen_keys(spark, f"{out}/index").collect()) == [0, 1, 2]
+    assert seen_keys(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_repeated_batch_gets_the_same_answer(spark, tmp_path):
+    keys = spark.createDataFrame([(bytes([i]) * 32,) for i in range(5)], "dup_key binary")
+    path, checkpoint = str(tmp_path / "index"), str(tmp_path / "checkpoint")
+    with KeyIndex(spark, path, checkpoint) as index:
+        first = index.new(keys.limit(3), 0).count()
+        assert first == 4 == index.new(keys.limit(3), 0).count()      # three keys and the batch's own mark
+        assert index.new(keys.limit(0), 1).count() == 1
+    with KeyIndex(spark, path, checkpoint) as index:                    # started anew: repeated, then the rest
+        assert index.new(keys.limit(3), 0).count() == 4
+        new = {bytes(r.dup_key) for r in index.new(keys, 2).collect()}
+    assert new == {bytes([3]) * 32, bytes([4]) * 32, b"batch 2"}
+
+
+def test_bytes_read_by_a_batch_do_not_grow_with_the_history(spark, tmp_path):
+    """Twenty batches of 400 posts, a tenth of them copies of earlier ones: what each reads through the file system."""
+    def text(n):
+        return "text number " + str(n).translate({48 + d: "abcdefghij"[d] for d in range(10)})
+
+    batches = [[post(1000 * b + i, text(1000 * b + i if i % 10 or not b else 1000 * (b - 1) + i + 1)) for i in range(400)] for b in range(20)]
+    statistics = spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file")
+    read = []
+    out, stream = str(tmp_path / "out"), stream_of(spark, batches, str(tmp_path / "in"))
+    flows.dedupe_stream(stream, out, str(tmp_path / "checkpoint"), lambda fresh, n: read.append(statistics.getLong("bytesRead")))
+    per_batch = [b - a for a, b in zip(read, read[1:], strict=False)]
+    assert len(read) == 20 and sorted(per_batch[-5:])[2] < 1.2 * sorted(per_batch[:5])[2]
+    want = deduplicate(clean(posts(spark, [r for b in batches for r in b])))
+    got = spark.read.parquet(f"{out}/posts")
+    assert sorted(r.text_clean for r in got.select("text_clean").collect()) == sorted(r.text_clean for r in want.select("text_clean").collect())
 
 
 def stream_of(spark, batches, folder):

@@ -15,6 +15,7 @@ from postlens.sources import messages as M, store as S
 from postlens.sources.feeds import Feed, scan_feed
 from postlens.schema import POSTS_SCHEMA
 from postlens.streaming import flows, gate
+from postlens.streaming.keyindex import seen_keys
 from workload.views import (RULE_WORDS, cleaned, event_messages, feed_alpha, feed_beta, lexicon, line_terms,
                             line_totals, post_stream, posts, raw_documents, scored, scored_columns, table,
                             table_stream)
@@ -637,9 +638,8 @@ def stream_monthly(spark, d):
 def stream_dedupe(spark, d):
     path = new_folder(spark, "deduped")
     flows.dedupe_stream(post_stream(spark, d), path, new_folder(spark, "checkpoint"))
-    flows.compact_keys(spark, path, 2)
     posts_kept = spark.read.parquet(f"{path}/posts").select("source", F.md5("text_clean").alias("clean_md5"))
-    keys = flows.read_keys(spark, f"{path}/keys").agg(F.count("*").alias("n"))
+    keys = seen_keys(spark, f"{path}/index").agg(F.count("*").alias("n"))
     return posts_kept.withColumn("keys", keys.scalar())
 
 
