@@ -5,8 +5,12 @@ already partitioned by that key (as after ``deduplicate``) neither the sum nor t
 shuffles. Only the key and a few small columns are exploded, never the text. A lexicon that is small by
 its table size is broadcast by Catalyst; a larger one is joined by shuffle, where AQE splits frequent words.
 
-Two levels: ``rules=False`` sums valences; ``rules=True`` (default) applies the published rules for
-capitals, intensifiers, negation, contrast and punctuation (Hutto & Gilbert, "VADER", ICWSM 2014).
+Two levels: ``rules=False`` sums valences of single words; ``rules=True`` (default) applies the published rules for
+capitals, intensifiers, negation, contrast, punctuation and the special cases around "no", "least", "kind of", "never so"
+and "without doubt" (Hutto & Gilbert, "VADER", ICWSM 2014).
+
+A lexicon may hold entries of several words (idioms). They are looked up by their first word and compared with the words that
+follow; where entries overlap, the one that begins first, then the longest, counts, and its words count no more.
 """
 from dataclasses import dataclass
 
@@ -22,6 +26,7 @@ INTENSITY = 0.293
 NEGATION = -0.74
 DAMPING = {1: 1.0, 2: 0.95, 3: 0.9}   # by distance to the intensifier
 BEFORE_BUT, AFTER_BUT = 0.5, 1.5
+NEVER_SO = 1.25
 EXCLAMATION, MAX_EXCLAMATIONS = 0.292, 4
 QUESTION, MANY_QUESTIONS = 0.18, 0.96
 
@@ -42,9 +47,18 @@ class RuleWords:
     dampeners: tuple = ("almost", "barely", "hardly", "kinda", "less", "little", "marginally", "occasionally",
                         "partly", "scarcely", "slightly", "somewhat", "sorta")
     negators: tuple = ("aint", "arent", "cannot", "cant", "couldnt", "darent", "didnt", "doesnt", "dont", "hadnt",
-                       "hasnt", "havent", "isnt", "neither", "never", "no", "none", "nope", "nor", "not", "nothing",
-                       "nowhere", "rarely", "seldom", "shouldnt", "wasnt", "werent", "without", "wont", "wouldnt")
+                       "hasnt", "havent", "isnt", "neither", "never", "none", "nope", "nor", "not", "nothing",
+                       "nowhere", "rarely", "seldom", "shouldnt", "wasnt", "werent", "without", "wont", "wouldnt", "despite",
+                       "mightnt", "mustnt", "neednt", "oughtnt", "shant", "uhuh")
     contrast: str = "but"
+    no: str = "no"                                  # negates the listed word after it, and then has no valence itself
+    joiners: tuple = ("or", "nor")                  # "no good or bad"
+    least: str = "least"
+    not_least: tuple = ("at", "very")               # before it: "at least" negates nothing
+    never: str = "never"
+    so: tuple = ("so", "this")
+    without: tuple = ("without", "doubt")
+    pairs: tuple = (("kind", "of"), ("sort", "of"), ("just", "enough"))     # dampeners of two words
 
 
 def load_lexicon(spark, path):
@@ -55,7 +69,7 @@ def load_lexicon(spark, path):
 
 
 def default_lexicon(spark):
-    """A short general list, for trying things out; real work loads a full lexicon."""
+    """A short list for trying things out; real work loads a full lexicon."""
     return spark.createDataFrame(list(DEFAULT_VALENCES.items()), "token string, valence double")
 
 
@@ -65,6 +79,13 @@ def unique_lexicon(lexicon):
             .where(F.col("valence").isNotNull()))
 
 
+def entries(lexicon):
+    """A unique lexicon by first word: token, the words after it (``rest``), their number and the valence."""
+    words = F.split(F.btrim("token", F.lit(BLANKS)), r"\s+")
+    return lexicon.select(words[0].alias("token"), F.array_join(F.slice(words, 2, F.size(words)), " ").alias("rest"),
+                          (F.size(words) - 1).alias("more"), "valence")
+
+
 def normalised(total):
     """Sum of valences to a score in [-1, 1], four digits."""
     score = total / F.sqrt(total * total + NORMALISER)
@@ -88,11 +109,11 @@ def _bare(word):
     return F.when(edged & (F.length(inner) > 2), inner).otherwise(word)
 
 
-def _words(posts, key, text, contrast):
-    """One slim row per word: position, the word, the three words before it, the place of the contrast word (0: none)
-    and whether the text mixes words in capitals with others.
+def _words(posts, key, text, contrast, after):
+    """One slim row per word: position, the word, the three words before it, ``after`` words after it, the place of the
+    contrast word (0: none) and whether the text mixes words in capitals with others.
 
-    The words of a text are an array only inside the generator; a row that is shuffled holds four words, whatever
+    The words of a text are an array only inside the generator; a row that is shuffled holds a few words, whatever
     the length of its text.
     """
     def rows(words):
@@ -103,60 +124,137 @@ def _words(posts, key, text, contrast):
         facts = F.array(F.struct(mixed.alias("mixed"), contrast_at.alias("contrast_at")))
         return F.flatten(F.transform(facts, lambda f: F.transform(words, lambda w, i: F.struct(
             i.alias("pos"), w.alias("word"), f["mixed"].alias("mixed"), f["contrast_at"].alias("contrast_at"),
-            *[F.get(words, i - k).alias(f"word_{k}") for k in DAMPING]))))
+            *[F.get(words, i - k).alias(f"word_{k}") for k in DAMPING],
+            *[F.get(words, i + k).alias(f"after_{k}") for k in range(1, after + 1)]))))
 
     words = F.array(F.split(F.btrim(text, F.lit(BLANKS)), r"\s+"))
     # The outer form: the inner one would compute the array a second time just to filter empty texts.
     return posts.select(key, F.inline_outer(F.flatten(F.transform(words, rows))))
 
 
-def _rule_totals(posts, key, text, lexicon, rule_words):
-    """Sum of adjusted valences. Only words of the lexicon are kept, and only they are ordered."""
+def _hits(posts, key, text, lexicon, rule_words):
+    """The words and phrases of the lexicon in each text: a row per hit with its place, size, valence and surroundings."""
+    listed = entries(lexicon)
+    longest = listed.agg(F.max("more")).first()[0] or 0
+    after = max(longest, 1)
     # Never null, so that the join adds no null filter that would compute the token twice.
     token = F.coalesce(F.lower(_bare(F.col("word"))), F.lit(""))
-    words = _words(posts, key, text, rule_words.contrast).withColumn("token", token)
-    hits = words.join(lexicon, "token").select(
-        key, "contrast_at", "pos", "token", "valence", F.col("mixed").alias("mixed_case"), _is_capitals(F.col("word")).alias("capitals"),
-        *[F.coalesce(_bare(F.col(f"word_{k}")), F.lit("")).alias(f"word_{k}") for k in DAMPING])
+    words = _words(posts, key, text, rule_words.contrast, after).withColumn("token", token)
+    loud, kept = _is_capitals(F.col("word")), ["more", "valence", "contrast_at", F.col("mixed").alias("mixed_case")]
+    around = [F.coalesce(_bare(F.col(f"word_{k}")), F.lit("")).alias(f"word_{k}") for k in DAMPING] + [
+        F.coalesce(F.lower(_bare(F.col("after_1"))), F.lit("")).alias("after"), F.col("word_3").isNotNull().alias("has_third")]
+    if not longest:
+        return words.join(listed, "token").select(key, "pos", "token", loud.alias("capitals"), *kept, *around)
+    following = [F.lower(_bare(F.col(f"after_{k}"))) for k in range(1, after + 1)]
+    # A phrase that would reach past the end of the text has a null among its words.
+    same = F.when(F.col("more") == 0, True)
+    for n in range(1, longest + 1):
+        same = same.when(F.col("more") == n, F.col("rest") == F.concat(*[x for f in following[:n] for x in (F.lit(" "), f)][1:]))
+        loud = F.when(F.col("more") == n, _is_capitals(F.concat("word", *[f"after_{k}" for k in range(1, n + 1)]))).otherwise(loud)
+    found = words.join(listed, "token").where(same).select(key, "pos", "token", loud.alias("capitals"), *kept, *around)
+    return _leftmost_longest(found, key)
+
+
+def _leftmost_longest(hits, key):
+    """Hits that do not overlap: from the left, of those that begin at the same word the longest.
+
+    Overlapping hits form chains; each chain is walked through by itself, so nothing but a chain is ever an array.
+    """
+    ordered = Window.partitionBy(key).orderBy("pos", F.desc("more"))
+    reached = F.max(F.col("pos") + F.col("more")).over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    chained = hits.withColumn("_opens", F.when(F.col("pos") > F.coalesce(reached, F.lit(-1)), 1).otherwise(0)).withColumn(
+        "_chain", F.sum("_opens").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    columns = ["pos", "more", *[c for c in hits.columns if c not in (key, "pos", "more")]]
+    chains = chained.groupBy(key, "_chain").agg(F.array_sort(F.collect_list(F.struct(
+        "pos", (-F.col("more")).alias("shorter"), *columns[1:]))).alias("hits"))
+
+    def step(state, hit):
+        free = hit["pos"] > state["end"]
+        return F.struct(F.when(free, hit["pos"] + hit["more"]).otherwise(state["end"]).alias("end"),
+                        F.when(free, F.array_append(state["places"], hit["pos"])).otherwise(state["places"]).alias("places"))
+
+    start = F.struct(F.lit(-1).alias("end"), F.array().cast("array<int>").alias("places"))
+    places = F.aggregate("hits", start, step, lambda state: state["places"])
+    # Among hits at an accepted place the first one, the longest, is the accepted one.
+    kept = chains.withColumn("places", F.when(F.size("hits") > 1, places)).select(key, F.inline(F.filter("hits", lambda h, i: (
+        F.col("places").isNull() | (F.array_contains("places", h["pos"]) & ((i == 0) | (F.get("hits", i - 1)["pos"] != h["pos"])))))))
+    return kept.select(key, *columns)
 
-    def boost(token):
-        return (F.when(token.isin(list(rule_words.intensifiers)), F.lit(INTENSITY))
-                .when(token.isin(list(rule_words.dampeners)), F.lit(-INTENSITY)).otherwise(F.lit(0.0)))
 
-    def push(word, damping):
-        strength = boost(F.lower(word))
-        shout = F.when(F.col("mixed_case") & _is_capitals(word), F.lit(CAPITALS)).otherwise(F.lit(0.0))
-        return F.when(strength != 0, (strength + shout) * damping).otherwise(F.lit(0.0))
+def _rule_totals(posts, key, text, lexicon, rule_words):
+    """Sum of adjusted valences. Only hits of the lexicon are kept, and only they are ordered."""
+    hits = _hits(posts, key, text, lexicon, rule_words)
+    w = {k: F.lower(F.col(f"word_{k}")) for k in DAMPING}
+    one_of = lambda word, words: word.isin(list(words))
 
-    def flip(word):
-        negates = (F.replace(F.lower(word), F.lit("'"), F.lit("")).isin(list(rule_words.negators))
-                   | F.lower(word).contains("n't"))
-        return F.when(negates, F.lit(NEGATION)).otherwise(F.lit(1.0))
+    def boost(token):
+        return (F.when(one_of(token, rule_words.intensifiers), F.lit(INTENSITY))
+                .when(one_of(token, rule_words.dampeners), F.lit(-INTENSITY)).otherwise(F.lit(0.0)))
+
+    def shout(k):
+        heard = F.col("mixed_case") & _is_capitals(F.col(f"word_{k}")) & (boost(w[k]) != 0)
+        return F.when(heard, F.lit(CAPITALS)).otherwise(F.lit(0.0)) * DAMPING[k]
+
+    def negates(k):
+        return one_of(F.replace(w[k], F.lit("'"), F.lit("")), rule_words.negators) | w[k].contains("n't")
+
+    so, (without, doubt) = rule_words.so, rule_words.without
+    negated = lambda k: F.when(negates(k), F.lit(NEGATION)).otherwise(F.lit(1.0))
+    flips = {
+        1: negated(1),
+        2: F.when((w[2] == rule_words.never) & one_of(w[1], so), F.lit(NEVER_SO)).when(
+            (w[2] == without) & (w[1] == doubt), F.lit(1.0)).otherwise(negated(2)),
+        # As published: a third word back strengthens with "so" right before the hit too, whatever that third word is.
+        3: F.when(((w[3] == rule_words.never) & one_of(w[2], so)) | one_of(w[1], so), F.lit(NEVER_SO)).when(
+            (w[3] == without) & ((w[2] == doubt) | (w[1] == doubt)), F.lit(1.0)).otherwise(negated(3))}
+    softer = sum((F.when((w[a] == first) & (w[b] == second), F.lit(1)).otherwise(F.lit(0))
+                  for a, b in ((3, 2), (2, 1)) for first, second in rule_words.pairs), F.lit(0))
+    kind, of = rule_words.pairs[0]
+    after_no = (w[1] == rule_words.no) | (w[2] == rule_words.no) | ((w[3] == rule_words.no) & one_of(w[1], rule_words.joiners))
 
     # Capitals count only in a text that is not all capitals: some of its words are, not none and not all.
     facts = hits.select(
-        key, "contrast_at", "pos", "valence", (boost(F.col("token")) == 0).alias("counts"),
-        (F.col("mixed_case") & F.col("capitals")).alias("loud"),
-        *[push(F.col(f"word_{k}"), damping).alias(f"push_{k}") for k, damping in DAMPING.items()],
-        *[flip(F.col(f"word_{k}")).alias(f"flip_{k}") for k in DAMPING])
+        key, "contrast_at", "pos", "more", "valence", "has_third",
+        ((F.col("more") > 0) | ((boost(F.col("token")) == 0) & ~((F.col("token") == kind) & (F.col("after") == of)))).alias("counts"),
+        (F.col("mixed_case") & F.col("capitals")).alias("loud"), after_no.alias("after_no"), softer.alias("softer"),
+        ((F.col("token") == rule_words.no) & (F.col("more") == 0)).alias("is_no"),
+        ((w[1] == rule_words.least) & ~one_of(w[2], rule_words.not_least)).alias("least"),
+        *[(boost(w[k]) * damping).alias(f"push_{k}") for k, damping in DAMPING.items()],
+        *[shout(k).alias(f"shout_{k}") for k in DAMPING], *[flips[k].alias(f"flip_{k}") for k in DAMPING])
     before = Window.partitionBy(key).orderBy("pos")
-    near = facts.select("*", *[F.lag("pos", k).over(before).alias(f"hit_{k}") for k in DAMPING])
+    near = facts.select("*", *[F.lag("pos", k).over(before).alias(f"from_{k}") for k in DAMPING],
+                        *[F.lag(F.col("pos") + F.col("more"), k).over(before).alias(f"to_{k}") for k in DAMPING],
+                        F.lead("pos").over(before).alias("next"))
     valued = near.where("counts")
 
-    sign = F.when(F.col("valence") < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    shout = F.when(F.col("loud"), sign * CAPITALS).otherwise(F.lit(0.0))
-    valued = valued.withColumn("valence", F.col("valence") + shout)
+    below, above = F.col("valence") < 0, F.col("valence") > 0
+    up, loud = F.when(below, F.lit(-1.0)).otherwise(F.lit(1.0)), F.when(above, F.lit(1.0)).otherwise(F.lit(-1.0))
+    valued = valued.withColumn("valence", F.when(F.col("after_no"), F.col("valence") * NEGATION).when(
+        F.col("is_no") & (F.col("next") == F.col("pos") + 1), F.lit(0.0)).otherwise(F.col("valence")))
+    valued = valued.withColumn("valence", F.col("valence") + F.when(F.col("loud"), loud * CAPITALS).otherwise(F.lit(0.0)))
     for k in DAMPING:
         # A word that has a valence itself neither intensifies nor negates its successors.
-        known = F.coalesce(*[F.when(F.col(f"hit_{j}") == F.col("pos") - k, True) for j in range(1, k + 1)], F.lit(False))
-        valued = valued.withColumn("valence", F.when(known, F.col("valence")).otherwise(
-            (F.col("valence") + sign * F.col(f"push_{k}")) * F.col(f"flip_{k}")))
+        at = F.col("pos") - k
+        known = F.coalesce(*[F.when((F.col(f"from_{j}") <= at) & (F.col(f"to_{j}") >= at), True) for j in range(1, k + 1)], F.lit(False))
+        stepped = (F.col("valence") + up * F.col(f"push_{k}") + loud * F.col(f"shout_{k}")) * F.col(f"flip_{k}")
+        if k == 3:
+            known, stepped = known | ~F.col("has_third"), stepped - INTENSITY * F.col("softer")
+        valued = valued.withColumn("valence", F.when(known, F.col("valence")).otherwise(stepped))
+    first = F.coalesce((F.col("from_1") <= F.col("pos") - 1) & (F.col("to_1") >= F.col("pos") - 1), F.lit(False))
+    valued = valued.withColumn("valence", F.when(F.col("least") & ~first, F.col("valence") * NEGATION).otherwise(F.col("valence")))
     at = F.col("pos") + 1
     weight = (F.when(F.col("contrast_at") == 0, F.lit(1.0)).when(at < F.col("contrast_at"), F.lit(BEFORE_BUT))
               .when(at > F.col("contrast_at"), F.lit(AFTER_BUT)).otherwise(F.lit(1.0)))
     return valued.groupBy(key).agg(F.sum(F.col("valence") * weight).alias("total"))
 
 
+def lexicon_hits(posts, lexicon, key="dup_key", text="text_v", rule_words=RuleWords()):
+    """Per post with any: hits, those of several words, words covered and the sum of the listed valences."""
+    hits = _hits(posts, key, F.col(text), unique_lexicon(lexicon), rule_words)
+    return hits.groupBy(key).agg(F.count("*").alias("n_hits"), F.count_if(F.col("more") > 0).alias("n_phrases"),
+                                 F.sum(F.col("more") + 1).alias("n_words"), F.sum("valence").alias("valence"))
+
+
 def _emphasis(text):
     marks = F.length(text) - F.length(F.replace(text, F.lit("!"), F.lit("")))
     questions = F.length(text) - F.length(F.replace(text, F.lit("?"), F.lit("")))
@@ -188,6 +286,7 @@ def score(posts, lexicon, key="dup_key", text="text_v", rules=True, rule_words=R
     return with_calendar(scored.withColumn("sentiment", polarity(F.col("compound"))))
 
 
+# --- fixed values: means as the published word list gives them (Hutto & Gilbert, 2014; MIT licence), a small part of it ---
 DEFAULT_VALENCES = {
     "love": 3.2, "loved": 2.9, "loves": 2.7, "great": 3.1, "good": 1.9, "better": 1.9, "best": 3.2, "awesome": 3.1,
     "amazing": 2.8, "excellent": 2.7, "wonderful": 2.7, "fantastic": 2.6, "happy": 2.7, "glad": 2.0, "nice": 1.8,

@@ -65,21 +65,30 @@ scored AS MATERIALIZED (SELECT *, {CLASSES} AS sentiment FROM compounds)"""
 
 
 def _step(k, damping):
+    never, so, without, doubt, neg = "'in'", "('of', 'en')", "'on'", "'a'", "('is', 'de', 'that')"
+    negated = f"(replace(w{k}, '''', '') IN {neg} OR contains(w{k}, 'n''t'))"
+    flip = {1: "",
+            2: f"WHEN w2 = {never} AND w1 IN {so} THEN 1.25 WHEN w2 = {without} AND w1 = {doubt} THEN 1.0",
+            3: f"WHEN (w3 = {never} AND w2 IN {so}) OR w1 IN {so} THEN 1.25 WHEN w3 = {without} AND {doubt} IN (w2, w1) THEN 1.0"}[k]
+    pairs = " + ".join(f"(w{a} = '{x}' AND w{b} = '{y}')::INT" for a, b in ((3, 2), (2, 1)) for x, y in (("for", "of"), ("it", "is")))
     return f"""
 step{k} AS (
-  SELECT * REPLACE ((valence + (CASE WHEN valence < 0 THEN -1.0 ELSE 1.0 END)
-                     * (boost{k} + CASE WHEN loud{k} AND boost{k} <> 0 THEN 0.733 ELSE 0.0 END) * {damping}::DOUBLE)
-                    * (CASE WHEN neg{k} THEN -0.74 ELSE 1.0 END)::DOUBLE AS valence)
+  SELECT * REPLACE (CASE WHEN known{k} OR pos <= {k} THEN valence ELSE
+    (valence + boost{k} * {damping}::DOUBLE * CASE WHEN valence < 0 THEN -1.0 ELSE 1.0 END::DOUBLE
+      + CASE WHEN loud{k} AND boost{k} <> 0 THEN 0.733 ELSE 0.0 END::DOUBLE * {damping}::DOUBLE * CASE WHEN valence > 0 THEN 1.0 ELSE -1.0 END::DOUBLE)
+    * (CASE {flip} WHEN {negated} THEN -0.74 ELSE 1.0 END)::DOUBLE {f"- 0.293::DOUBLE * ({pairs})" if k == 3 else ""} END AS valence)
   FROM step{k - 1}),"""
 
 
-SCORED = CLEAN + LEXICON + f""",
+BAGS = """
 bags AS (
   SELECT post_id, list_transform(
            list_filter(string_split_regex(text_v, '\\s+'), lambda w: w <> ''),
            lambda w: CASE WHEN length(regexp_replace(w, '^[[:punct:]]+|[[:punct:]]+$', '', 'g')) <= 2 THEN w
                           ELSE regexp_replace(w, '^[[:punct:]]+|[[:punct:]]+$', '', 'g') END) AS words
-  FROM uniq),
+  FROM uniq)"""
+
+SCORED = CLEAN + LEXICON + f""",""" + BAGS + f""",
 facts AS (
   SELECT *, len(list_filter(words, lambda w: w = upper(w) AND w <> lower(w))) AS shouted,
          coalesce(list_position(list_transform(words, lambda w: lower(w)), 'to'), 0) AS contrast_at
@@ -94,22 +103,25 @@ valued AS (
          CASE WHEN lower(word) IN ('the', 'la', 'die') THEN 0.293 WHEN lower(word) IN ('and', 'le', 'und') THEN -0.293
               ELSE 0.0 END::DOUBLE AS boost
   FROM spread s LEFT JOIN lex ON lex.token = lower(s.word)),
-marked AS (
-  SELECT post_id, pos, contrast_at, loud, CASE WHEN boost = 0 THEN listed END AS valence,
-         CASE WHEN listed IS NULL THEN boost ELSE 0.0 END AS b,
-         listed IS NULL AND (replace(token, '''', '') IN ('is', 'de', 'that') OR contains(token, 'n''t')) AS neg
-  FROM valued),
 near AS (
-  SELECT *, {", ".join(f"coalesce(lag(b, {k}) OVER w, 0.0) AS boost{k}, coalesce(lag(neg, {k}) OVER w, false) AS neg{k}, "
-                       f"coalesce(lag(loud, {k}) OVER w, false) AS loud{k}" for k in (1, 2, 3))}
-  FROM marked WINDOW w AS (PARTITION BY post_id ORDER BY pos)),
+  SELECT *, lead(token) OVER w AS after, lead(listed) OVER w IS NOT NULL AS next_listed,
+    {", ".join(f"coalesce(lag(token, {k}) OVER w, '') AS w{k}, lag(listed, {k}) OVER w IS NOT NULL AS known{k}, "
+               f"coalesce(lag(boost, {k}) OVER w, 0.0) AS boost{k}, coalesce(lag(loud, {k}) OVER w, false) AS loud{k}" for k in (1, 2, 3))}
+  FROM valued WINDOW w AS (PARTITION BY post_id ORDER BY pos)),
+listed AS (
+  SELECT *, CASE WHEN w1 = 'with' OR w2 = 'with' OR (w3 = 'with' AND w1 IN ('it', 'or')) THEN listed * -0.74::DOUBLE
+                 WHEN token = 'with' AND next_listed THEN 0.0 ELSE listed END AS valence
+  FROM near WHERE listed IS NOT NULL AND boost = 0 AND NOT (token = 'for' AND coalesce(after, '') = 'of')),
 step0 AS (
-  SELECT * REPLACE (valence + CASE WHEN NOT loud THEN 0.0 WHEN valence < 0 THEN -0.733 ELSE 0.733 END::DOUBLE AS valence)
-  FROM near WHERE valence IS NOT NULL),""" + _step(1, 1.0) + _step(2, 0.95) + _step(3, 0.9) + f"""
+  SELECT * REPLACE (valence + CASE WHEN NOT loud THEN 0.0 WHEN valence > 0 THEN 0.733 ELSE -0.733 END::DOUBLE AS valence)
+  FROM listed),""" + _step(1, 1.0) + _step(2, 0.95) + _step(3, 0.9) + f"""
+step4 AS (
+  SELECT * REPLACE (CASE WHEN w1 = 'by' AND NOT known1 AND w2 NOT IN ('at', 'or') THEN valence * -0.74::DOUBLE ELSE valence END AS valence)
+  FROM step3),
 totals AS (
   SELECT post_id, sum(valence * CASE WHEN contrast_at = 0 OR pos = contrast_at THEN 1.0 WHEN pos < contrast_at THEN 0.5
                                      ELSE 1.5 END::DOUBLE) AS total
-  FROM step3 GROUP BY post_id),
+  FROM step4 GROUP BY post_id),
 emphasised AS (
   SELECT uniq.*, coalesce(total, 0.0)::DOUBLE AS plain_total,
          (least(length(text_v) - length(replace(text_v, '!', '')), 4) * 0.292
@@ -276,6 +288,25 @@ WHERE before < (SELECT sum(bytes)::BIGINT * 7 // 10 FROM sized)"""),
        (SELECT count(*) FROM uniq) AS rows_distinct,
        round(1 - (SELECT count(*) FROM uniq) / (SELECT count(*) FROM posts), 6) AS removed_share"""),
     "sentiment_score": q(PLAIN_SCORE, "SELECT post_id, compound, sentiment, day, month FROM scored"),
+    "sentiment_phrases": q(CLEAN + LEXICON + """,
+pieces AS (SELECT w, unnest(range(1, len(w) + 1, 2)) AS i FROM (SELECT regexp_extract_all(lower(text), '[a-z]+') AS w FROM benchmark)),
+phrases AS (SELECT DISTINCT array_to_string(w[i:i + 1 + i % 3], ' ') AS token, 2 + i % 3 AS size FROM pieces WHERE i + 1 + i % 3 <= len(w)),
+listed AS (
+  SELECT token, 1 AS size, valence FROM lex
+  UNION ALL SELECT token, size, ((('0x' || substr(md5(token), 1, 8))::BIGINT % 9) - 4)::DOUBLE FROM phrases),""" + BAGS + """,
+grams AS (
+  SELECT post_id, pos, size, array_to_string(list_transform(words[pos:pos + size - 1], lambda w: lower(w)), ' ') AS token
+  FROM (SELECT *, generate_subscripts(words, 1) AS pos FROM bags), range(1, 5) r(size) WHERE pos + size - 1 <= len(words)),
+found AS (
+  SELECT post_id, list({'at': pos, 'upto': pos + size - 1, 'hits': 1, 'phrases': (size > 1)::INT, 'words': size, 'valence': valence}
+                       ORDER BY pos, size DESC) AS hits
+  FROM grams JOIN listed USING (token, size) GROUP BY post_id),
+chosen AS (
+  SELECT post_id, list_reduce(list_prepend({'at': 0, 'upto': 0, 'hits': 0, 'phrases': 0, 'words': 0, 'valence': 0.0::DOUBLE}, hits),
+    lambda a, h: CASE WHEN h.at > a.upto THEN {'at': h.at, 'upto': h.upto, 'hits': a.hits + 1, 'phrases': a.phrases + h.phrases,
+      'words': a.words + h.words, 'valence': a.valence + h.valence} ELSE a END) AS t
+  FROM found)""", """SELECT post_id, t.hits::BIGINT AS n_hits, t.phrases::BIGINT AS n_phrases, t.words::BIGINT AS n_words, t.valence AS valence
+FROM chosen"""),
     "sentiment_rules": q(SCORED, "SELECT post_id, compound, sentiment, day, month FROM scored"),
     "sentiment_by_source": q(SCORED, "SELECT source, sentiment, count(*) AS count FROM scored GROUP BY ALL"),
     "daily_sentiment": q(DAILY, "SELECT * FROM daily"),

@@ -7,6 +7,7 @@ from postlens.operators.cleaning import ANALYSED, clean, deduplicate, removed_sh
 from postlens.operators.normalize import language_only, normalize, storable, with_calendar, with_default
 from postlens.operators.sampling import byte_budget, first_rows, fraction_of, key_slice, priority_budget
 from postlens.constants import LOAD_SLICES, PUBLISHED_TEXT_LIMIT, RUN_FRACTIONS
+from postlens.operators.sentiment import lexicon_hits
 from postlens.plans.analytics import refresh_derived, run_analytics
 from postlens.plans.experiments import growth_verdict
 from postlens.plans.ingest import bulk_load, replay
@@ -17,7 +18,7 @@ from postlens.schema import POSTS_SCHEMA
 from postlens.streaming import flows, gate
 from postlens.streaming.keyindex import seen_keys
 from workload.views import (RULE_WORDS, cleaned, event_messages, feed_alpha, feed_beta, lexicon, line_terms,
-                            line_totals, post_stream, posts, raw_documents, scored, scored_columns, table,
+                            line_totals, phrase_lexicon, post_stream, posts, raw_documents, scored, scored_columns, table,
                             table_stream)
 
 QUERIES = {}
@@ -162,6 +163,12 @@ def sentiment_rules(spark, d):
     return scored(spark, d).select("post_id", "compound", "sentiment", "day", "month")
 
 
+@query
+def sentiment_phrases(spark, d):
+    """Hits of a lexicon with phrases, the leftmost longest of those that overlap."""
+    return lexicon_hits(cleaned(spark, d), phrase_lexicon(spark, d), "post_id").select("post_id", "n_hits", "n_phrases", "n_words", "valence")
+
+
 # ---- result tables -------------------------------------------------------------------------------------
 
 @query

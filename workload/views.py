@@ -16,7 +16,8 @@ from postlens.session import configure
 
 # Frequent words of the invented prose take the parts the rules look for.
 RULE_WORDS = RuleWords(intensifiers=("the", "la", "die"), dampeners=("and", "le", "und"), negators=("is", "de", "that"),
-                       contrast="to")
+                       contrast="to", no="with", joiners=("it", "or"), least="by", not_least=("at", "or"), never="in",
+                       so=("of", "en"), without=("on", "a"), pairs=(("for", "of"), ("it", "is")))
 
 
 def table(spark, sf_dir, name):
@@ -84,6 +85,17 @@ def lexicon(spark, sf_dir):
     return settle(tokens.select("token", valence.cast("double").alias("valence")), "lexicon")
 
 
+def phrase_lexicon(spark, sf_dir):
+    """The lexicon and phrases of two to four words from the benchmark texts, many of them overlapping."""
+    words = F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0))
+    pieces = table(spark, sf_dir, "benchmark").select(words.alias("w")).where(F.size("w") > 0)
+    pieces = pieces.select("w", F.explode(F.sequence(F.lit(1), F.size("w"), F.lit(2))).alias("i")).withColumn("n", 2 + F.col("i") % 3)
+    phrases = pieces.where(F.col("i") + F.col("n") - 1 <= F.size("w")).select(
+        F.array_join(F.slice("w", F.col("i"), F.col("n")), " ").alias("token")).distinct()
+    valence = F.conv(F.substring(F.md5("token"), 1, 8), 16, 10).cast("long") % 9 - 4
+    return settle(lexicon(spark, sf_dir).unionByName(phrases.select("token", valence.cast("double").alias("valence"))), "lexicon")
+
+
 def cleaned(spark, sf_dir):
     return deduplicate(clean(posts(spark, sf_dir)), ANALYSED)
 
