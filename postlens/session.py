@@ -1,4 +1,6 @@
 """Session settings the results depend on."""
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings: safe to apply to a session somebody else created.
@@ -29,3 +31,16 @@ def get_session(app_name="postlens", **conf):
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)
     return configure(builder.getOrCreate())
+
+
+@contextmanager
+def settings(spark, values):
+    """Runtime settings for the time of one write or the start of a query."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -7,28 +7,37 @@ from postlens.operators.normalize import storable
 from postlens.operators.sampling import fraction_of
 from postlens.schema import POSTS_SCHEMA
 from postlens.scratch import settle
+from postlens.session import settings
+from postlens.sources.layout import z_ordered
 
 
 def write_posts(posts, path=None, mode="append", format="parquet", by="sample_key", **options):
     """Write posts; ``mode="overwrite"`` starts the store anew.
 
     File stores are laid out for the access paths: one folder per source (partition pruning), and rows in each file
-    sorted by ``by``: ``sample_key`` (page skipping for fraction reads) or ``created_ts`` (for reads of a source over a span of time).
-    The sort stays inside the tasks: no shuffle, however large one source is. Row stores keep their own indexes.
+    sorted by ``by``: ``sample_key`` (page skipping for fraction reads) or ``created_ts`` (for reads of a source over a span of
+    time), without a shuffle, however large one source is; or ``both``, along a curve that serves the two of them for one
+    shuffle by range. Times are stored as 64-bit numbers, which have the statistics that skipping needs. Row stores
+    keep their own indexes.
     """
     if path is None:
         posts.write.format(format).mode(mode).options(**options).save()
         return
-    (posts.sortWithinPartitions("source", by)
-     .write.format(format).mode(mode).option("partitionOverwriteMode", "static").options(**options)
-     .partitionBy("source").save(path))
+    ordered = z_ordered(posts) if by == "both" else posts.sortWithinPartitions("source", by)
+    with settings(posts.sparkSession, {"spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS"}):
+        (ordered.write.format(format).mode(mode).option("partitionOverwriteMode", "static").options(**options)
+         .partitionBy("source").save(path))
 
 
-def read_posts(spark, fraction=1.0, path=None, format="parquet", **options):
-    """Posts of the store whose sample key is below ``fraction``, read with the fixed schema."""
+def read_posts(spark, fraction=1.0, path=None, format="parquet", source=None, since=None, until=None, **options):
+    """Posts of the store whose sample key is below ``fraction``, read with the fixed schema; where asked for, of one source
+    and from ``since`` to before ``until``."""
     reader = spark.read.schema(POSTS_SCHEMA).format(format).options(**options)
-    posts = reader.load(path) if path else reader.load()
-    return fraction_of(posts.select(POSTS_SCHEMA.names), fraction)
+    posts = fraction_of((reader.load(path) if path else reader.load()).select(POSTS_SCHEMA.names), fraction)
+    for wanted in (None if source is None else F.col("source") == source, None if since is None else F.col("created_ts") >= since,
+                   None if until is None else F.col("created_ts") < until):
+        posts = posts if wanted is None else posts.where(wanted)
+    return posts
 
 
 def count_stored(posts, fraction=None):

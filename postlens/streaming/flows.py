@@ -4,8 +4,6 @@ Every sink writes one folder per micro-batch, ``batch_id=N``, in overwrite mode:
 after a failure replaces its own output. A stream resumes from its checkpoint; a fresh checkpoint replays
 from the earliest message.
 """
-import time
-
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import Observation, functions as F
@@ -16,6 +14,7 @@ from postlens.operators.sentiment import RuleWords, score
 from postlens.scratch import forget, settle
 from postlens.streaming.gate import checked, stored_form
 from postlens.streaming.keyindex import BATCH, KeyIndex
+from postlens.streaming.progress import ProgressLog
 
 
 def drain(stream, on_batch, checkpoint, output_mode="append"):
@@ -44,11 +43,11 @@ def read_batches(spark, path, schema):
 def ingest_messages(messages, root, checkpoint, metrics=True):
     """Message stream to post store ``root/posts``; unusable messages go to ``root/quarantine`` with the reason.
 
-    Each batch writes its row of ``root/metrics``: messages received, stored and set aside, scores that were no
-    number, seconds, records/s. Received is stored plus set aside, also when a batch is repeated.
+    Each batch writes its row of ``root/accounts``: messages received, stored and set aside, and scores that were no
+    number. Received is stored plus set aside, also when a batch is repeated. With ``metrics`` Spark's own report of each batch
+    (input rows, seconds, rows a second, ...) goes to ``root/progress``; ``ingest_metrics`` puts both together.
     """
     def on_batch(batch, batch_id):
-        started = time.time()
         rows = checked(batch).persist(StorageLevel.MEMORY_AND_DISK)    # one micro-batch, read by two sinks
         try:
             stored, aside = Observation(f"stored-{batch_id}"), Observation(f"aside-{batch_id}")
@@ -57,16 +56,36 @@ def ingest_messages(messages, root, checkpoint, metrics=True):
             write_batch(stored_form(good), f"{root}/posts", batch_id)
             rest = rows.where(F.col("reason").isNotNull()).select("value", "reason").observe(aside, F.count(F.lit(1)).alias("n"))
             write_batch(rest, f"{root}/quarantine", batch_id)
-            seconds = max(time.time() - started, 1e-3)
-            if metrics:
-                row = dict(mode="stream_ingest", received=stored.get["n"] + aside.get["n"], records=stored.get["n"],
-                           skipped=aside.get["n"], bad_scores=stored.get["bad"], seconds=round(seconds, 3),
-                           records_per_sec=round(stored.get["n"] / seconds, 1))
-                write_batch(batch.sparkSession.createDataFrame([row]).coalesce(1), f"{root}/metrics", batch_id)
+            row = (stored.get["n"] + aside.get["n"], stored.get["n"], aside.get["n"], stored.get["bad"])
+            write_batch(batch.sparkSession.createDataFrame([row], ACCOUNT_SCHEMA).coalesce(1), f"{root}/accounts", batch_id)
         finally:
             rows.unpersist()
 
-    return drain(messages, on_batch, checkpoint)
+    if not metrics:
+        return drain(messages, on_batch, checkpoint)
+    with ProgressLog(messages.sparkSession) as log:
+        query = drain(messages, on_batch, checkpoint)
+        log.finished(query)
+        write_progress(log, query, f"{root}/progress")
+    return query
+
+
+ACCOUNT_SCHEMA = "received long, records long, skipped long, bad_scores long"
+
+
+def write_progress(log, query, path):
+    """The reports of a query that has ended, a folder per batch: a repeated batch replaces its own."""
+    (log.table(query).withColumn(BATCH, F.col("batch")).coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(BATCH).parquet(path))
+
+
+def ingest_metrics(spark, root):
+    """One row per batch: messages received, stored (``records``) and set aside, input rows as Spark counts them, seconds and
+    records a second."""
+    accounts, progress = (spark.read.option("basePath", f"{root}/{name}").parquet(f"{root}/{name}") for name in ("accounts", "progress"))
+    joined = accounts.join(progress.select(BATCH, "input_rows", "seconds"), BATCH, "left")
+    return joined.select(F.lit("stream_ingest").alias("mode"), BATCH, "received", "records", "skipped", "bad_scores", "input_rows", "seconds",
+                         F.round(F.try_divide("records", "seconds"), 1).alias("records_per_sec"))
 
 
 def score_stream(posts, lexicon, path, checkpoint, rules=True, rule_words=RuleWords(), text_limit=None):
@@ -120,6 +139,39 @@ def window_counts(posts, keys, width="1 day", delay="1 day", time_column="create
             .select(F.col("window.start").alias("window_start"), *keys, "n"))
 
 
+def count_windows(posts, path, checkpoint, keys, width="1 day", delay="1 day", time_column="created_ts"):
+    """Tumbling-window counts with an account of every row: counted, late or without a time.
+
+    A row is late if its window had ended ``delay`` before the latest time of the batches before its own, the rule of Spark's
+    watermarks; late rows are kept in ``path/late``. The others are counted per batch in ``path/partials``, which ``window_totals`` adds
+    up, so no state is held and a repeated batch replaces its own rows. ``path/clock`` has the latest time so far, a row per
+    batch, and ``path/accounts`` what became of a batch's rows.
+    """
+    spark = posts.sparkSession
+
+    def on_batch(batch, batch_id):
+        time = F.col(time_column).cast("timestamp")
+        before = spark.read.parquet(f"{path}/clock/{BATCH}={batch_id - 1}").first()["latest"] if batch_id else None
+        mark = F.lit(before).cast("timestamp") - F.expr(f"INTERVAL {delay}")
+        # A window expression drops rows without a time, so these take a way of their own.
+        timely = batch.where(time.isNotNull()).withColumn("_window", F.window(time, width)).withColumn("window_start", F.col("_window.start"))
+        timely = timely.withColumn("outcome", F.when(F.col("_window.end") <= mark, "late").otherwise("counted")).drop("_window")
+        timeless = batch.where(time.isNull()).withColumn("window_start", F.lit(None).cast("timestamp")).withColumn("outcome", F.lit("timeless"))
+        rows = settle(timely.unionByName(timeless), "batch")
+        write_batch(rows.where("outcome = 'late'").drop("outcome", "window_start"), f"{path}/late", batch_id)
+        write_batch(rows.where("outcome = 'counted'").groupBy("window_start", *keys).agg(F.count("*").alias("n")), f"{path}/partials", batch_id)
+        write_batch(rows.groupBy("outcome").agg(F.count("*").alias("rows")), f"{path}/accounts", batch_id)
+        write_batch(rows.agg(F.greatest(F.max(time), F.lit(before).cast("timestamp")).alias("latest")), f"{path}/clock", batch_id)
+        forget(rows)
+
+    return drain(posts, on_batch, checkpoint)
+
+
+def window_totals(spark, path, keys):
+    """Current counts of all windows."""
+    return spark.read.parquet(f"{path}/partials").groupBy("window_start", *keys).agg(F.sum("n").alias("n"))
+
+
 def store_windows(counts, path, checkpoint):
     """Store updated windows of each batch; ``latest`` gives the current value of every window."""
     return drain(counts, lambda batch, batch_id: write_batch(batch, path, batch_id), checkpoint, "update")

@@ -5,11 +5,11 @@ sorted in levels that are merged by size, a Bloom filter for each file, so that
 them. A batch sends its distinct keys through that query and gets back the new ones; it reads its own keys only, however long the
 history is, and uploads only what changed.
 """
-from contextlib import contextmanager
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F, types as T
 
+from postlens.session import settings
+
 BATCH = "batch_id"
 STATE_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -17,19 +17,6 @@ STATE_SETTINGS = {
 }
 
 
-@contextmanager
-def settings(spark, values):
-    """Runtime settings for the time a query is started."""
-    before = {k: spark.conf.get(k, None) for k in values}
-    for k, v in values.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 class KeyIndex:
     """New keys of each batch of a stream; a context manager that runs the query behind it.
 

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +11,8 @@ from postlens.operators.normalize import unite, normalize
 from postlens.operators.sentiment import default_lexicon
 from postlens.schema import POSTS_SCHEMA
 from postlens.scratch import new_folder, scratch_root
-from postlens.sources.feeds import Feed, load_feeds, standard_feeds
+from postlens.session import settings
+from postlens.sources.feeds import Feed, load_feeds, scan_types, standard_feeds
 from postlens.sources import store as S
 
 SECOND = 1609459200
@@ -139,3 +141,50 @@ def test_scalability_and_growth(spark):
 def test_scratch_follows_the_session(spark):
     assert new_folder(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
     assert scratch_root(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_store_for_both_access_paths(spark, tmp_path):
+    """Either predicate lets statistics skip at least half of the row groups, also where most times lie close together."""
+    rows = [(f"{s}-{i}", s, "x" * 200, dt.datetime(2021, 1, 1) + dt.timedelta(minutes=(i * 7919 % n) ** 2 // n), None, None, None, (i * 104729 % n) / n)
+            for s, n in (("a", 40_000), ("b", 500)) for i in range(n)]
+    odd = [(None, "a", "odd", dt.datetime(1970, 1, 1), None, None, None, 0.0), ("c-1", "c", "alone", dt.datetime(2021, 1, 1), None, None, None, 0.999999)]
+    posts = spark.createDataFrame(rows + odd, POSTS_SCHEMA)
+    path = str(tmp_path / "store")
+    S.write_posts(posts, path, mode="overwrite", by="both", **{"parquet.block.size": 16384, "parquet.page.size": 2048,
+                                                              "parquet.block.size.row.check.min": 100, "compression": "none"})
+    assert sorted(map(str, S.read_posts(spark, 2.0, path).collect())) == sorted(map(str, posts.collect()))
+    groups = []
+    for file in sorted((tmp_path / "store" / "source=a").glob("*.parquet")):
+        meta = pq.ParquetFile(file).metadata
+        names = [meta.schema.column(i).name for i in range(meta.num_columns)]
+        for g in range(meta.num_row_groups):
+            row_group = meta.row_group(g)
+            groups.append([row_group.column(names.index(c)).statistics for c in ("sample_key", "created_ts")])
+    assert len(groups) >= 16
+    times = sorted(r[3] for r in rows if r[1] == "a")
+    low, high = (t.replace(tzinfo=dt.timezone.utc) for t in (times[10_000], times[15_000]))
+    hit = [sum(k.min < 0.1 for k, _ in groups), sum(t.max.replace(tzinfo=dt.timezone.utc) >= low and t.min.replace(tzinfo=dt.timezone.utc) < high
+                                                 for _, t in groups)]
+    assert max(hit) <= len(groups) / 2, (hit, len(groups))
+    span = S.read_posts(spark, 0.5, path, source="a", since=times[10_000], until=times[15_000])
+    assert span.count() == sum(times[10_000] <= r[3] < times[15_000] and r[7] < 0.5 and r[1] == "a" for r in rows)
+    with settings(spark, {"spark.sql.maxMetadataStringLength": "1000"}):
+        plan = span.where("true")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(created_ts" in plan and "LessThan(sample_key" in plan
+
+
+def test_feed_of_mixed_types(spark, tmp_path):
+    moment = dt.datetime(2021, 5, 1, 12)
+    seconds = int(moment.replace(tzinfo=dt.timezone.utc).timestamp())
+    tables = [("c0", [(1, "a", seconds * 1000)], "id long, text string, created_at long"), ("c1", [("2", "b", str(seconds))], "id string, text string, created_at string"),
+              ("c2", [(3, "c", moment)], "id int, text string, created_at timestamp"), ("c3", [("4", "d", "2021-05-01 12:00:00")], "id string, text string, created_at string"),
+              ("c4", [("e", "2021-05-01", 1.5)], "body string, date string, other double"), ("c5", [(None, None, None)], "id string, text string, created_at string")]
+    for name, rows, schema in tables:
+        spark.createDataFrame(rows, schema).withColumn(f"extra_{name}", F.lit(name)).coalesce(1).write.parquet(str(tmp_path / "raw" / name))
+    feed = Feed("f", f"{tmp_path}/raw/c*", mixed_types=True)
+    assert len(scan_types(spark, feed)) == 4
+    got = load_feeds(spark, [feed]).collect()
+    assert {(r.post_id, r.text) for r in got if r.text != "e"} == {("f-1", "a"), ("f-2", "b"), ("f-3", "c"), ("f-4", "d")}
+    assert {r.created_ts for r in got} == {moment, dt.datetime(2021, 5, 1)}
+    with pytest.raises(FileNotFoundError, match="none"):
+        load_feeds(spark, [Feed("g", f"{tmp_path}/none*", mixed_types=True)])

@@ -9,6 +9,7 @@ from postlens.schema import POSTS_SCHEMA
 from postlens.sources.messages import message_stream, post_messages, raw_messages, stringify
 from postlens.streaming import flows, gate
 from postlens.streaming.keyindex import KeyIndex, seen_keys
+from postlens.streaming.progress import ProgressLog
 
 NOON = dt.datetime(2021, 1, 1, 12)
 
@@ -74,8 +75,9 @@ def test_replay_ingest_and_resume(spark, tmp_path):
     replay(source.where("sample_key >= 0"), 40, "text", topic)
     flows.ingest_messages(message_stream(spark, "text", topic), root, checkpoint)       # only the new messages
     assert stored().count() == 65
-    metrics = spark.read.parquet(f"{root}/metrics")
+    metrics = flows.ingest_metrics(spark, root)
     assert metrics.agg(F.sum("received"), F.sum("records"), F.sum("skipped")).first() == (67, 65, 2)
+    assert all(r.input_rows == r.received == r.records + r.skipped and r.seconds > 0 for r in metrics.collect())
 
 
 def test_every_message_is_stored_or_set_aside(spark):
@@ -199,3 +201,31 @@ def test_stateful_form_drops_copies_across_batches(spark, tmp_path):
     kept = flows.drop_repeats(stream_of(spark, batches, str(tmp_path / "in")), "30 days").select("source", "text_clean")
     flows.drain(kept, lambda b, n: flows.write_batch(b, out, n), str(tmp_path / "checkpoint"))
     assert {r.text_clean for r in spark.read.parquet(out).collect()} == {"same words here", "other words here"}
+
+
+def test_every_row_of_a_window_stream_is_accounted_for(spark, tmp_path):
+    day = lambda d: dt.datetime(2021, 1, d, 12)
+    batches = [[post(1, ts=day(1)), post(2, ts=day(2)), post(9, ts=None)], [post(3, ts=day(2)), post(4, ts=day(20))], [post(5, ts=day(20))],
+               [post(6, ts=day(1)), post(7, ts=day(20)), post(8, ts=day(18))]]
+    out, source, checkpoint = (str(tmp_path / n) for n in ("out", "in", "checkpoint"))
+    flows.count_windows(stream_of(spark, batches, source), out, checkpoint, ["source"], "1 day", "2 days")
+    totals = {(r.window_start.day, r.n) for r in flows.window_totals(spark, out, ["source"]).collect()}
+    assert totals == {(1, 1), (2, 2), (18, 1), (20, 3)}
+    assert [r.post_id for r in spark.read.parquet(f"{out}/late").collect()] == ["a-6"]
+    accounts = {(r.batch_id, r.outcome): r.rows for r in spark.read.parquet(f"{out}/accounts").collect()}
+    assert accounts == {(0, "counted"): 2, (0, "timeless"): 1, (1, "counted"): 2, (2, "counted"): 1, (3, "late"): 1, (3, "counted"): 2}
+    posts(spark, [post(10, ts=day(2))]).coalesce(1).write.parquet(f"{source}/part9")       # after a restart the clock goes on
+    flows.count_windows(spark.readStream.schema(POSTS_SCHEMA).parquet(f"{source}/part*"), out, checkpoint, ["source"], "1 day", "2 days")
+    assert sorted(r.post_id for r in spark.read.parquet(f"{out}/late").collect()) == ["a-10", "a-6"]
+
+
+def test_progress_reports_with_state_and_observed_numbers(spark, tmp_path):
+    batches = [[post(1, "same words here")], [post(2, "Same words, here!"), post(3, "other words here")]]
+    stream = stream_of(spark, batches, str(tmp_path / "in")).observe("seen", F.count(F.lit(1)).alias("n"))
+    heard = []
+    with ProgressLog(spark, on_row=heard.append) as log:
+        query = flows.drain(flows.drop_repeats(stream, "30 days"), lambda b, n: b.count(), str(tmp_path / "checkpoint"))
+        log.finished(query)
+    rows = [r for r in log.table(query).orderBy("batch").collect() if r.input_rows]
+    assert [r.input_rows for r in rows] == [1, 2] and rows[-1].state_rows == 2
+    assert [json.loads(r.observed)["seen"]["n"] for r in rows] == [1, 2] and len(heard) >= 2

@@ -391,6 +391,12 @@ FROM scored WHERE community IS NOT NULL GROUP BY community ORDER BY count(*) DES
        coalesce(sum(count) FILTER (sentiment = 'neutral'), 0)::BIGINT AS neutral,
        coalesce(sum(count) FILTER (sentiment = 'negative'), 0)::BIGINT AS negative FROM conf GROUP BY orig"""),
     "store_round_trip": q(POSTS, f"{POST_FIELDS}, sample_key FROM posts WHERE sample_key < 0.5"),
+    "store_both_paths": q(POSTS, """SELECT r.read, post_id, md5(text) AS text_md5, epoch_us(created_ts) AS micros
+FROM posts, (VALUES ('fraction'), ('span'), ('all')) r(read)
+WHERE CASE r.read WHEN 'fraction' THEN sample_key < 0.25
+                  WHEN 'span' THEN source = 'alpha' AND created_ts >= TIMESTAMP '1995-01-01' AND created_ts < TIMESTAMP '1996-07-01' ELSE true END"""),
+    "mixed_feed": q(RAW, """SELECT 'mixed-' || doc_id AS post_id, md5(text) AS text_md5, epoch_us(o_orderdate) AS micros,
+       round(o_totalprice, 2) AS score FROM raw WHERE text IS NOT NULL AND text <> '' AND o_orderdate IS NOT NULL"""),
     "bulk_load_slices": q(POSTS, """SELECT high::DOUBLE AS dataset_fraction,
        count(*) FILTER (sample_key >= low) AS slice_rows, count(*) AS cumulative_rows
 FROM (VALUES (0.0, 0.25), (0.25, 0.5), (0.5, 1.0)) s(low, high) JOIN posts ON sample_key < high GROUP BY ALL"""),
@@ -447,6 +453,14 @@ UNION ALL SELECT 'validation_confusion', count(*), coalesce(sum(count), 0)::BIGI
     "stream_ingest": q(EVENT_POSTS, "SELECT * FROM event_posts"),
     "stream_quarantine": q(EVENT_POSTS, """SELECT CASE WHEN NOT accepted THEN 'keys' WHEN event_type = 'purchase' THEN 'text' ELSE 'stored' END
        AS outcome, count(*) AS messages, (SELECT count(*) FROM events) AS received FROM msgs GROUP BY ALL"""),
+    "stream_metrics": q(EVENT_POSTS, """SELECT event_id % 4 AS batch, count(*) AS received, count(*) FILTER (accepted AND event_type <> 'purchase') AS records,
+       count(*) FILTER (NOT accepted OR event_type = 'purchase') AS skipped, count(*) AS input_rows, true AS timed
+FROM msgs GROUP BY ALL"""),
+    "stream_late": """WITH e AS (SELECT *, event_id % 4 AS batch FROM events),
+marks AS (SELECT b.batch, (SELECT max(ts) FROM e WHERE e.batch < b.batch) - INTERVAL 20 DAYS AS mark FROM (SELECT DISTINCT batch FROM e) b),
+rows AS (SELECT CASE WHEN date_trunc('day', ts) + INTERVAL 1 DAY <= mark THEN 'late' ELSE 'counted' END AS outcome, ts::DATE AS day, event_type
+  FROM e JOIN marks USING (batch))
+SELECT outcome, day, event_type, count(*) AS n, (SELECT count(*) FROM events) AS received FROM rows GROUP BY ALL""",
     "stream_replay": q(POSTS, """SELECT post_id, md5(text) AS text_md5, created_ts::DATE AS created_ts, sample_key FROM posts
 ORDER BY posts.sample_key, post_id LIMIT (SELECT count(*) // 2 FROM posts)"""),
     "stream_daily": "SELECT ts::DATE AS day, event_type, count(*) AS n FROM events GROUP BY ALL",

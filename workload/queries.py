@@ -1,4 +1,6 @@
 """The named queries: ``name(spark, sf_dir) -> DataFrame``."""
+import datetime as dt
+
 from pyspark.sql import functions as F, types as T
 
 from postlens.functions.times import from_epoch, from_text
@@ -13,12 +15,12 @@ from postlens.plans.experiments import growth_verdict
 from postlens.plans.ingest import bulk_load, replay
 from postlens.scratch import new_folder, settle
 from postlens.sources import messages as M, store as S
-from postlens.sources.feeds import Feed, scan_feed
+from postlens.sources.feeds import Feed, load_feeds, scan_feed
 from postlens.schema import POSTS_SCHEMA
 from postlens.streaming import flows, gate
 from postlens.streaming.keyindex import seen_keys
 from workload.views import (RULE_WORDS, cleaned, event_messages, feed_alpha, feed_beta, lexicon, line_terms,
-                            line_totals, phrase_lexicon, post_stream, posts, raw_documents, scored, scored_columns, table,
+                            line_totals, parted_stream, phrase_lexicon, post_stream, posts, raw_documents, scored, scored_columns, table,
                             table_stream)
 
 QUERIES = {}
@@ -380,6 +382,33 @@ def store_round_trip(spark, d):
                                                  "community", "orig_sentiment", "orig_score", "sample_key")
 
 
+@query
+def store_both_paths(spark, d):
+    """A store along the curve, read by sample fraction and by source and span of time."""
+    path = new_folder(spark, "store")
+    S.write_posts(posts(spark, d), path, mode="overwrite", by="both")
+    since, until = dt.datetime(1995, 1, 1), dt.datetime(1996, 7, 1)
+    reads = {"fraction": S.read_posts(spark, 0.25, path), "span": S.read_posts(spark, 1.0, path, source="alpha", since=since, until=until),
+             "all": S.read_posts(spark, 1.0, path)}
+    parts = [rows.select(F.lit(name).alias("read"), "post_id", F.md5("text").alias("text_md5"), F.unix_micros("created_ts").alias("micros"))
+             for name, rows in reads.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def mixed_feed(spark, d):
+    """A feed whose chunks store times, ids and scores in three types each, loaded whole."""
+    path, raw = new_folder(spark, "raw"), raw_documents(spark, d).where(F.col("o_orderdate").isNotNull())
+    moment = F.col("o_orderdate").cast("timestamp")
+    chunks = [(F.unix_millis(moment), F.col("doc_id"), F.col("o_totalprice")), (moment, F.col("doc_id").cast("string"), F.col("o_totalprice").cast("string")),
+              (F.date_format(moment, "yyyy-MM-dd HH:mm:ss"), F.col("doc_id").cast("int"), F.col("o_totalprice").cast("decimal(18,2)"))]
+    for k, (time, number, score) in enumerate(chunks):
+        raw.where(F.pmod("doc_id", F.lit(3)) == k).select(number.alias("id"), "text", time.alias("created_at"), score.alias("sentiment_score"), F.lit(
+            "x" * k).alias("note") if k else F.lit(1.5).alias("note")).repartition(2).write.parquet(f"{path}/chunk_{k}.parquet")
+    loaded = load_feeds(spark, [Feed("mixed", f"{path}/chunk_*.parquet", labels=True, mixed_types=True)])
+    return loaded.select("post_id", F.md5("text").alias("text_md5"), F.unix_micros("created_ts").alias("micros"), F.round("orig_score", 2).alias("score"))
+
+
 @query
 def bulk_load_slices(spark, d):
     rows = bulk_load(posts(spark, d), new_folder(spark, "store"))
@@ -599,7 +628,7 @@ def stream_quarantine(spark, d):
     """What became of every message: stored, or set aside with a reason."""
     root, checkpoint = new_folder(spark, "stream"), new_folder(spark, "checkpoint")
     flows.ingest_messages(event_messages(table_stream(spark, d, "events")), root, checkpoint)
-    received = spark.read.parquet(f"{root}/metrics").agg(F.sum("received").alias("received"))
+    received = flows.ingest_metrics(spark, root).agg(F.sum("received").alias("received"))
     stored = flows.read_batches(spark, f"{root}/posts", POSTS_SCHEMA).select(F.lit("stored").alias("outcome"))
     aside = spark.read.parquet(f"{root}/quarantine").select(F.col("reason").alias("outcome"))
     return stored.unionByName(aside).groupBy("outcome").agg(F.count("*").alias("messages")).withColumn(
@@ -641,6 +670,29 @@ def stream_monthly(spark, d):
     return flows.monthly_roll_up(event_windows(spark, d), ["event_type"])
 
 
+@query
+def stream_metrics(spark, d):
+    """What each batch of a stream received, by our account and by Spark's report."""
+    root = new_folder(spark, "stream")
+    flows.ingest_messages(event_messages(parted_stream(spark, d, "events", "event_id")), root, new_folder(spark, "checkpoint"))
+    rows = flows.ingest_metrics(spark, root)
+    return rows.select(F.col("batch_id").cast("long").alias("batch"), "received", "records", "skipped", "input_rows",
+                       ((F.col("seconds") > 0) & (F.col("records_per_sec") >= 0)).alias("timed"))
+
+
+@query
+def stream_late(spark, d):
+    """Rows of each day counted or late, over batches whose times overlap."""
+    path = new_folder(spark, "windows")
+    flows.count_windows(parted_stream(spark, d, "events", "event_id"), path, new_folder(spark, "checkpoint"), ["event_type"], "1 day", "20 days", "ts")
+    late = spark.read.parquet(f"{path}/late").select(F.lit("late").alias("outcome"), F.to_date("ts").alias("day"), "event_type").groupBy(
+        "outcome", "day", "event_type").agg(F.count("*").alias("n"))
+    counted = flows.window_totals(spark, path, ["event_type"]).select(F.lit("counted").alias("outcome"), F.to_date("window_start").alias("day"),
+                                                                     "event_type", "n")
+    received = spark.read.parquet(f"{path}/accounts").agg(F.sum("rows").alias("received"))
+    return late.unionByName(counted).withColumn("received", received.scalar())
+
+
 @query
 def stream_dedupe(spark, d):
     path = new_folder(spark, "deduped")

@@ -73,6 +73,15 @@ def table_stream(spark, sf_dir, name, files=4):
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", "1").parquet(parts)
 
 
+def parted_stream(spark, sf_dir, name, key, files=4):
+    """A test table as a stream whose micro-batch k holds the rows whose key is k modulo the number of files."""
+    rows = table(spark, sf_dir, name)
+    path = new_folder(spark, f"{name}-parts")
+    for k in range(files):
+        rows.where(F.pmod(F.col(key), F.lit(files)) == k).coalesce(1).write.parquet(f"{path}/part{k}")
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/part*")
+
+
 def post_stream(spark, sf_dir):
     return posts(spark, sf_dir, table_stream(spark, sf_dir, "documents"))
 
