@@ -103,7 +103,7 @@ valued AS (
          CASE WHEN lower(word) IN ('the', 'la', 'die') THEN 0.293 WHEN lower(word) IN ('and', 'le', 'und') THEN -0.293
               ELSE 0.0 END::DOUBLE AS boost
   FROM spread s LEFT JOIN lex ON lex.token = lower(s.word)),
-near AS (
+around AS (
   SELECT *, lead(token) OVER w AS after, lead(listed) OVER w IS NOT NULL AS next_listed,
     {", ".join(f"coalesce(lag(token, {k}) OVER w, '') AS w{k}, lag(listed, {k}) OVER w IS NOT NULL AS known{k}, "
                f"coalesce(lag(boost, {k}) OVER w, 0.0) AS boost{k}, coalesce(lag(loud, {k}) OVER w, false) AS loud{k}" for k in (1, 2, 3))}
@@ -111,7 +111,7 @@ near AS (
 listed AS (
   SELECT *, CASE WHEN w1 = 'with' OR w2 = 'with' OR (w3 = 'with' AND w1 IN ('it', 'or')) THEN listed * -0.74::DOUBLE
                  WHEN token = 'with' AND next_listed THEN 0.0 ELSE listed END AS valence
-  FROM near WHERE listed IS NOT NULL AND boost = 0 AND NOT (token = 'for' AND coalesce(after, '') = 'of')),
+  FROM around WHERE listed IS NOT NULL AND boost = 0 AND NOT (token = 'for' AND coalesce(after, '') = 'of')),
 step0 AS (
   SELECT * REPLACE (valence + CASE WHEN NOT loud THEN 0.0 WHEN valence > 0 THEN 0.733 ELSE -0.733 END::DOUBLE AS valence)
   FROM listed),""" + _step(1, 1.0) + _step(2, 0.95) + _step(3, 0.9) + f"""
@@ -248,6 +248,13 @@ ALPHA = RAW + """,
 alpha AS (SELECT * FROM raw WHERE lang = 'en')"""
 
 
+def cleaned_fraction(fraction):
+    """Rows of a sample before and after cleaning and duplicate removal."""
+    sampled = POSTS + f""",
+sampled AS (SELECT * FROM posts WHERE sample_key < {fraction})""" + cleaned("sampled")
+    return f"WITH {sampled} SELECT {fraction}::DOUBLE AS fraction, (SELECT count(*) FROM sampled) AS rows_in, (SELECT count(*) FROM uniq) AS rows_clean"
+
+
 def q(with_clause, select):
     return f"WITH {with_clause}\n{select}"
 
@@ -375,7 +382,7 @@ FROM daily"""),
     "keyword_series": q(LINES, """SELECT month, token, sum(n)::BIGINT AS n FROM k
 WHERE token IN ('s1', 's2', 's3') AND source IN ('A', 'N') GROUP BY month, token"""),
     "keyword_per10k": q(LINES, """SELECT month, token, round(sum(k.n) / any_value(posts) * 10000, 6) AS per_10k
-FROM k LEFT JOIN (SELECT month, sum(n) AS posts FROM tot WHERE source IN ('A', 'R') AND month < '2001-01-01'
+FROM k LEFT JOIN (SELECT month, sum(n) AS posts FROM tot WHERE source IN ('A', 'R')
                   GROUP BY month) USING (month)
 WHERE token IN ('s1', 's2', 's3') AND source IN ('A', 'R') GROUP BY month, token"""),
     "top_keywords": q(KEYWORDS, """SELECT token, sum(n)::BIGINT AS n FROM counted WHERE n >= 3 GROUP BY token
@@ -433,9 +440,19 @@ UNION ALL SELECT 'orders', true, count(*) FROM orders""",
     "visible_prefix": q(POSTS + cleaned(limit=PUBLISHED_TEXT_LIMIT), """SELECT post_id, length(text_v) AS visible_chars,
        md5(text_clean) AS clean_md5 FROM uniq"""),
     "feed_scan": "SELECT 'alpha' AS feed, count(*) AS rows FROM documents WHERE lang = 'en' UNION ALL SELECT 'beta', count(*) FROM documents WHERE lang <> 'en'",
-    "refreshed_trends": q(POST_ANALYSIS, """SELECT 'confusion' AS "table", coalesce(sum(count), 0)::BIGINT AS total
-FROM conf"""),
-    "growth": """SELECT 'sub-linear' AS verdict, count(*)::DOUBLE AS full_rows FROM orders""",
+    "refreshed_trends": q(trends(POST_ANALYSIS + POST_TERMS[len(KEYWORDS):], 12, 3, 3, 8, 40),
+                          "SELECT *, (SELECT coalesce(sum(count), 0)::BIGINT FROM conf) AS labelled FROM trend"),
+    "missing_feed": q(POSTS, "SELECT 'missing beta' AS outcome, count(*) AS rows FROM posts WHERE source = 'alpha'"),
+    "reacquired_chunks": "SELECT count(*) AS rows, true AS within_limit FROM documents WHERE doc_id % 2 = 0",
+    "measured_runs": q(", ".join(f"f{i} AS (SELECT * FROM ({cleaned_fraction(f)}))" for i, f in enumerate((0.25, 0.5, 1.0))),
+                       "SELECT *, (SELECT rows_clean FROM f2) AS saved FROM (FROM f0 UNION ALL FROM f1 UNION ALL FROM f2)"),
+    "community_roles": q(RAW, """SELECT 'alpha' AS feed, '-' AS "column", 0::BIGINT AS filled
+UNION ALL SELECT 'beta', 'subreddit', count(place) FROM raw WHERE lang <> 'en'"""),
+    "growth": """WITH k AS (SELECT event_type, round(value * 100)::BIGINT AS cents, ('0x' || substr(md5(event_id::VARCHAR), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS key
+  FROM events),
+s AS (SELECT event_type, sum(cents) FILTER (key < 0.25) AS small, sum(cents) FILTER (key < 1) AS whole FROM k GROUP BY event_type)
+SELECT event_type, small::BIGINT AS small, whole::BIGINT AS whole, CASE WHEN whole / nullif(small, 0)::DOUBLE < 3.6 THEN 'sub-linear'
+  WHEN whole / nullif(small, 0)::DOUBLE < 4.4 THEN 'linear' WHEN whole / nullif(small, 0)::DOUBLE IS NOT NULL THEN 'super-linear' END AS verdict FROM s""",
     "analytics_run": q(POST_ANALYSIS, """SELECT 'posts' AS "table", (SELECT count(*) FROM posts) AS rows, (SELECT count(*) FROM uniq)::BIGINT AS total
 UNION ALL SELECT 'sentiment_by_source', (SELECT count(*) FROM (SELECT DISTINCT source, sentiment FROM scored)), (SELECT count(*) FROM scored)
 UNION ALL SELECT 'daily_sentiment', (SELECT count(*) FROM (SELECT DISTINCT source, day FROM scored)), (SELECT count(*) FROM scored)

@@ -1,5 +1,6 @@
 """The named queries: ``name(spark, sf_dir) -> DataFrame``."""
 import datetime as dt
+import functools
 
 from pyspark.sql import functions as F, types as T
 
@@ -11,7 +12,7 @@ from postlens.operators.sampling import byte_budget, first_rows, fraction_of, ke
 from postlens.constants import LOAD_SLICES, PUBLISHED_TEXT_LIMIT, RUN_FRACTIONS
 from postlens.operators.sentiment import lexicon_hits
 from postlens.plans.analytics import refresh_derived, run_analytics
-from postlens.plans.experiments import growth_verdict
+from postlens.plans.experiments import growth_verdict, scalability
 from postlens.plans.ingest import bulk_load, replay
 from postlens.scratch import new_folder, settle
 from postlens.sources import messages as M, store as S
@@ -336,9 +337,9 @@ def keyword_series(spark, d):
 
 @query
 def keyword_per10k(spark, d):
-    """Shares against the totals of months with a shipped quantity; other months have none."""
+    """Shares against the totals of the selected flags; a month without lines of these flags has no total."""
     terms = settle(line_terms(spark, d), "terms")
-    totals = line_totals(terms).where(F.col("month") < F.lit("2001-01-01"))
+    totals = line_totals(terms)
     return I.keyword_per10k(terms, totals, ["s1", "s2", "s3"], ["A", "R"]).withColumn("per_10k", F.round("per_10k", 6))
 
 
@@ -523,23 +524,78 @@ def feed_scan(spark, d):
 
 @query
 def refreshed_trends(spark, d):
-    """Trends and metrics made anew from stored tables; the confusion they rest on covers all labelled posts."""
+    """Trends and metrics made anew from stored tables, stored again and read back: trend rows beside the number of labelled posts."""
     root = new_folder(spark, "results")
     shared = settle(scored_columns(spark, d), "scored")
-    tables = A.result_tables(shared, MIN_KEYWORDS, MIN_TAGS)
+    tables = A.result_tables(shared, 2, MIN_TAGS)
     S.replace_tables({n: tables[n] for n in ("keyword_monthly", "monthly_totals", "validation_confusion")}, root)
     derived = refresh_derived(spark, root, min_total=12, min_months=3, min_peak_count=3)
-    return derived["validation_metrics"].where("metric = 'n_labelled_posts'").select(
-        F.lit("confusion").alias("table"), F.col("value").cast("long").alias("total"))
+    # Where no term is a trend, nothing is stored.
+    trends, _ = S.read_with_fallback(spark, derived["trend_terms"].schema, lambda s: s.read.parquet(f"{root}/trend_terms"))
+    labelled = spark.read.parquet(f"{root}/validation_metrics").where("metric = 'n_labelled_posts'").select(F.col("value").cast("long").alias("n"))
+    return trends.withColumn("labelled", labelled.scalar())
 
 
 @query
 def growth(spark, d):
-    """Growth verdict over run times that rise by the root of the rows."""
-    rows = table(spark, d, "orders").agg(F.count("*").alias("n"))
-    runs = rows.select("n", F.explode(F.array(*[F.lit(f) for f in RUN_FRACTIONS])).alias("dataset_fraction")).withColumn(
-        "total_seconds", F.sqrt(F.col("n") * F.col("dataset_fraction")))
-    return growth_verdict(runs).select("verdict", F.round(F.col("full_seconds") ** 2, 0).alias("full_rows"))
+    """Growth verdict where the cost of a run is the amount its events add up to, one dataset a kind of event."""
+    key = F.conv(F.substring(F.md5(F.col("event_id").cast("string")), 1, 8), 16, 10).cast("double") / 2**32
+    events = table(spark, d, "events").withColumn("key", key)
+    runs = events.groupBy("event_type").agg(*[F.sum(F.when(F.col("key") < f, F.round(F.col("value") * 100).cast("long"))).alias(str(f))
+                                              for f in RUN_FRACTIONS]).unpivot("event_type", None, "dataset_fraction", "total_seconds")
+    runs = settle(runs.withColumn("dataset_fraction", F.col("dataset_fraction").cast("double")), "runs")
+    kinds = [r[0] for r in runs.select("event_type").distinct().orderBy("event_type").collect()]
+    parts = [growth_verdict(runs.where(F.col("event_type") == k)).select(
+        F.lit(k).alias("event_type"), F.col("small_seconds").cast("long").alias("small"), F.col("full_seconds").cast("long").alias("whole"), "verdict")
+        for k in kinds]
+    return functools.reduce(lambda x, y: x.unionByName(y), parts)
+
+
+@query
+def missing_feed(spark, d):
+    """A feed without files stops the load; the others are not read."""
+    path = new_folder(spark, "raw")
+    feed_alpha(raw_documents(spark, d)).write.parquet(f"{path}/alpha")
+    feeds = [Feed("alpha", f"{path}/alpha/*.parquet", labels=True), Feed("beta", f"{path}/beta/*.parquet")]
+    try:
+        rows = load_feeds(spark, feeds)
+        return rows.agg(F.lit("loaded").alias("outcome"), F.count("*").alias("rows"))
+    except FileNotFoundError as error:
+        named = all(f.path in str(error) for f in feeds)
+        return load_feeds(spark, feeds[:1]).agg(F.lit("missing beta" if named else "unclear").alias("outcome"), F.count("*").alias("rows"))
+
+
+@query
+def reacquired_chunks(spark, d):
+    """A second acquisition of fewer rows leaves nothing of the first."""
+    path, rows = new_folder(spark, "chunks"), table(spark, d, "documents").select("doc_id", "text")
+    S.write_chunks(rows, path, 1_000)
+    S.write_chunks(rows.where(F.col("doc_id") % 2 == 0), path, 500)
+    files = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("file"), "doc_id").groupBy("file").agg(F.count("*").alias("n"))
+    return files.agg(F.sum("n").alias("rows"), (F.max("n") <= 500).alias("within_limit"))
+
+
+@query
+def measured_runs(spark, d):
+    """The analysis at growing fractions after a warm-up; only the full run is stored."""
+    results = new_folder(spark, "results")
+    stored = settle(posts(spark, d), "posts")
+    runs = scalability(stored, lexicon(spark, d), results, min_keyword_count=MIN_KEYWORDS, rule_words=RULE_WORDS)
+    saved = spark.read.parquet(f"{results}/sentiment_by_source").agg(F.sum("count").alias("saved"))
+    rows = [(r["dataset_fraction"], r["rows_in"], r["rows_after_cleaning"]) for r in runs]
+    return spark.createDataFrame(rows, "fraction double, rows_in long, rows_clean long").withColumn("saved", saved.scalar())
+
+
+@query
+def community_roles(spark, d):
+    """Which feed has a community column and which column it is, with the rows that fill it."""
+    raw = raw_documents(spark, d)
+    parts = []
+    for name, rows in (("alpha", feed_alpha(raw)), ("beta", feed_beta(raw))):
+        column = P.resolved_columns(rows)["community"]
+        filled = F.count(column) if column else F.lit(0).cast("long")
+        parts.append(rows.agg(F.lit(name).alias("feed"), F.lit(column or "-").alias("column"), filled.alias("filled")))
+    return parts[0].unionByName(parts[1])
 
 
 @query
