@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from postlens.plans.analytics import refresh_derived, run_analytics
 from postlens.plans.experiments import growth_verdict, scalability
-from postlens.plans.ingest import bulk_load
+from postlens.plans.ingest import bulk_load, loaded_posts, resumable_load
 from postlens.operators.normalize import unite, normalize
 from postlens.operators.sentiment import default_lexicon
 from postlens.schema import POSTS_SCHEMA
@@ -188,3 +188,23 @@ def test_feed_of_mixed_types(spark, tmp_path):
     assert {r.created_ts for r in got} == {moment, dt.datetime(2021, 5, 1)}
     with pytest.raises(FileNotFoundError, match="none"):
         load_feeds(spark, [Feed("g", f"{tmp_path}/none*", mixed_types=True)])
+
+
+def test_load_that_broke_off_is_resumed(spark, tmp_path):
+    source, root, begun = posts(spark), str(tmp_path / "load"), []
+
+    def break_off(k):
+        begun.append(k)
+        if len(begun) == 3:
+            S.write_posts(source.limit(5), f"{root}/posts/slice=2", mode="overwrite")     # half a slice, no manifest row
+            raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        resumable_load(source, root, before_slice=break_off)
+    assert loaded_posts(spark, root).count() == source.where("sample_key < 0.5").count()
+    rows = resumable_load(source, root, before_slice=begun.append)
+    assert begun == [0, 1, 2, 2] and resumable_load(source, root, before_slice=begun.append) == rows and len(begun) == 4
+    assert sorted(map(str, loaded_posts(spark, root).collect())) == sorted(map(str, source.select(POSTS_SCHEMA.names).collect()))
+    assert [r["cumulative_rows"] for r in rows] == [source.where(f"sample_key < {f}").count() for f in (0.25, 0.5, 1.0)]
+    resumable_load(source, root, slices=[(0.0, 0.25), (0.25, 0.4)])                       # other bounds: that slice anew
+    assert loaded_posts(spark, root).where("sample_key >= 0.4 and sample_key < 0.5").count() == 0

@@ -407,6 +407,8 @@ WHERE CASE r.read WHEN 'fraction' THEN sample_key < 0.25
     "bulk_load_slices": q(POSTS, """SELECT high::DOUBLE AS dataset_fraction,
        count(*) FILTER (sample_key >= low) AS slice_rows, count(*) AS cumulative_rows
 FROM (VALUES (0.0, 0.25), (0.25, 0.5), (0.5, 1.0)) s(low, high) JOIN posts ON sample_key < high GROUP BY ALL"""),
+    "resumed_load": q(POSTS, """SELECT source, count(*) AS posts, count(DISTINCT post_id) AS ids,
+  (SELECT count(*) FROM posts WHERE sample_key < 0.5) AS before FROM posts GROUP BY source"""),
     "live_counts": q(POSTS, "SELECT source, count(*) AS posts FROM posts WHERE sample_key < 0.25 GROUP BY source"),
     "inferred_scan": q(POSTS, "SELECT orig_sentiment, count(*) AS count FROM posts GROUP BY ALL"),
     "chunked_write": "SELECT count(*) AS rows, true AS within_limit FROM documents",
@@ -453,6 +455,9 @@ UNION ALL SELECT 'beta', 'subreddit', count(place) FROM raw WHERE lang <> 'en'""
 s AS (SELECT event_type, sum(cents) FILTER (key < 0.25) AS small, sum(cents) FILTER (key < 1) AS whole FROM k GROUP BY event_type)
 SELECT event_type, small::BIGINT AS small, whole::BIGINT AS whole, CASE WHEN whole / nullif(small, 0)::DOUBLE < 3.6 THEN 'sub-linear'
   WHEN whole / nullif(small, 0)::DOUBLE < 4.4 THEN 'linear' WHEN whole / nullif(small, 0)::DOUBLE IS NOT NULL THEN 'super-linear' END AS verdict FROM s""",
+    "incremental_tables": q(POST_ANALYSIS, """SELECT 'daily' AS "table", source, day::VARCHAR AS item, count(*) AS n,
+  round(sum(round(compound * 10000)::BIGINT) / count(*)) / 10000 AS value FROM scored GROUP BY source, day
+UNION ALL SELECT 'keywords', source, month || ' ' || token, n, NULL FROM counted WHERE n >= 3"""),
     "analytics_run": q(POST_ANALYSIS, """SELECT 'posts' AS "table", (SELECT count(*) FROM posts) AS rows, (SELECT count(*) FROM uniq)::BIGINT AS total
 UNION ALL SELECT 'sentiment_by_source', (SELECT count(*) FROM (SELECT DISTINCT source, sentiment FROM scored)), (SELECT count(*) FROM scored)
 UNION ALL SELECT 'daily_sentiment', (SELECT count(*) FROM (SELECT DISTINCT source, day FROM scored)), (SELECT count(*) FROM scored)

@@ -13,7 +13,8 @@ from postlens.constants import LOAD_SLICES, PUBLISHED_TEXT_LIMIT, RUN_FRACTIONS
 from postlens.operators.sentiment import lexicon_hits
 from postlens.plans.analytics import refresh_derived, run_analytics
 from postlens.plans.experiments import growth_verdict, scalability
-from postlens.plans.ingest import bulk_load, replay
+from postlens.plans.incremental import add_slice, merged_tables
+from postlens.plans.ingest import bulk_load, loaded_posts, replay, resumable_load
 from postlens.scratch import new_folder, settle
 from postlens.sources import messages as M, store as S
 from postlens.sources.feeds import Feed, load_feeds, scan_feed
@@ -416,6 +417,24 @@ def bulk_load_slices(spark, d):
     return spark.createDataFrame(rows).select("dataset_fraction", "slice_rows", "cumulative_rows")
 
 
+@query
+def resumed_load(spark, d):
+    """A load that breaks off in its last slice and is run again."""
+    root, every = new_folder(spark, "store"), settle(posts(spark, d), "posts")
+
+    def break_off(k):
+        if k == 2:
+            raise InterruptedError
+
+    try:
+        resumable_load(every, root, before_slice=break_off)
+    except InterruptedError:
+        broken = loaded_posts(spark, root).agg(F.count("*").alias("n"))
+    resumable_load(every, root)
+    return loaded_posts(spark, root).groupBy("source").agg(F.count("*").alias("posts"), F.count_distinct("post_id").alias("ids")).withColumn(
+        "before", broken.scalar())
+
+
 @query
 def live_counts(spark, d):
     path = new_folder(spark, "store")
@@ -613,14 +632,32 @@ def totals_check(spark, d):
     return P.totals_check(posts(spark, d).select("source"), raw.groupBy(source).agg(texts.alias("posts")))
 
 
+def table_sizes(tables, counted):
+    return [tables[t].agg(F.count("*").alias("rows"), F.coalesce(F.sum(n), F.lit(0)).alias("total")).select(
+        F.lit(t).alias("table"), "rows", "total") for t, n in counted.items()]
+
+
+@query
+def incremental_tables(spark, d):
+    """Daily table of posts that came in three slices, the latest first, each scored once."""
+    root, every, known = new_folder(spark, "tables"), settle(posts(spark, d), "posts"), lexicon(spark, d)
+    for k, (low, high) in enumerate([(0.6, 1.0), (0.0, 0.3), (0.3, 0.6)]):
+        add_slice(key_slice(every, low, high), known, root, f"slice-{k}", rule_words=RULE_WORDS)
+    tables = merged_tables(spark, root, MIN_KEYWORDS, MIN_TAGS)
+    daily = tables["daily_sentiment"].select(F.lit("daily").alias("table"), "source", F.col("day").cast("string").alias("item"), "n", F.col(
+        "avg_compound").alias("value"))
+    words = tables["keyword_monthly"].select(F.lit("keywords").alias("table"), "source", F.concat_ws(" ", F.col("month").cast("string"), "token").alias(
+        "item"), "n", F.lit(None).cast("double").alias("value"))
+    return daily.unionByName(words)
+
+
 @query
 def analytics_run(spark, d):
     """The whole run on all posts: rows and totals of its result tables."""
     metrics, tables = run_analytics(posts(spark, d), lexicon(spark, d), 1.0, min_keyword_count=MIN_KEYWORDS, rule_words=RULE_WORDS)
     counted = {"sentiment_by_source": "count", "daily_sentiment": "n", "monthly_totals": "n", "community_sentiment": "n",
                "keyword_monthly": "n", "validation_confusion": "count"}
-    rows = [tables[t].agg(F.count("*").alias("rows"), F.coalesce(F.sum(n), F.lit(0)).alias("total")).select(
-        F.lit(t).alias("table"), "rows", "total") for t, n in counted.items()]
+    rows = table_sizes(tables, counted)
     every = spark.range(1).select(F.lit("posts").alias("table"), F.lit(metrics["rows_in"]).cast("long").alias("rows"),
                                   F.lit(metrics["rows_after_cleaning"]).cast("long").alias("total"))
     for other in rows:
