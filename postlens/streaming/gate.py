@@ -48,3 +48,28 @@ def stored_form(rows):
 def posts_of(messages):
     """Unified posts of the usable messages."""
     return stored_form(checked(messages).where(F.col("reason").isNull()))
+
+
+def foreign_fields(aside):
+    """What the messages set aside consist of: per key and type of its value, the number of messages and whether posts have the key.
+
+    Messages are read as VARIANT, so that unknown keys and changed types are seen as they are. Broken JSON, and JSON that is
+    no object, counts under no key.
+    """
+    rows = aside.select(F.try_parse_json("value").alias("v"))
+    fields = rows.lateralJoin(aside.sparkSession.tvf.variant_explode_outer(F.col("v").outer()))
+    return fields.groupBy("key", F.schema_of_variant("value").alias("type")).agg(F.count("*").alias("messages")).withColumn(
+        "known", F.coalesce(F.col("key").isin(MESSAGE_SCHEMA.names), F.lit(False)))
+
+
+def with_renamed(aside, names):
+    """Messages set aside, written anew as post messages to be sent again: ``names`` maps a foreign key to the field it stands for.
+
+    A field that is there already stays as it is. Broken JSON gives no message.
+    """
+    def read(key):
+        return F.try_variant_get("v", f"$['{key}']", "string")
+
+    fields = [F.coalesce(read(f), *[read(k) for k, field in names.items() if field == f]).alias(f) for f in MESSAGE_SCHEMA.names]
+    rows = aside.select(F.try_parse_json("value").alias("v")).where(F.schema_of_variant("v").startswith("OBJECT"))
+    return rows.select(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}).alias("value"))

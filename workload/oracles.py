@@ -475,6 +475,13 @@ UNION ALL SELECT 'validation_confusion', count(*), coalesce(sum(count), 0)::BIGI
     "stream_ingest": q(EVENT_POSTS, "SELECT * FROM event_posts"),
     "stream_quarantine": q(EVENT_POSTS, """SELECT CASE WHEN NOT accepted THEN 'keys' WHEN event_type = 'purchase' THEN 'text' ELSE 'stored' END
        AS outcome, count(*) AS messages, (SELECT count(*) FROM events) AS received FROM msgs GROUP BY ALL"""),
+    "foreign_fields": """SELECT key, type, (SELECT count(*) FROM events WHERE event_id % 5 = 0) AS messages, known
+FROM (VALUES ('post_id', 'STRING', true), ('source', 'STRING', true), ('body', 'STRING', false), ('when', 'BIGINT', false)) f(key, type, known)""",
+    "renamed_replay": """SELECT 'e-' || event_id AS post_id, event_type AS source, md5(concat_ws(' ', event_type, props)) AS text_md5,
+  epoch(date_trunc('second', ts))::BIGINT AS seconds, ('0x' || substr(md5('e-' || event_id), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS sample_key,
+  (SELECT count(*) FROM events WHERE event_id % 5 <> 0) AS first FROM events""",
+    "top_words": """SELECT value, count(*) AS count FROM (SELECT unnest(string_split(lower(text), ' ')) AS value FROM documents) GROUP BY value
+ORDER BY count(*) DESC, value LIMIT 10""",
     "stream_metrics": q(EVENT_POSTS, """SELECT event_id % 4 AS batch, count(*) AS received, count(*) FILTER (accepted AND event_type <> 'purchase') AS records,
        count(*) FILTER (NOT accepted OR event_type = 'purchase') AS skipped, count(*) AS input_rows, true AS timed
 FROM msgs GROUP BY ALL"""),

@@ -728,6 +728,45 @@ def stream_quarantine(spark, d):
         "received", received.scalar())
 
 
+def renamed_messages(spark, d):
+    """Messages of the events, a part of which calls its text ``body`` and gives the event's time as a number."""
+    rows = table(spark, d, "events").select((F.col("event_id") % 5 == 0).alias("odd"), F.concat(F.lit("e-"), F.col("event_id").cast("string")).alias(
+        "post_id"), F.col("event_type").alias("source"), F.concat_ws(" ", "event_type", "props").alias("text"), F.col("ts").cast("timestamp").alias("ts"))
+    usual = F.to_json(F.struct("post_id", "source", "text", F.col("ts").cast("string").alias("created_ts")))
+    other = F.to_json(F.struct("post_id", "source", F.col("text").alias("body"), F.unix_seconds("ts").alias("when")))
+    return rows.select(F.when(F.col("odd"), other).otherwise(usual).alias("value"))
+
+
+@query
+def foreign_fields(spark, d):
+    """Keys and types found in messages that the gate sets aside."""
+    aside = gate.checked(renamed_messages(spark, d)).where(F.col("reason").isNotNull()).select("value")
+    return gate.foreign_fields(aside)
+
+
+@query
+def renamed_replay(spark, d):
+    """A renamed field found in the messages set aside, and these messages sent again under the right name."""
+    root, checkpoint, topic = new_folder(spark, "stream"), new_folder(spark, "checkpoint"), new_folder(spark, "topic")
+    renamed_messages(spark, d).repartition(2).write.text(topic)
+    flows.ingest_messages(M.message_stream(spark, "text", topic), root, checkpoint)
+    first = flows.read_batches(spark, f"{root}/posts", POSTS_SCHEMA).agg(F.count("*").alias("n"))
+    first = settle(first, "first")
+    aside = spark.read.parquet(f"{root}/quarantine").select("value")
+    gate.with_renamed(aside, {"body": "text", "when": "created_ts"}).write.mode("append").text(topic)
+    flows.ingest_messages(M.message_stream(spark, "text", topic), root, checkpoint)
+    posts_in = flows.read_batches(spark, f"{root}/posts", POSTS_SCHEMA)
+    return posts_in.select("post_id", "source", F.md5("text").alias("text_md5"), F.unix_seconds("created_ts").alias("seconds"), "sample_key").withColumn(
+        "first", first.scalar())
+
+
+@query
+def top_words(spark, d):
+    """The most frequent words of all documents, by a sketch and an exact recount of its candidates."""
+    words = table(spark, d, "documents").select(F.explode(F.split(F.lower("text"), " ")).alias("word"))
+    return P.top_values(words, "word", 10)
+
+
 @query
 def stream_replay(spark, d):
     """Half of the posts sent as messages and taken in again."""
