@@ -6,7 +6,7 @@ score, and the same pointers, from the longest down, list the messages from each
 
 A turn is written as ``<s>[INST] role\\ntext\\n</s>\\n``, an answer with ``[/INST]`` for ``[INST]``. Inside a text each of the
 control strings ``<s> </s> [INST] [/INST]`` gets one more backslash in front, which reading takes away again; roles have
-backslashes and line ends escaped. The loss mask holds the spans of the answers' texts in code points.
+backslashes, line ends and the first signs of control strings escaped. The loss mask holds the spans of the answers' texts in code points.
 
 Null roles and texts count as empty. Null conversation ids are one conversation; equal turns are ordered by role and text,
 repeated rows count each. A parent that is not there makes a root; messages in a cycle have no root and are reported by
@@ -29,14 +29,23 @@ def unescape(text):
     return F.regexp_replace(text, r"\\(\\*)" + CONTROL, "$1$2")
 
 
+ROLE_ESCAPES = {"\n": "\\n", "<": "\\l", "[": "\\b"}
+
+
 def escape_role(role):
-    return F.replace(F.replace(role, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n"))
+    role = F.replace(role, F.lit("\\"), F.lit("\\\\"))
+    for sign, written in ROLE_ESCAPES.items():
+        role = F.replace(role, F.lit(sign), F.lit(written))
+    return role
 
 
 def unescape_role(role):
-    """The pairs are read from the left, hence a stand-in for the escaped backslash (no role holds U+0000 and U+0001)."""
-    marked = F.replace(role, F.lit("\\\\"), F.lit("\x00\x01"))
-    return F.replace(F.replace(marked, F.lit("\\n"), F.lit("\n")), F.lit("\x00\x01"), F.lit("\\"))
+    """Escapes are pairs read from the left, so cutting at each escaped backslash leaves pieces that hold the others alone."""
+    def plain(piece):
+        for sign, written in ROLE_ESCAPES.items():
+            piece = F.replace(piece, F.lit(written), F.lit(sign))
+        return piece
+    return F.array_join(F.transform(F.split(role, r"\\\\"), plain), "\\")
 
 
 def chain(rows):

@@ -90,7 +90,10 @@ def measures(text, stop_words=STOP_WORDS):
 
 
 def judge(docs, rules=RULES, stop_words=STOP_WORDS, name="quality", columns=None):
-    """``columns`` (all) of ``docs`` and a struct of all measures, ``broken`` (rule names), ``base_failed`` and ``kept``."""
+    """``columns`` (all) of ``docs`` and a struct of all measures, ``broken`` (rule names), ``base_failed`` and ``kept``.
+
+    A column that has the struct's ``name`` already is replaced; other columns stay. An empty table gives no rows.
+    """
     columns = [c for c in columns or docs.columns if c != name]
     parts = measures(whole_text(), stop_words)
     names = [fresh(docs, f"part{i}") for i in range(len(parts))]

@@ -54,3 +54,20 @@ def test_odd_vectors_and_empty_table(spark):
             (7, [float("inf"), 0.0, 0.0]), (8, [1.0, None, 0.0]), (9, [1.0, 0.0]), (10, unit), (None, unit), (11, [-1.0, 0.0, 0.0])]
     check(rows, forest.near_duplicates(table(spark, rows)).collect())
     assert forest.near_duplicates(table(spark, rows).limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("size", [400, 2000])
+def test_pairs_at_the_threshold_meet_beyond_the_sample(size):
+    """10,000 pairs at a cosine of 0.952 among vectors of which the trees saw a small part: recall of the leaves."""
+    random = np.random.default_rng(size)
+    x = random.standard_normal((10_000, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    other = random.standard_normal(x.shape)
+    other -= (other * x).sum(axis=1, keepdims=True) * x
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    y = 0.952 * x + np.sqrt(1 - 0.952 ** 2) * other
+    both = np.concatenate([x, y])
+    trees = forest.fit(both[random.choice(len(both), size, replace=False)], len(both), 0.95)
+    leaves = [set(f) for f in forest.leaves_of(trees, both.astype(np.float32))]
+    met = sum(bool(leaves[i] & leaves[i + len(x)]) for i in range(len(x)))
+    assert met / len(x) > 0.9999

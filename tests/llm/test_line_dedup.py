@@ -56,3 +56,8 @@ def test_odd_rows(spark):
 def test_length_follows_the_text(spark):
     for r in line_dedup.clean(docs_of(spark, rows_of_sites())).collect():
         assert r.n_chars == len(r.text)
+
+
+def test_no_python_on_the_way(spark):
+    plan = line_dedup.removed_lines(docs_of(spark, edge_rows()))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan
