@@ -70,17 +70,18 @@ def components(nodes, edges, node="id"):
     ``edges`` has the columns ``a`` and ``b``. Rounds of star contraction (Kiveris et al., 2014): large stars hang
     every larger neighbour on the smallest one, small stars do the same with the smaller neighbours; the number
     of rounds grows with the logarithm of the component size. A round is written to the shared folder, so lineage
-    stays short. Minima merge before each shuffle, so the hub of a star costs one row per task.
+    stays short. Minima merge before each shuffle, so the hub of a star costs one row per task; they are written down
+    too, as Spark divides the links of a hub among tasks only where both sides of a join come straight from a shuffle.
     """
     links = settle(edges.where(F.col("a") != F.col("b")).select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     state = _fingerprint(links)
     while state[0]:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
+        least = settle(both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m")), "least")
         large = both.join(least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = settle(large.where(F.col("a") != F.col("b")).distinct(), "links")
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        least = settle(large.groupBy("a").agg(F.min("b").alias("m")), "least")
         small = large.join(least, "a").select(F.when(F.col("b") == F.col("m"), F.col("a")).otherwise(F.col("b")).alias("a"),
                                               F.col("m").alias("b"))
         links = settle(small.where(F.col("a") != F.col("b")).distinct(), "links")
