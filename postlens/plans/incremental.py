@@ -5,6 +5,8 @@ Every slice leaves its own folder in two places under ``root``: ``survivors`` (t
 earlier copy of a text that an older slice has, that copy takes over, as in one full run: the partials of the slice then also
 hold the older post's share with a minus sign. The last slice may be repeated; it replaces its own folders.
 """
+from functools import reduce
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
@@ -84,10 +86,13 @@ def add_slice(posts, lexicon, root, name, rules=True, rule_words=RuleWords(), te
 
 
 def merged(partials, table):
-    """Partials of a table added up; rows that cancel out are gone."""
+    """Partials of a table added up; rows that cancel out are gone.
+
+    A row goes only if all its sums are zero: a post may take the place of another in the same row, and leave its score behind.
+    """
     sums = [c for c in partials.columns if c not in (*IDENTITY[table], "slice")]
     added = partials.groupBy(*IDENTITY[table]).agg(*[F.sum(c).alias(c) for c in sums])
-    return added.where(F.col("count" if table == "confusion" else "n") != 0) if IDENTITY[table] else added
+    return added.where(reduce(lambda a, b: a | b, [F.col(c) != 0 for c in sums])) if IDENTITY[table] else added
 
 
 def merged_tables(spark, root, min_keyword_count=MIN_KEYWORD_COUNT, min_hashtag_count=MIN_HASHTAG_COUNT):

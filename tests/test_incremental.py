@@ -43,6 +43,16 @@ def test_slices_in_any_order_equal_one_run(spark, tmp_path, order):
     assert spark.read.parquet(f"{root}/survivors").count() == sum(t["new"] + t["taken_over"] for t in told)
 
 
+def test_copy_of_the_same_day_and_bin_with_another_score(spark, tmp_path):
+    root, moment = str(tmp_path / "tables"), dt.datetime(2021, 1, 1)
+    for k, (name, text) in enumerate([("a-9", "good day!"), ("a-1", "good day")]):
+        row = (name, "a", text, moment, "c", None, None, 0.5)
+        add_slice(spark.createDataFrame([row], POSTS_SCHEMA), default_lexicon(spark), root, f"s{k}")
+    tables = merged_tables(spark, root, 1, 1)
+    assert [(r.n, r.avg_compound) for r in tables["daily_sentiment"].collect()] == [(1, 0.4404)]
+    assert [(r.n, r.avg_compound) for r in tables["community_sentiment"].collect()] == [(1, 0.4404)]
+
+
 def test_empty_slice_and_no_labels(spark, tmp_path):
     root = str(tmp_path / "tables")
     assert add_slice(posts(spark, []), default_lexicon(spark), root, "none") == {"new": 0, "taken_over": 0}
