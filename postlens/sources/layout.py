@@ -6,6 +6,8 @@ the row groups is left for a narrow range of one of them.
 """
 from pyspark.sql import functions as F
 
+from postlens.scratch import settle
+
 BITS = 8
 
 
@@ -35,7 +37,8 @@ def share_of(value, cuts, bits=BITS):
 
 def z_ordered(posts, bits=BITS):
     """Posts dealt by range and sorted along the curve of (sample_key, created_ts) inside their source."""
-    cuts = time_cuts(posts, bits).select(F.col("source").alias("_source"), "cuts")
+    # Written down, the few cuts have a known size and are broadcast; joined by shuffle, all posts of a source would go to one task.
+    cuts = settle(time_cuts(posts, bits), "cuts").select(F.col("source").alias("_source"), "cuts")
     key = F.floor(F.greatest(F.least(F.coalesce("sample_key", F.lit(0.0)), F.lit(1.0 - 1e-9)), F.lit(0.0)) * (1 << bits))
     time = F.coalesce(share_of(F.unix_micros("created_ts"), F.col("cuts"), bits), F.lit(0))
     placed = posts.join(cuts, F.col("source").eqNullSafe(F.col("_source")), "left").select(

@@ -14,6 +14,7 @@ from postlens.scratch import new_folder, scratch_root
 from postlens.session import settings
 from postlens.sources.feeds import Feed, load_feeds, scan_types, standard_feeds
 from postlens.sources import store as S
+from postlens.sources.layout import z_ordered
 
 SECOND = 1609459200
 
@@ -208,3 +209,9 @@ def test_load_that_broke_off_is_resumed(spark, tmp_path):
     assert [r["cumulative_rows"] for r in rows] == [source.where(f"sample_key < {f}").count() for f in (0.25, 0.5, 1.0)]
     resumable_load(source, root, slices=[(0.0, 0.25), (0.25, 0.4)])                       # other bounds: that slice anew
     assert loaded_posts(spark, root).where("sample_key >= 0.4 and sample_key < 0.5").count() == 0
+
+
+def test_curve_deals_no_source_to_one_task(spark):
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "64k"}):
+        plan = z_ordered(posts(spark, 20_000))._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "rangepartitioning" in plan and "hashpartitioning" not in plan
