@@ -9,6 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Observation, functions as F
 
 from postlens.functions.keys import duplicate_key
+from postlens.functions.text import plain
 from postlens.operators.cleaning import ANALYSED, KEY, clean, deduplicate
 from postlens.operators.sentiment import RuleWords, score
 from postlens.scratch import forget, settle
@@ -88,6 +89,10 @@ def ingest_metrics(spark, root):
                          F.round(F.try_divide("records", "seconds"), 1).alias("records_per_sec"))
 
 
+# The plain text follows from the visible one: found again where posts are written, it is neither shuffled nor kept in between.
+CARRIED = [c for c in ANALYSED if c != "text_clean"]
+
+
 def score_stream(posts, lexicon, path, checkpoint, rules=True, rule_words=RuleWords(), text_limit=None):
     """Clean, de-duplicate over the whole stream, score and store a stream of posts in ``path/scores``.
 
@@ -111,10 +116,11 @@ def dedupe_stream(posts, path, checkpoint, on_fresh=None, text_limit=None):
     texts is cheaper with ``drop_repeats``.
     """
     def on_batch(batch, batch_id):
-        rows = settle(deduplicate(clean(batch, text_limit), ANALYSED), "batch")
-        write_batch(rows.join(index.new(rows, batch_id), KEY, "left_semi"), f"{path}/posts", batch_id)
+        rows = settle(deduplicate(clean(batch, text_limit), CARRIED), "batch")
+        fresh = rows.join(index.new(rows, batch_id), KEY, "left_semi").withColumn("text_clean", plain(F.col("text_v"))).select(KEY, *ANALYSED)
+        write_batch(fresh, f"{path}/posts", batch_id)
         if on_fresh:
-            on_fresh(batch.sparkSession.read.schema(rows.schema).parquet(f"{path}/posts/{BATCH}={batch_id}"), batch_id)
+            on_fresh(batch.sparkSession.read.schema(fresh.schema).parquet(f"{path}/posts/{BATCH}={batch_id}"), batch_id)
         forget(rows)
 
     with KeyIndex(posts.sparkSession, f"{path}/index", f"{checkpoint}/index", KEY) as index:
