@@ -13,6 +13,7 @@ from postlens.functions.text import plain
 from postlens.operators.cleaning import ANALYSED, KEY, clean, deduplicate
 from postlens.operators.sentiment import RuleWords, score
 from postlens.scratch import forget, settle
+from postlens.session import wide_shuffles
 from postlens.streaming.gate import checked, stored_form
 from postlens.streaming.keyindex import BATCH, KeyIndex
 from postlens.streaming.progress import ProgressLog
@@ -116,9 +117,10 @@ def dedupe_stream(posts, path, checkpoint, on_fresh=None, text_limit=None):
     texts is cheaper with ``drop_repeats``.
     """
     def on_batch(batch, batch_id):
-        rows = settle(deduplicate(clean(batch, text_limit), CARRIED), "batch")
-        fresh = rows.join(index.new(rows, batch_id), KEY, "left_semi").withColumn("text_clean", plain(F.col("text_v"))).select(KEY, *ANALYSED)
-        write_batch(fresh, f"{path}/posts", batch_id)
+        with wide_shuffles(batch.sparkSession, batch.rdd.getNumPartitions()):
+            rows = settle(deduplicate(clean(batch, text_limit), CARRIED), "batch")
+            fresh = rows.join(index.new(rows, batch_id), KEY, "left_semi").withColumn("text_clean", plain(F.col("text_v"))).select(KEY, *ANALYSED)
+            write_batch(fresh, f"{path}/posts", batch_id)
         if on_fresh:
             on_fresh(batch.sparkSession.read.schema(fresh.schema).parquet(f"{path}/posts/{BATCH}={batch_id}"), batch_id)
         forget(rows)

@@ -1,11 +1,14 @@
 import datetime as dt
 import json
+from pathlib import Path
 
+from pyspark import SparkFiles
 from pyspark.sql import functions as F, types as T
 
 from postlens.operators.cleaning import clean, deduplicate
 from postlens.plans.ingest import replay
 from postlens.schema import POSTS_SCHEMA
+from postlens.session import settings
 from postlens.sources.messages import message_stream, post_messages, raw_messages, stringify
 from postlens.streaming import flows, gate
 from postlens.streaming.keyindex import KeyIndex, seen_keys
@@ -134,6 +137,16 @@ def test_a_repeated_batch_gets_the_same_answer(spark, tmp_path):
     assert new == {bytes([3]) * 32, bytes([4]) * 32, b"batch 2"}
 
 
+def test_a_part_of_the_key_state_reserves_no_disk(spark, tmp_path):
+    keys = spark.createDataFrame([(bytes([i]) * 32,) for i in range(50)], "dup_key binary")
+    local = Path(SparkFiles.getRootDirectory()).parent
+    before = set(local.rglob("MANIFEST-*"))
+    with KeyIndex(spark, str(tmp_path / "index"), str(tmp_path / "checkpoint")) as index:
+        assert index.new(keys, 0).count() == 51
+        logs = [log.stat() for log in set(local.rglob("MANIFEST-*")) - before]
+    assert len(logs) >= 4 and all(log.st_blocks * 512 < 1 << 20 for log in logs)    # four parts
+
+
 def test_bytes_read_by_a_batch_do_not_grow_with_the_history(spark, tmp_path):
     """Twenty batches of 400 posts, a tenth of them copies of earlier ones: what each reads through the file system."""
     def text(n):
@@ -171,6 +184,22 @@ def test_dedupe_over_batches_equals_batch(spark, tmp_path):
     assert got.select(flows.BATCH).distinct().count() == 2       # the third batch brought nothing new
 
 
+def test_a_narrow_session_does_not_merge_a_large_batch_in_one_task(spark, tmp_path):
+    rows, source, out = posts(spark, [post(i) for i in range(200)]), str(tmp_path / "in"), tmp_path / "out"
+    rows.repartition(6).write.parquet(source)
+    narrow = {"spark.sql.shuffle.partitions": "1", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.files.maxPartitionBytes": "4k",
+              "spark.sql.files.openCostInBytes": "1k", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    widths = []
+    with settings(spark, narrow):
+        flows.dedupe_stream(spark.readStream.schema(POSTS_SCHEMA).parquet(source), str(out), str(tmp_path / "checkpoint"),
+                            lambda fresh, n: widths.append(fresh.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    assert widths == ["1"]                                              # for these writes only
+    assert len({file.name.split("-")[1] for file in out.glob("posts/batch_id=0/*.parquet")}) >= 6
+    want = deduplicate(clean(rows))
+    got = spark.read.parquet(str(out / "posts"))
+    assert sorted(r.text_clean for r in got.collect()) == sorted(r.text_clean for r in want.collect())
+
+
 def test_rerun_of_a_batch_replaces_its_output(spark, tmp_path):
     out = str(tmp_path / "out")
     flows.write_batch(spark.range(5), out, 0)
